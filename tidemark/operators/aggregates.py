@@ -51,15 +51,17 @@ def map_first(detail: str, names: list[str]) -> Column:
 
 
 def block_rollup(trades: DataFrame, matching: str) -> DataFrame:
-    """Per (entity, date): totals, share of the ``matching`` type, largest trade, type breakdown.
+    """Per (entity, date): totals, volume share of the ``matching`` type, largest trade, breakdown.
 
     Two levels: per trade type first (map-side combined), then over the few types.
     """
     by_type = trades.groupBy("entity", "date", "trade_type").agg(F.sum("volume").alias("volume"), F.sum("money").alias("money"), F.max("money").alias("largest"))
-    m = F.sum(F.when(F.col("trade_type") == matching, F.col("money")).otherwise(0))
+    is_m = F.col("trade_type") == matching
+    m = F.sum(F.when(is_m, F.col("volume")).otherwise(0))
     return by_type.groupBy("entity", "date").agg(
-        F.sum("volume").alias("total_volume"), F.sum("money").alias("total_money"), m.alias("matching_money"),
-        F.when(F.sum("money") > 0, m / F.sum("money")).alias("matching_share"), F.max("largest").alias("largest_trade"),
+        F.sum("volume").alias("total_volume"), F.sum("money").alias("total_money"), m.alias("matching_volume"),
+        F.sum(F.when(is_m, F.col("money")).otherwise(0)).alias("matching_money"),
+        F.when(F.sum("volume") > 0, m / F.sum("volume")).alias("matching_share"), F.max("largest").alias("largest_trade"),
         F.count("*").alias("trade_types"),
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("trade_type", F.struct("volume", "money"))))).alias("detail"))
 

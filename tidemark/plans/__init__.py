@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["indicators", "events"]
+MODULES = ["indicators", "events", "shaping", "pit"]
 
 
 def load_all() -> None:

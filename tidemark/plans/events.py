@@ -317,7 +317,7 @@ INDEX_SQL = SERIES + ", " + P.MACD_TAIL.replace("ind AS (", "mac AS (") + ", " +
    CASE WHEN idx >= 10 AND {X.past('stddev_pop', 'volume', 60)} > 0 THEN (volume - {X.past('avg', 'volume', 60)}) / {X.past('stddev_pop', 'volume', 60)} ELSE 0 END AS volume_z FROM rs)"""
 events_query("market_index_events", "F43", INDEX_SQL, on_bars(lambda b: I.index_trend(R.per_entity(R.macd(b), lambda p: {"rsi": R.rsi_values(p["close"].to_numpy(), 14)}, rsi=R.DOUBLE)).drop("slope")),
              D.INDEX_RULES, [D.INDEX_STAGES], digits=2)
-RSV = P.KD_SQL.split(", k2 AS")[0]
+RSV = P.KD_SQL.split(" k2 AS")[0].rstrip(",\n ")
 events_query("sentiment_events", "F44", RSV + ", ind AS (SELECT *, rsv AS value FROM k1)", on_bars(lambda b: I.stochastic_raw(b).withColumn("value", F.col("rsv"))),
              D.SENTIMENT_RULES, [D.SENTIMENT_STAGES, D.SENTIMENT_STAGES_2])
 events_query("market_margin_events", "F44", RSV + f", ind AS (SELECT *, 120 + rsv / 2 AS ratio, CAST({X.roll('sum', 'volume', 60)} AS BIGINT) AS balance FROM k1)",
