@@ -30,13 +30,14 @@ def _tie_cell(df: DataFrame, tie: str) -> Column:
 
 
 def ranked_rows(df: DataFrame, by: list[str], metric: str, ascending: bool = True, tie: str = "entity",
-                rank_col: str = "rank", size_col: str = "universe_size") -> DataFrame:
+                rank_col: str = "rank", size_col: str = "universe_size", is_cut: bool = False) -> DataFrame:
     """Add ``rank`` (1..n by metric, ties by ``tie`` ascending) and the group size.
 
     ``df`` must hold only rows to be ranked (metric not null).  It is read twice (cell sizes, then
-    rows), hence ``cut``.  A cell whose rows all tie is split further along ``tie``.
+    rows), hence ``cut``, unless the caller says it did that (``is_cut``).  A cell whose rows all tie is split further along ``tie``.
     """
-    base = cut(df.withColumn("_c1", _value_cell(F.col(metric))).withColumn("_c2", _tie_cell(df, tie)))
+    df = df if is_cut else cut(df)
+    base = df.withColumn("_c1", _value_cell(F.col(metric))).withColumn("_c2", _tie_cell(df, tie))
     group = Window.partitionBy(*by)
     value_cell = Window.partitionBy(*by, "_c1")
     lead_key = F.col("_c1").asc() if ascending else F.col("_c1").desc()

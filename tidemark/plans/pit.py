@@ -125,7 +125,7 @@ def _back_adjusted(spark, d):
 
 
 @query("asof_adjusted_closes", "E3", f"""WITH {FACTORS}, {REQUESTS}, j AS (SELECT b.entity, b.date, b.close, CASE WHEN b.date > min(b.date) OVER (PARTITION BY b.entity) THEN coalesce(f.af, 1) ELSE 1 END AS af FROM bars b LEFT JOIN factors f ON f.entity = b.entity AND f.date = b.date)
- SELECT r.entity, r.asof, a.date, {rnd("a.close * coalesce((SELECT product(x.af) FROM j x WHERE x.entity = r.entity AND x.date > a.date AND x.date <= r.asof), 1)", 'adj_close', 3)}
+ SELECT r.entity, r.asof, a.date, {rnd("floor(a.close * coalesce((SELECT product(x.af) FROM j x WHERE x.entity = r.entity AND x.date > a.date AND x.date <= r.asof), 1) * 10000 + 0.5) / 10000", 'adj_close', 3)}
  FROM requests r JOIN j a ON a.entity = r.entity AND a.date <= r.asof AND a.date >= r.asof - 30""")
 def _asof_adjusted(spark, d):
     b = V.bars(spark, d)
@@ -223,7 +223,7 @@ def _mixed(spark, d):
 
 
 @query("missing_capital_increases", "C10", f"""WITH {ADJ}, {STAGING}, i AS (SELECT DISTINCT entity, coalesce(stock_date, cash_date) AS date FROM staging WHERE subscription_price > 0)
- SELECT entity, date, 'capital_increase' AS event_type, 1.0 AS volume_factor FROM i WHERE NOT EXISTS (SELECT 1 FROM adj_events a WHERE a.entity = i.entity AND a.date = i.date AND a.event_type = 'capital_increase')""")
+ SELECT entity, date, 'capital_increase' AS event_type, CAST(1.0 AS DOUBLE) AS volume_factor FROM i WHERE NOT EXISTS (SELECT 1 FROM adj_events a WHERE a.entity = i.entity AND a.date = i.date AND a.event_type = 'capital_increase')""")
 def _increases(spark, d):
     return J.missing_increases(V.adj_events(spark, d), staging(spark, d)).select("entity", "date", "event_type", "volume_factor")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,8 @@ def query(name: str, covers: str, sql: str | None = None):
         QUERIES[name] = fn
         COVERS[name] = covers
         if sql is not None:
-            ORACLES[name] = sql
+            # ``asof`` is a keyword in some dialects, hence quoted as a column
+            ORACLES[name] = re.sub(r'(?<![.\w"])asof(?![\w"])', '"asof"', sql)
         return fn
 
     return wrap
