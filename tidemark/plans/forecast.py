@@ -71,9 +71,9 @@ LOGC = f"""g0 AS (SELECT *, {DUE} AS is_due, ln(close) AS y FROM s), g1 AS (SELE
  logc AS (SELECT entity, date AS forecast_date, 'log_channel' AS source, horizon, confidence, {r4('exp(mid - half)', 'lower')}, {r4('exp(mid + half)', 'upper')}, {r4('exp(mid)', 'point')} FROM g3)"""
 
 
-@query("log_channel_forecast", "J2,I1", f"WITH {SERIES}, {GRID}, {LOGC} SELECT entity, forecast_date, source, horizon, confidence, {rnds('lower point', 1)} FROM logc")
+@query("log_channel_forecast", "J2,I1", f"WITH {SERIES}, {GRID}, {LOGC} SELECT entity, forecast_date, source, horizon, confidence, {rnds('lower point', 2)} FROM logc")
 def _log(spark, d):
-    return tidy(FC.log_channel(prices(spark, d)), "entity", "forecast_date", "source", "horizon", "confidence", "lower", "point", digits=1)
+    return tidy(FC.log_channel(prices(spark, d)), "entity", "forecast_date", "source", "horizon", "confidence", "lower", "point", digits=2)
 
 
 SIGMA = f"v0 AS (SELECT *, {DUE} AS is_due, ln(close / {X.prev('close')}) AS lr FROM s), v1 AS (SELECT *, CASE WHEN idx >= 60 THEN {X.roll('stddev_samp', 'lr', 60)} END AS sigma FROM v0)"
