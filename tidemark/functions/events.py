@@ -99,34 +99,30 @@ def pivots(series: DataFrame, high: str = "high", low: str = "low", n: int = 3)
     )
 
 
-def divergences(series: DataFrame, price: str, indicator: str, n: int = 3, min_gap: int = 12,
-                skip_zero: bool = True, report: str | None = None) -> DataFrame:
-    """Price makes a further extreme, the indicator does not, between neighbouring pivots.
-
-    Dated at confirmation (``n`` bars after the pivot).  Pivots where the indicator is still in
-    warm-up (zero) are skipped; with ``skip_zero=False`` they only void the pair they start.
+def with_divergences(series: DataFrame, price: str, indicator: str, n: int = 3, min_gap: int = 12,
+                     skip_zero: bool = True, report: str | None = None) -> tuple[DataFrame, list[Rule]]:
+    """Columns and rules for price/indicator divergences between neighbouring pivots.
+
+    Bearish: price makes a higher high, the indicator does not; bullish the reverse.  Events fall on
+    the row that confirms the pivot (``n`` bars later).  Pivots where the indicator is still in
+    warm-up (zero) are skipped; with ``skip_zero=False`` they only void the pair they start.  All of
+    it is window columns on the same sorted series, so other rules share the pass.
     """
-    live = f"(abs({indicator}) >= 1e-12)" if skip_zero else "true"
-    base = series.select(
-        "entity", "date", "idx",
-        F.col(price).alias("p"), F.col(indicator).alias("v"),
-        F.expr(f"lead(date, {n}) OVER ({X.OVER})").alias("confirm_date"),
-        F.expr(f"lead({report}, {n}) OVER ({X.OVER})" if report else indicator).alias("value"),
-        F.expr(f"coalesce({is_pivot_high(price, n)} AND {live}, false)").alias("ph"),
-        F.expr(f"coalesce({is_pivot_low(price, n)} AND {live}, false)").alias("pl"),
-    )
-    sides = (
-        base.select("entity", "idx", "date", "confirm_date", "p", "v", "value",
-                    F.expr("stack(2, 'bearish_divergence', ph, 'bullish_divergence', pl) as (event_kind, is_pivot)"))
-        .filter("is_pivot")
-    )
-    over = "PARTITION BY entity, event_kind ORDER BY date"
-    linked = sides.select("*", *[F.expr(f"lag({c}) OVER ({over})").alias(f"{c}0") for c in ("idx", "p", "v")])
-    bear = "event_kind = 'bearish_divergence' AND p > p0 AND v < v0"
-    bull = "event_kind = 'bullish_divergence' AND p < p0 AND v > v0"
-    alive = "" if skip_zero else " AND v0 > 0"
-    return linked.filter(f"idx - idx0 >= {min_gap}{alive} AND (({bear}) OR ({bull}))").select(
-        "entity", F.col("confirm_date").alias("date"), "event_kind", F.col("value").cast("double").alias("value"))
+    live = f"abs({indicator}) >= 1e-12" if skip_zero else "true"
+    point = f"named_struct('i', idx, 'p', {price}, 'v', {indicator})"
+    df = series.withColumns({
+        "_ph": F.expr(f"coalesce({is_pivot_high(price, n)} AND {live}, false)"),
+        "_pl": F.expr(f"coalesce({is_pivot_low(price, n)} AND {live}, false)"),
+    })
+    before = f"OVER ({X.OVER} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    df = df.withColumns({f"_l{s}": F.expr(f"last_value(CASE WHEN {s} THEN {point} END) IGNORE NULLS {before}") for s in ("_ph", "_pl")})
+    alive = "true" if skip_zero else "{0}.v > 0"
+    df = df.withColumns({
+        "_bear": F.expr(f"_ph AND idx - _l_ph.i >= {min_gap} AND {price} > _l_ph.p AND {indicator} < _l_ph.v AND {alive.format('_l_ph')}"),
+        "_bull": F.expr(f"_pl AND idx - _l_pl.i >= {min_gap} AND {price} < _l_pl.p AND {indicator} > _l_pl.v AND {alive.format('_l_pl')}"),
+    })
+    value = report or X.prev(indicator, n)
+    return df, [Rule("bearish_divergence", X.prev("_bear", n), value), Rule("bullish_divergence", X.prev("_bull", n), value)]
 
 
 def rearmed_touches(series: DataFrame, kind: str, touch: str, reset: str, value: str) -> DataFrame:

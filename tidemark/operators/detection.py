@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import texts as X
-from tidemark.functions.events import Rule, detect, divergences, rearmed_touches
+from tidemark.functions.events import Rule, rearmed_touches
 
 CROSS_GAP = 15
 

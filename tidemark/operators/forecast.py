@@ -11,11 +11,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.scalars import clamp, hit, interval_pinball, two_sided_z
-from tidemark.functions.windows import before, prev, series, trailing
+from tidemark.functions.windows import prev, series, trailing
 from tidemark.operators.indicators import indexed
 from tidemark.operators.pit import asof_join
+from tidemark.operators.recursive import per_series
 
 # Default horizons (calendar days) and interval confidences.
 HORIZONS = (21, 63, 126)
@@ -46,29 +48,39 @@ def month_ends(df: DataFrame) -> DataFrame:
     return df.withColumn("is_due", nxt.isNull() | (F.trunc(nxt, "month") != F.trunc("date", "month")))
 
 
-def _quantile(arr: str, p: Column) -> Column:
-    """Linear interpolation on a sorted array."""
-    pos = (F.size(arr) - 1) * p
-    lo = F.floor(pos).cast("int")
-    at = lambda i: F.element_at(arr, i + 1)
-    return at(lo) + (at(F.least(lo + 1, F.size(arr) - 1)) - at(lo)) * (pos - lo)
-
-
 def baseline(prices: DataFrame, horizons=HORIZONS, confidences=CONFIDENCES, trend: int = 20, lookback: int = 252, due: str = "is_due") -> DataFrame:
     """Point: mean of the last ``trend`` closes.  Band: empirical quantiles of the horizon's past returns.
 
-    The horizon counts bars here, as the returns do.  Needs at least five returns; the frame bounds
-    the array of returns at ``lookback``.
+    The horizon counts bars here, as the returns do; at least five returns are needed.  Quantiles are
+    taken at due bars only, so they run over one series at a time instead of a frame per row.
     """
-    df = indexed(prices).withColumn("trend", F.avg("px").over(trailing(trend)) * F.col("c"))
-    for h in horizons:
-        df = df.withColumn(f"_r{h}", F.when(prev("px", h) > 0, F.col("px") / prev("px", h) - 1))
-        df = df.withColumn(f"_s{h}", F.when(F.col(due) & (F.col("idx") >= max(trend, h)), F.sort_array(F.collect_list(f"_r{h}").over(trailing(lookback)))))
-    df = df.filter(F.col(due))
-    per_h = F.explode(F.array(*[F.struct(F.lit(h).alias("horizon"), F.col(f"_s{h}").alias("rets")) for h in horizons]))
-    df = df.select("entity", "date", "trend", per_h.alias("h")).select("entity", "date", "trend", "h.*", _grid("confidence", confidences)).filter(F.size("rets") >= 5)
-    a = (1 - F.col("confidence")) / 2
-    return _rows(df, "baseline", F.col("trend") * (1 + _quantile("rets", a)), F.col("trend") * (1 + _quantile("rets", 1 - a)), F.col("trend"))
+    probs = sorted({p for c in confidences for p in ((1 - c) / 2, 1 - (1 - c) / 2)})
+    name = {(h, p): f"q{h}_{i}" for h in horizons for i, p in enumerate(probs)}
+
+    def add(s: dict) -> dict:
+        px = s["px"]
+        n = len(px)
+        out = {c: np.full(n, np.nan) for c in name.values()}
+        at = np.flatnonzero(s[due])
+        for h in horizons:
+            if n <= h:
+                continue
+            ret = px[h:] / px[:-h] - 1
+            for i in at[at >= max(trend, h)]:
+                r = np.sort(ret[max(0, i - h + 1 - lookback):i - h + 1])
+                if len(r) < 5:
+                    continue
+                for p in probs:
+                    pos = (len(r) - 1) * p
+                    lo = int(pos)
+                    out[name[h, p]][i] = r[lo] + (r[min(lo + 1, len(r) - 1)] - r[lo]) * (pos - lo)
+        return out
+
+    df = indexed(prices).withColumn("trend", F.avg("px").over(trailing(trend)) * F.col("c")).select("entity", "date", "px", "trend", due)
+    df = per_series(df, add, only=due, **{c: T.DoubleType() for c in name.values()})
+    cells = F.array(*[F.struct(F.lit(h).alias("horizon"), F.lit(c).alias("confidence"), F.col(name[h, (1 - c) / 2]).alias("ql"), F.col(name[h, 1 - (1 - c) / 2]).alias("qh")) for h in horizons for c in confidences])
+    df = df.select("entity", "date", "trend", F.inline(cells)).filter(F.col("ql").isNotNull() & ~F.isnan("ql"))
+    return _rows(df, "baseline", F.col("trend") * (1 + F.col("ql")), F.col("trend") * (1 + F.col("qh")), F.col("trend"))
 
 
 def log_channel(prices: DataFrame, horizons=HORIZONS, confidences=CONFIDENCES, window: int = 252, due: str = "is_due") -> DataFrame:
@@ -144,13 +156,12 @@ def macro_score(rates: DataFrame, cycle: DataFrame, lookback: int = 21, saturati
 def trend_filter(bars: DataFrame, horizons=HORIZONS, confidences=CONFIDENCES, min_bars: int = 30) -> DataFrame:
     """Local-linear-trend Kalman forecasts at every due bar, one grouped pass per entity.
 
-    The noise levels scale with the mean price up to that bar, so each forecast uses its past only.
-    The filter gain is free of the scale when the initial variances are, hence it is recomputed per
-    due bar over the entity's history (bounded by the trading calendar).
+    The noise levels scale with the mean price of the look-back (two years of bars), so each forecast
+    uses its past only and is filtered afresh; an entity's history is bounded by the calendar.
     """
 
-    def filtered(z: np.ndarray) -> tuple:
-        m = z.mean()
+    def filtered(series: np.ndarray) -> tuple:
+        m, z = float(series.mean()), series.tolist()
         r, ql, qs = max((0.01 * m) ** 2, 1e-9), max((0.005 * m) ** 2, 1e-9), max((0.0005 * m) ** 2, 1e-11)
         lv, sl = z[0], 0.0
         p00, p01, p11 = max(abs(z[0]) * 0.1, 1.0), 0.0, max(abs(z[0]) * 0.01, 0.01)
@@ -215,16 +226,15 @@ def conformal(forecasts: DataFrame, settled: DataFrame, window: int = 500, min_s
     frame's array is bounded by the calendar and cut to ``window``.
     """
     miss = settled.select(*KEYS, "forecast_date", F.greatest(F.col("lower") - F.col("realized"), F.col("realized") - F.col("upper")).alias("_e"))
-    df = forecasts.join(miss, [*KEYS, "forecast_date"], "left")
     if strict:
         # resolved_date = forecast_date + horizon, and the horizon is constant in a partition:
         # shifting each miss to its resolution day turns the condition into a plain running frame
-        known = miss.select(*KEYS, F.expr("date_add(forecast_date, horizon)").alias("_t"), F.lit(0).alias("_side"), F.col("_e"), F.lit(None).cast("date").alias("forecast_date"))
-        asks = forecasts.select(*KEYS, F.col("forecast_date").alias("_t"), F.lit(1).alias("_side"), F.lit(None).cast("double").alias("_e"), "forecast_date")
+        known = miss.select(*KEYS, F.expr("date_add(forecast_date, horizon)").alias("_t"), F.lit(0).alias("_side"), "_e")
+        asks = forecasts.select(*KEYS, F.col("forecast_date").alias("_t"), F.lit(1).alias("_side"), F.col("forecast_date"), "lower", "upper", "point")
         w = Window.partitionBy(*KEYS).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, -1)
-        past = known.unionByName(asks).withColumn("_past", F.collect_list("_e").over(w)).filter("_side = 1")
-        df = forecasts.join(past.select(*KEYS, "forecast_date", "_past"), [*KEYS, "forecast_date"])
+        df = known.unionByName(asks, allowMissingColumns=True).withColumn("_past", F.collect_list("_e").over(w)).filter("_side = 1")
     else:
+        df = forecasts.join(miss, [*KEYS, "forecast_date"], "left")
         w = Window.partitionBy(*KEYS).orderBy("forecast_date").rowsBetween(-window, -1)
         df = df.withColumn("_past", F.collect_list("_e").over(w))
     last = F.when(F.size("_past") > window, F.slice("_past", -window, window)).otherwise(F.col("_past"))

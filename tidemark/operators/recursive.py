@@ -1,7 +1,9 @@
 """Indicators whose state depends on their own previous output.
 
-One pass per entity with ``applyInPandas``; a group is one entity's daily history (at most one row
-per calendar day).  Inside, pandas' compiled exponential filters do the recursion.
+Rows are shuffled to their entity and sorted by Spark; ``mapInPandas`` then walks each partition as
+a stream of Arrow batches and hands one series at a time (an entity's daily history, at most one row
+per calendar day) to a compiled exponential filter.  No per-group Arrow round trip, and memory is
+one batch plus one series.
 """
 
 from __future__ import annotations
@@ -38,37 +40,62 @@ def wilder(x: np.ndarray, p: int, first: int, divisor: int | None = None) -> np.
     return out
 
 
-def per_entity(df: DataFrame, add, **outputs) -> DataFrame:
-    """Apply ``add(pdf) -> dict of arrays`` to each entity's date-sorted rows."""
-    schema = T.StructType(list(df.schema.fields) + [T.StructField(k, t) for k, t in outputs.items()])
+def per_series(df: DataFrame, add, keys: tuple[str, ...] = ("entity",), only: str | None = None, **outputs) -> DataFrame:
+    """Append columns computed per series: ``add`` maps column arrays in date order to new arrays.
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date", ignore_index=True)
-        return pdf.assign(**add(pdf))
+    With ``only`` (a boolean column) just its true rows leave Python.
+    """
+    schema = T.StructType(list(df.schema.fields) + [T.StructField(k, t) for k, t in outputs.items()])
 
-    return df.groupBy("entity").applyInPandas(run, schema)
+    def complete(pdf: pd.DataFrame) -> pd.DataFrame:
+        cols = {c: pdf[c].to_numpy() for c in pdf.columns}
+        edge = np.zeros(len(pdf), dtype=bool)
+        for k in keys:
+            edge[1:] |= cols[k][1:] != cols[k][:-1]
+        starts = [0, *np.flatnonzero(edge), len(pdf)]
+        new = {k: np.empty(len(pdf)) for k in outputs}
+        for i, j in zip(starts[:-1], starts[1:]):
+            for k, v in add({c: x[i:j] for c, x in cols.items()}).items():
+                new[k][i:j] = v
+        out = pdf.assign(**new)
+        return out[out[only]] if only else out
+
+    def run(batches):
+        rest = None
+        for pdf in batches:
+            pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
+            last = pdf[list(keys)].iloc[-1]
+            # the last series may go on in the next batch
+            open_from = len(pdf) - int((pdf[list(keys)] == last).all(axis=1).to_numpy()[::-1].cumprod().sum())
+            rest = pdf.iloc[open_from:]
+            if open_from:
+                yield complete(pdf.iloc[:open_from].reset_index(drop=True))
+        if rest is not None and len(rest):
+            yield complete(rest.reset_index(drop=True))
+
+    return df.repartition(*keys).sortWithinPartitions(*keys, "date").mapInPandas(run, schema)
 
 
 def exponential_averages(bars: DataFrame, p: int = 20, source: str = "close") -> DataFrame:
     """EMA and its double and triple forms."""
 
-    def add(pdf):
-        e1 = ema(pdf[source].to_numpy(), p)
+    def add(pdf: dict) -> dict:
+        e1 = ema(pdf[source], p)
         e2 = ema(e1, p)
         e3 = ema(e2, p)
         return {"ema": e1, "dema": 2 * e1 - e2, "tema": 3 * e1 - 3 * e2 + e3}
 
-    return per_entity(indexed(bars), add, ema=DOUBLE, dema=DOUBLE, tema=DOUBLE)
+    return per_series(indexed(bars), add, ema=DOUBLE, dema=DOUBLE, tema=DOUBLE)
 
 
 def macd(bars: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9) -> DataFrame:
-    def add(pdf):
-        c = pdf["close"].to_numpy()
+    def add(pdf: dict) -> dict:
+        c = pdf["close"]
         line = ema(c, fast) - ema(c, slow)
         sig = ema(line, signal)
         return {"macd": line, "signal": sig, "histogram": line - sig}
 
-    return per_entity(indexed(bars), add, macd=DOUBLE, signal=DOUBLE, histogram=DOUBLE)
+    return per_series(indexed(bars), add, macd=DOUBLE, signal=DOUBLE, histogram=DOUBLE)
 
 
 def rsi_values(c: np.ndarray, p: int) -> np.ndarray:
@@ -86,24 +113,24 @@ def rsi_values(c: np.ndarray, p: int) -> np.ndarray:
 
 def rsi(bars: DataFrame, p: int = 14) -> DataFrame:
     """Wilder RSI; 0 before warm-up, 100 without losses."""
-    return per_entity(indexed(bars), lambda pdf: {"rsi": rsi_values(pdf["close"].to_numpy(), p)}, rsi=DOUBLE)
+    return per_series(indexed(bars), lambda pdf: {"rsi": rsi_values(pdf["close"], p)}, rsi=DOUBLE)
 
 
 def kd(bars: DataFrame, p: int = 9, k_smooth: int = 3, d_smooth: int = 3) -> DataFrame:
     """Smoothed stochastic lines, both started at 50."""
 
-    def add(pdf):
-        k = _filter(pdf["rsv"].to_numpy(), 1.0 / k_smooth, 50.0)
+    def add(pdf: dict) -> dict:
+        k = _filter(pdf["rsv"], 1.0 / k_smooth, 50.0)
         return {"k": k, "d": _filter(k, 1.0 / d_smooth, 50.0)}
 
-    return per_entity(stochastic_raw(bars, p), add, k=DOUBLE, d=DOUBLE)
+    return per_series(stochastic_raw(bars, p), add, k=DOUBLE, d=DOUBLE)
 
 
 def adx(bars: DataFrame, p: int = 14) -> DataFrame:
     """Directional indicators and their smoothed index, which starts at twice the period."""
 
-    def add(pdf):
-        h, l, c = (pdf[x].to_numpy() for x in ("high", "low", "close"))
+    def add(pdf: dict) -> dict:
+        h, l, c = pdf["high"], pdf["low"], pdf["close"]
         n = len(c)
         if n < 2:
             return {"plus_di": np.zeros(n), "minus_di": np.zeros(n), "adx": np.zeros(n)}
@@ -126,7 +153,7 @@ def adx(bars: DataFrame, p: int = 14) -> DataFrame:
             out[start:] = _filter(dx[start:], 1.0 / p, out[start - 1])
         return {"plus_di": plus, "minus_di": minus, "adx": out}
 
-    return per_entity(indexed(bars), add, plus_di=DOUBLE, minus_di=DOUBLE, adx=DOUBLE)
+    return per_series(indexed(bars), add, plus_di=DOUBLE, minus_di=DOUBLE, adx=DOUBLE)
 
 
 def atr_values(tr: np.ndarray, p: int) -> np.ndarray:
@@ -140,17 +167,17 @@ def atr_values(tr: np.ndarray, p: int) -> np.ndarray:
 
 def atr(bars: DataFrame, p: int = 14) -> DataFrame:
     """Wilder ATR with a growing mean during warm-up, and ATR in percent of the close."""
-    df = per_entity(true_range(bars), lambda pdf: {"atr": atr_values(pdf["tr"].to_numpy(), p)}, atr=DOUBLE)
+    df = per_series(true_range(bars), lambda pdf: {"atr": atr_values(pdf["tr"], p)}, atr=DOUBLE)
     return df.withColumn("atr_pct", F.when(F.col("close") > 0, F.col("atr") / F.col("close") * 100).otherwise(0.0))
 
 
 def keltner(bars: DataFrame, p: int = 20, atr_p: int = 10, k: float = 2.0) -> DataFrame:
-    def add(pdf):
-        m = ema(pdf["close"].to_numpy(), p)
-        band = k * atr_values(pdf["tr"].to_numpy(), atr_p)
+    def add(pdf: dict) -> dict:
+        m = ema(pdf["close"], p)
+        band = k * atr_values(pdf["tr"], atr_p)
         return {"upper": m + band, "middle": m, "lower": m - band}
 
-    return per_entity(true_range(bars), add, upper=DOUBLE, middle=DOUBLE, lower=DOUBLE)
+    return per_series(true_range(bars), add, upper=DOUBLE, middle=DOUBLE, lower=DOUBLE)
 
 
 # Process noise, velocity threshold (share of price) and shortest regime, per horizon.
@@ -172,25 +199,25 @@ def kalman(bars: DataFrame, noise: float = 0.01, expanding: bool = False) -> Dat
     hz = F.explode(F.array(*[F.struct(F.lit(k).alias("horizon"), F.lit(v[0]).alias("q"), F.lit(v[1]).alias("threshold"),
                                       F.lit(v[2]).alias("min_run")) for k, v in KALMAN_HORIZONS.items()]))
     df = indexed(bars).select("entity", "date", "idx", "close", hz.alias("h")).select("entity", "date", "idx", "close", "h.*")
-    schema = T.StructType(list(df.schema.fields) + [T.StructField(c, DOUBLE) for c in ("smoothed", "uncertainty", "velocity")])
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date", ignore_index=True)
-        z, q = pdf["close"].to_numpy(), float(pdf["q"].iloc[0])
+    def add(p: dict) -> dict:
+        z, q = p["close"], float(p["q"][0])
         n = len(z)
         mean = np.cumsum(z) / np.arange(1, n + 1) if expanding else np.full(n, z.mean())
-        r = (noise * mean) ** 2
-        xs, ps = np.empty(n), np.empty(n)
-        x, p = z[0], r[0]
-        for i in range(n):
-            pp = p + q
-            g = pp / (pp + r[i])
-            x = x + g * (z[i] - x)
-            p = (1 - g) * pp
-            xs[i], ps[i] = x, p
-        return pdf.assign(smoothed=xs, uncertainty=np.sqrt(ps), velocity=np.diff(xs, prepend=xs[0]))
-
-    return df.groupBy("entity", "horizon").applyInPandas(run, schema)
+        noise2 = ((noise * mean) ** 2).tolist()
+        xs, ps = [], []
+        x, v = float(z[0]), noise2[0]
+        for obs, r in zip(z.tolist(), noise2):
+            v += q
+            g = v / (v + r)
+            x += g * (obs - x)
+            v *= 1 - g
+            xs.append(x)
+            ps.append(v)
+        xs = np.array(xs)
+        return {"smoothed": xs, "uncertainty": np.sqrt(ps), "velocity": np.diff(xs, prepend=xs[0])}
+
+    return per_series(df, add, ("entity", "horizon"), smoothed=DOUBLE, uncertainty=DOUBLE, velocity=DOUBLE)
 
 
 def regimes(filtered: DataFrame, lookback: int = 20, stable: float = 0.01) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import texts as X
-from tidemark.functions.events import Rule, detect, divergences, is_pivot_high, is_pivot_low, pivots
+from tidemark.functions.events import Rule, detect, is_pivot_high, is_pivot_low, pivots, with_divergences
 from tidemark.operators import detection as D
 from tidemark.operators import indicators as I
 from tidemark.operators import recursive as R
@@ -64,9 +64,11 @@ def events_query(name, covers, sql, frame, rules, stages=(), div=None, digits=3)
         df = frame(spark, d)
         for st in stages:
             df = D.staged(df, **st)
-        out = detect(df, rules)
+        found = rules
         if div:
-            out = out.unionByName(divergences(df, div["price"], div["ind"], report=div.get("report"), skip_zero=div.get("skip_zero", True)))
+            df, extra_rules = with_divergences(df, div["price"], div["ind"], report=div.get("report"), skip_zero=div.get("skip_zero", True))
+            found = rules + extra_rules
+        out = detect(df, found)
         return tidy(out, "entity", "date", "event_kind", "value", digits=digits)
 
     return run
@@ -315,7 +317,7 @@ events_query("financial_statement_events", "F41,E38", STATEMENT_SQL, statements,
 INDEX_SQL = SERIES + ", " + P.MACD_TAIL.replace("ind AS (", "mac AS (") + ", " + P.RSI_TAIL.replace("FROM s)", "FROM mac)").replace("ind AS (", "rs AS (") + f""",
  ind AS (SELECT *, {X.roll('avg', 'close', 20)} AS ma20, {X.roll('avg', 'close', 60)} AS ma_long,
    CASE WHEN idx >= 10 AND {X.past('stddev_pop', 'volume', 60)} > 0 THEN (volume - {X.past('avg', 'volume', 60)}) / {X.past('stddev_pop', 'volume', 60)} ELSE 0 END AS volume_z FROM rs)"""
-events_query("market_index_events", "F43", INDEX_SQL, on_bars(lambda b: I.index_trend(R.per_entity(R.macd(b), lambda p: {"rsi": R.rsi_values(p["close"].to_numpy(), 14)}, rsi=R.DOUBLE)).drop("slope")),
+events_query("market_index_events", "F43", INDEX_SQL, on_bars(lambda b: I.index_trend(R.per_series(R.macd(b), lambda p: {"rsi": R.rsi_values(p["close"], 14)}, rsi=R.DOUBLE)).drop("slope")),
              D.INDEX_RULES, [D.INDEX_STAGES], digits=2)
 RSV = P.KD_SQL.split(" k2 AS")[0].rstrip(",\n ")
 events_query("sentiment_events", "F44", RSV + ", ind AS (SELECT *, rsv AS value FROM k1)", on_bars(lambda b: I.stochastic_raw(b).withColumn("value", F.col("rsv"))),
