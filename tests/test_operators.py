@@ -38,7 +38,7 @@ def make_bars(spark, n=300, entities=(1, 2), seed=1):
         for i in range(n):
             o = px
             px = max(1.0, px * (1 + rng.uniform(-0.04, 0.041)))
-            rows.append((e, day(i), o, max(o, px) * 1.01, min(o, px) * 0.99, px, rng.randint(1, 1000)))
+            rows.append((e, day(i), o, max(o, px) * (1 + rng.uniform(0.001, 0.02)), min(o, px) * (1 - rng.uniform(0.001, 0.02)), px, rng.randint(1, 1000)))
     return spark.createDataFrame(rows, "entity long, date date, open double, high double, low double, close double, volume long")
 
 
@@ -326,7 +326,7 @@ def test_support_resistance_brute_force(spark):
     groups = []
     for i in piv:
         for g in groups:
-            if abs(v[i] - g[0]) / g[0] <= 0.15:
+            if abs(v[i] - g[0]) / g[0] <= 0.03:
                 g[0] = (g[0] * len(g[1]) + v[i]) / (len(g[1]) + 1)
                 g[1].append(i)
                 break
@@ -336,7 +336,7 @@ def test_support_resistance_brute_force(spark):
     for p, idx in sorted((g for g in groups if len(g[1]) >= 2), key=lambda g: -len(g[1])):
         if all(abs(w - p) / ((w + p) / 2) >= 0.02 for w in want):
             want.append(p)
-    got = sorted(r.level for r in WV.support_resistance(b, touches=2, tolerance=0.15).filter("kind = 'resistance'").collect())
+    got = sorted(r.level for r in WV.support_resistance(b, touches=2, tolerance=0.03).filter("kind = 'resistance'").collect())
     assert got == pytest.approx(sorted(want)) and want
 
 

@@ -117,7 +117,15 @@ def _vwap_touches(spark, d):
     return tidy(D.vwap_touches(I.vwap(V.bars(spark, d), P.ANCHOR), P.ANCHOR), digits=3)
 
 
-@query("rsi_failure_swings", "F13")
+@query("rsi_failure_swings", "F13", f"""WITH RECURSIVE {P.RSI_SQL}, sides AS (SELECT entity, date, rsi, rsi AS x, {X.prev('rsi')} AS px, 'bearish_failure_swing' AS kind FROM ind
+   UNION ALL SELECT entity, date, rsi, 100 - rsi, 100 - {X.prev('rsi')}, 'bullish_failure_swing' FROM ind),
+ t AS (SELECT *, row_number() OVER (PARTITION BY entity, kind ORDER BY date) AS n FROM sides WHERE rsi > 0),
+ walk AS (SELECT entity, kind, n, date, rsi, CASE WHEN x >= 70 THEN 1 ELSE 0 END AS step, 0.0::DOUBLE AS ext, false AS fired FROM t WHERE n = 1
+   UNION ALL SELECT t.entity, t.kind, t.n, t.date, t.rsi,
+     CASE WHEN t.x >= 70 THEN 1 WHEN w.step = 1 THEN 2 WHEN w.step = 2 THEN CASE WHEN t.x >= w.ext AND t.x > t.px THEN 3 ELSE 2 END WHEN w.step = 3 THEN CASE WHEN t.x < w.ext THEN 0 ELSE 3 END ELSE 0 END,
+     CASE WHEN t.x < 70 AND (w.step = 1 OR (w.step = 2 AND t.x < w.ext)) THEN t.x ELSE w.ext END, w.step = 3 AND t.x < 70 AND t.x < w.ext
+   FROM walk w JOIN t ON t.entity = w.entity AND t.kind = w.kind AND t.n = w.n + 1)
+ SELECT entity, date, kind AS event_kind, {rnd('rsi', 'value')} FROM walk WHERE fired""")
 def _failure_swings(spark, d):
     return tidy(D.failure_swings(R.rsi(V.bars(spark, d))))
 
@@ -157,12 +165,12 @@ def flows(spark, d):
 
 events_query("institutional_flow_events", "F31", FLOW_SQL, flows, D.flow_rules(24, 2.0), D.flow_stages(24))
 CREDIT_SQL = SERIES + f""", ind AS (SELECT *, CAST({X.roll('sum', 'volume', 20)} AS BIGINT) AS margin_balance, CAST({X.roll('sum', 'volume', 3)} AS BIGINT) AS short_balance,
-   CAST(CASE WHEN volume % 13 <> 0 THEN 135 + volume % 40 END AS DOUBLE) AS maintenance FROM s)"""
+   CAST(CASE WHEN volume > 4 THEN 135 + volume % 40 END AS DOUBLE) AS maintenance FROM s)"""
 
 
 def credit(spark, d):
     return D.staged(I.indexed(V.bars(spark, d)), margin_balance=f"cast({X.roll('sum', 'volume', 20)} as bigint)", short_balance=f"cast({X.roll('sum', 'volume', 3)} as bigint)",
-                    maintenance="cast(case when volume % 13 <> 0 then 135 + volume % 40 end as double)")
+                    maintenance="cast(case when volume > 4 then 135 + volume % 40 end as double)")
 
 
 events_query("margin_balance_events", "F32", CREDIT_SQL, credit, D.MARGIN_RULES, [D.MARGIN_STAGES])
@@ -273,13 +281,13 @@ def revenue_growth(spark, d):
 
 events_query("revenue_events", "F39,E5", YOY_SQL, revenue_growth, D.REVENUE_RULES)
 
-VAL_SQL = SERIES + ", v0 AS (SELECT *, CASE WHEN volume % 11 <> 0 THEN close / 500 END AS per, close / 5000 AS pbr, CASE WHEN close > 0 THEN 50000 / close END AS yield FROM s)," + """
+VAL_SQL = SERIES + ", v0 AS (SELECT *, CASE WHEN volume > 4 THEN close / 500 END AS per, close / 5000 AS pbr, CASE WHEN close > 0 THEN 50000 / close END AS yield FROM s)," + """
  v1 AS (SELECT *, """ + ", ".join(f"list({c}) FILTER ({c} IS NOT NULL) OVER (PARTITION BY entity ORDER BY date RANGE BETWEEN INTERVAL 1825 DAYS PRECEDING AND CURRENT ROW) AS l_{c}" for c in ("per", "pbr", "yield")) + " FROM v0)," + """
  ind AS (SELECT *, """ + ", ".join(f"CASE WHEN {c} IS NOT NULL AND len(l_{c}) >= 10 THEN len(list_filter(l_{c}, lambda v: v < {c})) * 100.0 / len(l_{c}) END AS {c}_pct" for c in ("per", "pbr", "yield")) + " FROM v1)"
 
 
 def valuation(spark, d):
-    df = I.indexed(V.bars(spark, d)).withColumns({"per": F.when(F.col("volume") % 11 != 0, F.col("close") / 500), "pbr": F.col("close") / 5000, "yield": F.when(F.col("close") > 0, 50000 / F.col("close"))})
+    df = I.indexed(V.bars(spark, d)).withColumns({"per": F.when(F.col("volume") > 4, F.col("close") / 500), "pbr": F.col("close") / 5000, "yield": F.when(F.col("close") > 0, 50000 / F.col("close"))})
     for c in ("per", "pbr", "yield"):
         df = I.trailing_percentile(df, c, 0, f"{c}_pct", strict=True, min_obs=10, days=1825)
     return df
@@ -336,10 +344,10 @@ events_query("business_cycle_events", "F44", CYCLE_SQL,
 
 
 def commodity(spark, d):
-    return I.commodity_macro(V.bars(spark, d).select("entity", "date", F.when(F.col("volume") % 7 != 0, F.col("close")).alias("price")))
+    return I.commodity_macro(V.bars(spark, d).select("entity", "date", F.when(F.col("volume") > 5, F.col("close")).alias("price")))
 
 
-COMMODITY_SQL = SERIES + f""", p AS (SELECT entity, date, idx, CASE WHEN volume % 7 <> 0 THEN close END AS price FROM s),
+COMMODITY_SQL = SERIES + f""", p AS (SELECT entity, date, idx, CASE WHEN volume > 5 THEN close END AS price FROM s),
  p1 AS (SELECT *, last_value(price IGNORE NULLS) OVER ({X.OVER} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS was FROM p),
  p2 AS (SELECT *, CASE WHEN was > 0 AND price IS NOT NULL THEN (price - was) / was * 100 END AS return_pct FROM p1),
  p3 AS (SELECT *, CASE WHEN {X.past('count', 'return_pct', 60)} >= 10 AND {X.past('stddev_pop', 'return_pct', 60)} > 1e-12

@@ -179,22 +179,28 @@ def _combined(spark, d):
     return tidy(FU.key_levels(sr.unionByName(tl).unionByName(z)), digits=3)
 
 
-STOPS = f"""WITH {TOPL.replace(SERIES, P.ATR_SQL)}, en AS (SELECT entity, date, close AS entry, atr FROM ind WHERE volume % 10 = 0), x AS (SELECT en.*, dr.direction, CASE WHEN dr.direction = 'long' THEN 1.0::DOUBLE ELSE -1.0 END AS sd, (SELECT max(level) FROM kl WHERE kl.entity = en.entity AND level < entry) AS below, (SELECT min(level) FROM kl WHERE kl.entity = en.entity AND level > entry) AS above FROM en, (VALUES ('long'), ('short')) dr(direction))
+STOPS = f"""WITH {TOPL.replace(SERIES, P.ATR_SQL)}, en AS (SELECT entity, date, close AS entry, atr FROM ind), x AS (SELECT en.*, dr.direction, CASE WHEN dr.direction = 'long' THEN 1.0::DOUBLE ELSE -1.0 END AS sd, (SELECT max(level) FROM kl WHERE kl.entity = en.entity AND level < entry) AS below, (SELECT min(level) FROM kl WHERE kl.entity = en.entity AND level > entry) AS above FROM en, (VALUES ('long'), ('short')) dr(direction))
  SELECT entity, date, direction, {rnd('entry - sd * 2 * atr', 'atr_stop', 2)}, {rnd('entry + sd * 4 * atr', 'atr_target', 2)}, {rnd("CASE WHEN direction = 'long' THEN below ELSE above END", 'level_stop', 2)}, {rnd("CASE WHEN direction = 'long' THEN above ELSE below END", 'level_target', 2)} FROM x"""
 
 
 @query("stops_and_targets", "K5", STOPS)
 def _stops(spark, d):
     b = V.bars(spark, d)
-    e = R.atr(b).filter("volume % 10 = 0").select("entity", "date", F.col("close").alias("entry"), "atr")
+    e = R.atr(b).select("entity", "date", F.col("close").alias("entry"), "atr")
     return tidy(FU.stops_and_targets(e, FU.key_levels(pivot_points(spark, d))), "entity", "date", "direction", "atr_stop", "atr_target", "level_stop", "level_target", digits=2)
 
 
-@query("patterns_near_levels", "K6,C13", f"""WITH {TOPL}, ev AS (SELECT entity, date, close AS price FROM s WHERE volume >= 45), x AS (SELECT ev.*, (SELECT arg_min(level, (abs(level - price), level)) FROM kl WHERE kl.entity = ev.entity) AS level FROM ev)
- SELECT entity, date, price, {rnd('level', digits=3)}, {rnd('abs(level - price)', 'distance', 3)}, abs(level - price) <= price * 0.02 AS is_near FROM x""")
+_CANDLES = E.rules_sql(SERIES + ", ind AS (SELECT * FROM s)", D.CANDLE_RULES, "ind", [D.CANDLE_STAGE_0, D.CANDLE_STAGES_1, D.CANDLE_STAGES_2])
+
+
+@query("patterns_near_levels", "K6,C13", f"""WITH {TOPL}, pat AS ({_CANDLES}), ev AS (SELECT p.entity, p.date, p.event_kind, s.close AS price FROM pat p JOIN s ON s.entity = p.entity AND s.date = p.date), x AS (SELECT ev.*, (SELECT arg_min(level, (abs(level - price), level)) FROM kl WHERE kl.entity = ev.entity) AS level FROM ev)
+ SELECT entity, date, event_kind, price, {rnd('level', digits=3)}, {rnd('abs(level - price)', 'distance', 3)}, abs(level - price) <= price * 0.02 AS is_near FROM x""")
 def _near(spark, d):
-    pts = V.bars(spark, d).filter("volume >= 45").select("entity", "date", F.col("close").alias("price"))
-    return tidy(J.nearest_level(pts, FU.key_levels(pivot_points(spark, d))), "entity", "date", "price", "level", "distance", "is_near", digits=3)
+    b = I.indexed(V.bars(spark, d))
+    staged = D.staged(D.staged(D.staged(b, **D.CANDLE_STAGE_0), **D.CANDLE_STAGES_1), **D.CANDLE_STAGES_2)
+    found = detect(staged, D.CANDLE_RULES).select("entity", "date", "event_kind")
+    pts = found.join(b.select("entity", "date", F.col("close").alias("price")), ["entity", "date"])
+    return tidy(J.nearest_level(pts, FU.key_levels(pivot_points(spark, d))), "entity", "date", "event_kind", "price", "level", "distance", "is_near", digits=3)
 
 
 def fib_lines(spark, d):
@@ -204,12 +210,48 @@ def fib_lines(spark, d):
     return c.join(z.select("entity", "asof", "close").distinct(), ["entity", "asof"]).withColumnRenamed("level", "line")
 
 
-@query("fib_line_clusters", "K15", None)
+LINES = f"""{PW.LIVE}, {PW._RT}, prm AS (SELECT * FROM lv WHERE NOT dead QUALIFY row_number() OVER (PARTITION BY entity, "asof" ORDER BY {PW._ORD}) = 1), zz AS (SELECT entity, "asof", close, {PW._ZP} AS price FROM prm, rt),
+ zd AS (SELECT *, row_number() OVER (PARTITION BY entity, "asof" ORDER BY price) AS i FROM zz WHERE price > 0),
+ za AS (WITH RECURSIVE a AS (SELECT entity, "asof", i, close, price, price AS anchor FROM zd WHERE i = 1 UNION ALL SELECT p.entity, p.asof, p.i, p.close, p.price, CASE WHEN (p.price - a.anchor) / a.anchor < 0.01 THEN a.anchor ELSE p.price END FROM a JOIN zd p ON p.entity = a.entity AND p.asof = a.asof AND p.i = a.i + 1) SELECT * FROM a),
+ lines AS (SELECT entity, "asof", anchor, any_value(close) AS close, avg(price) AS line, min(price) AS low, max(price) AS high, count(*) AS members FROM za GROUP BY 1, 2, 3)"""
+
+
+@query("fib_line_clusters", "K15", f"""WITH {LINES}, th AS (SELECT *, count(*) OVER (PARTITION BY entity, "asof") AS n, row_number() OVER (PARTITION BY entity, "asof" ORDER BY line) - 1 AS i FROM lines)
+ SELECT entity, "asof", {rnds('line low high', 2)}, CAST(members AS INTEGER) AS members FROM th WHERE n <= 5 OR ceil(floor((i + 1e-9) / (n / 5.0::DOUBLE)) * (n / 5.0::DOUBLE) - 1e-9) = i""")
 def _fib_lines(spark, d):
     return tidy(FU.thin_lines(fib_lines(spark, d), ["entity", "asof"], "line", 5), "entity", "asof", "line", "low", "high", "members", digits=2)
 
 
-@query("dual_track_resonance", "K16", None)
+from tidemark.plans import forecast as PF  # noqa: E402
+from tidemark.plans import ranking as PR  # noqa: E402
+
+_BANDS = ", ".join(f"max(CASE WHEN horizon = {h} THEN {c} END) AS {c}{h}" for h in FC.HORIZONS for c in ("lower", "upper", "point"))
+
+
+def _cov(h):
+    return f"coalesce((upper{h} - lower{h}) / close <= 3.0 AND lower{h} <= line AND line <= upper{h}, false)"
+
+
+def _near_mid(h):
+    return f"coalesce(abs(point{h} - line) / close < 0.02, false)"
+
+
+def _profile(h):
+    return f"CASE WHEN NOT {_cov(h)} THEN 'divergence' WHEN {_near_mid(h)} THEN 'basic_median_close' ELSE 'basic' END"
+
+
+_TIGHT = "list_min(list_filter([" + ", ".join(f"CASE WHEN {_cov(h)} THEN {{'w': upper{h} - lower{h}, 'h': {h}}} END" for h in FC.HORIZONS) + "], lambda v: v IS NOT NULL))"
+
+
+@query("dual_track_resonance", "K16", f"""WITH {LINES}, {PF.GRID}, {PF.BASE},
+ bd AS (SELECT entity, forecast_date, {_BANDS} FROM base WHERE confidence = 0.8 GROUP BY 1, 2), lq AS (SELECT DISTINCT entity, "asof" FROM lines),
+ la AS (SELECT q.entity, q.asof AS "asof", b.* EXCLUDE (entity) FROM lq q ASOF LEFT JOIN bd b ON b.entity = q.entity AND q.asof >= b.forecast_date), lb AS (SELECT * FROM la WHERE "asof" - forecast_date <= 45),
+ {PR.UNIVERSE}, mq AS (SELECT entity, date, ({X.prev('close', 21)} - {X.prev('close', 251)}) / {X.prev('close', 251)} AS metric FROM s), mr AS (SELECT r.entity, r.asof AS "asof", m.metric FROM requests r ASOF LEFT JOIN mq m ON m.entity = r.entity AND r.asof >= m.date),
+ mk AS (SELECT mr.entity, mr.asof AS "asof", row_number() OVER (PARTITION BY mr.asof ORDER BY metric DESC, mr.entity) <= 30 AS is_top FROM mr JOIN universe u ON u.entity = mr.entity WHERE u.excluded_reason IS NULL AND metric IS NOT NULL),
+ rs AS (SELECT l.entity, l.asof AS "asof", l.line, l.close, lb.* EXCLUDE (entity, "asof", forecast_date), coalesce(mk.is_top, false) AS is_top_n FROM lines l LEFT JOIN lb ON lb.entity = l.entity AND lb.asof = l.asof LEFT JOIN mk ON mk.entity = l.entity AND mk.asof = l.asof),
+ rt2 AS (SELECT *, {_cov(63)} AS covers, {_near_mid(63)} AS median_close FROM rs)
+ SELECT entity, "asof", {rnds('line close', 2)}, CASE WHEN NOT covers THEN 'divergence' WHEN median_close AND is_top_n THEN 'strong' ELSE 'basic' END AS level, covers, median_close, is_top_n,
+   CASE WHEN covers THEN {_TIGHT}['h'] END AS tightest_horizon, {', '.join(f'{_profile(h)} AS profile_{h}' for h in FC.HORIZONS)} FROM rt2""")
 def _resonance(spark, d):
     from tidemark.plans.forecast import prices
     from tidemark.plans.ranking import universe

@@ -229,7 +229,7 @@ series_query("return_volatility", "E35,J16", SERIES + f""", r AS (SELECT *, clos
              .withColumnRenamed("vol", "log_vol").withColumnRenamed("_v", "vol"), "vol log_vol")
 
 
-@query("commodity_momentum", "E30", f"""WITH {SERIES}, p AS (SELECT entity, date, idx, CASE WHEN volume % 7 <> 0 THEN close END AS price FROM s),
+@query("commodity_momentum", "E30", f"""WITH {SERIES}, p AS (SELECT entity, date, idx, CASE WHEN volume > 5 THEN close END AS price FROM s),
  p1 AS (SELECT *, last_value(price IGNORE NULLS) OVER ({W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS was FROM p),
  p2 AS (SELECT *, CASE WHEN was > 0 AND price IS NOT NULL THEN (price - was) / was * 100 END AS return_pct FROM p1),
  p3 AS (SELECT *, CASE WHEN {X.past('count', 'return_pct', 60)} >= 10 AND {X.past('stddev_pop', 'return_pct', 60)} > 1e-12
@@ -239,7 +239,7 @@ series_query("return_volatility", "E35,J16", SERIES + f""", r AS (SELECT *, clos
  SELECT entity, date, momentum, CAST(row_number() OVER (PARTITION BY entity, momentum, island ORDER BY date) AS INTEGER) AS streak,
    {rnds('return_pct zscore')} FROM p4""")
 def _commodity(spark, d):
-    prices = V.bars(spark, d).select("entity", "date", F.when(F.col("volume") % 7 != 0, F.col("close")).alias("price"))
+    prices = V.bars(spark, d).select("entity", "date", F.when(F.col("volume") > 5, F.col("close")).alias("price"))
     return tidy(I.commodity_macro(prices), "entity", "date", "momentum", "streak", "return_pct", "zscore")
 
 

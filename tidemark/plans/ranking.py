@@ -156,7 +156,7 @@ def _industry(spark, d):
 
 
 DIV = f"""{ADJ}, bars AS (SELECT entity, date, arg_min(px, seq) AS open, max(px) AS high, min(px) AS low, arg_max(px, seq) AS close, CAST(sum(qty) AS BIGINT) AS volume FROM trades GROUP BY entity, date), {REQUESTS},
- y0 AS (SELECT entity, date, (close - {X.prev('close', 251)}) / {X.prev('close', 251)} * 100 AS return_12m, CASE WHEN volume % 5 <> 0 THEN 50000 / close END AS y FROM bars),
+ y0 AS (SELECT entity, date, (close - {X.prev('close', 251)}) / {X.prev('close', 251)} * 100 AS return_12m, CASE WHEN volume > 8 THEN 50000 / close END AS y FROM bars),
  y AS (SELECT entity, date, return_12m, last_value(y IGNORE NULLS) OVER ({X.OVER} ROWS UNBOUNDED PRECEDING) AS yield FROM y0),
  pay AS (SELECT r.entity, r.asof, count(DISTINCT year(a.date)) AS payout_years FROM requests r JOIN adj_events a ON a.entity = r.entity AND a.date <= r.asof AND a.date >= r.asof - 1825 AND a.cash_dividend > 0 GROUP BY 1, 2),
  dy AS (SELECT r.entity, r.asof, m.return_12m, m.yield {ASOF.format(t='y')})"""
@@ -167,12 +167,12 @@ DIV = f"""{ADJ}, bars AS (SELECT entity, date, arg_min(px, seq) AS open, max(px)
    FROM dy d LEFT JOIN pay p ON p.entity = d.entity AND p.asof = d.asof""", "metric return_12m", digits=4, plain="payout_years"))
 def _dividend(spark, d):
     b = V.bars(spark, d)
-    y = b.filter(F.col("volume") % 5 != 0).select("entity", "date", (50000 / F.col("close")).alias("yield"))
+    y = b.filter(F.col("volume") > 8).select("entity", "date", (50000 / F.col("close")).alias("yield"))
     m = R.dividend_yield(quarter_requests(spark, d), y, b, V.adj_events(spark, d))
     return out(R.rank_table(m, universe(spark, d), "metric"), "metric return_12m", 4, "payout_years")
 
 
-CAPS = "caps AS (SELECT b.entity, b.date, CASE WHEN b.volume % 6 <> 0 THEN b.close * (1000 + floor(i.balance)) / 100 END AS market_cap FROM bars b JOIN (SELECT * FROM universe WHERE balance > -1000) i ON i.entity = b.entity)"
+CAPS = "caps AS (SELECT b.entity, b.date, CASE WHEN b.volume > 6 THEN b.close * (1000 + floor(i.balance)) / 100 END AS market_cap FROM bars b JOIN (SELECT * FROM universe WHERE balance > -1000) i ON i.entity = b.entity)"
 MAGIC = f"""{SERIES}, {FQ}, {REQUESTS}, {UNIVERSE}, {CAPS}, mq AS (SELECT entity, date, CASE WHEN {X.roll('count', 'cfo', 4)} = 4 THEN {X.roll('sum', 'cfo', 4)} END AS ebit_ttm, total_assets, current_liabilities AS total_liab, long_debt AS cash FROM fq),
  m1 AS (SELECT r.entity, r.asof AS asof, m.ebit_ttm, m.total_assets, m.total_liab, m.cash {ASOF.format(t='mq')}),
  m2 AS (SELECT m1.*, CASE WHEN m1.asof - c.date <= 60 THEN c.market_cap END AS market_cap FROM m1 ASOF LEFT JOIN (SELECT * FROM caps WHERE market_cap IS NOT NULL) c ON c.entity = m1.entity AND m1.asof >= c.date),
@@ -187,7 +187,7 @@ MAGIC = f"""{SERIES}, {FQ}, {REQUESTS}, {UNIVERSE}, {CAPS}, mq AS (SELECT entity
 def magic(spark, d):
     u, b = universe(spark, d), V.bars(spark, d)
     q = fq(spark, d).select("entity", "date", F.col("cfo").alias("ebit"), "total_assets", F.col("current_liabilities").alias("total_liab"), F.col("long_debt").alias("cash"))
-    caps = b.join(u.select("entity", "balance").filter("balance > -1000"), "entity").select("entity", "date", F.when(F.col("volume") % 6 != 0, F.col("close") * (1000 + F.floor("balance")) / 100).alias("market_cap"))
+    caps = b.join(u.select("entity", "balance").filter("balance > -1000"), "entity").select("entity", "date", F.when(F.col("volume") > 6, F.col("close") * (1000 + F.floor("balance")) / 100).alias("market_cap"))
     return R.magic_formula(R.magic_inputs(quarter_requests(spark, d), q, caps), u)
 
 

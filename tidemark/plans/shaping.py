@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from tidemark.operators import aggregates as A
 from tidemark.operators import pit as P
 from tidemark.plans.ctes import ADJ, BARS, CALENDAR, FACTS, INFO, INST, LEVELS, REVENUE, SERIES, STATEMENT
+from tidemark.plans.events import LOAN_SQL, STATEMENT_SQL, loans, statements
 from tidemark.plans.registry import query, rnd, rnds, tidy
 from tidemark.sources import shaping as S
 from tidemark.sources import views as V
@@ -55,7 +56,7 @@ def _append(spark, d):
     return S.append_new(f.filter("k < 50"), f.select(*keys), keys)
 
 
-@query("forecast_upsert_immutable", "A6", f"""WITH {SERIES}, o AS (SELECT entity, date AS forecast_date, close AS point, CASE WHEN idx % 3 = 0 THEN date + 30 END AS resolved_date, 1 AS version FROM s),
+@query("forecast_upsert_immutable", "A6", f"""WITH {SERIES}, o AS (SELECT entity, date AS forecast_date, close AS point, CASE WHEN date < DATE '1999-01-01' THEN date + 30 END AS resolved_date, 1 AS version FROM s),
  n AS (SELECT entity, date AS forecast_date, close * 2 AS point, CAST(NULL AS DATE) AS resolved_date, 2 AS version FROM s)
  SELECT entity, forecast_date, point, resolved_date, version FROM (SELECT * FROM o UNION ALL SELECT * FROM n)
  QUALIFY row_number() OVER (PARTITION BY entity, forecast_date ORDER BY resolved_date IS NOT NULL DESC, version DESC) = 1""")
@@ -63,7 +64,7 @@ def _forecast_upsert(spark, d):
     from tidemark.operators.indicators import indexed
 
     b = indexed(V.bars(spark, d))
-    old = b.select("entity", F.col("date").alias("forecast_date"), F.col("close").alias("point"), F.when(F.col("idx") % 3 == 0, F.date_add("date", 30)).alias("resolved_date"), F.lit(1).alias("version"))
+    old = b.select("entity", F.col("date").alias("forecast_date"), F.col("close").alias("point"), F.when(F.col("date") < "1999-01-01", F.date_add("date", 30)).alias("resolved_date"), F.lit(1).alias("version"))
     new = b.select("entity", F.col("date").alias("forecast_date"), (F.col("close") * 2).alias("point"), F.lit(None).cast("date").alias("resolved_date"), F.lit(2).alias("version"))
     return S.upsert_forecasts(old, new, ["entity", "forecast_date"], "version")
 
@@ -140,10 +141,10 @@ def _shadowed(spark, d):
     return tidy(S.drop_shadowed(s.unionByName(p), "split", "par_value_change", ["before_price", "reference_price"]), "entity", "date", "event_type", "before_price", "reference_price")
 
 
-@query("materialise_missing", "A16", f"""WITH {BARS} SELECT entity, date, 'v2' AS version, close FROM bars WHERE date BETWEEN DATE '1998-01-01' AND DATE '2000-12-31' AND (volume + entity) % 3 <> 0""")
+@query("materialise_missing", "A16", f"""WITH {BARS} SELECT entity, date, 'v2' AS version, close FROM bars WHERE date BETWEEN DATE '1998-01-01' AND DATE '2000-12-31' AND NOT (close > open)""")
 def _missing(spark, d):
     b = V.bars(spark, d)
-    stored = b.filter((F.col("volume") + F.col("entity")) % 3 == 0).select("entity", "date", F.lit("v2").alias("version"))
+    stored = b.filter(F.col("close") > F.col("open")).select("entity", "date", F.lit("v2").alias("version"))
     due = b.filter(F.col("date").between("1998-01-01", "2000-12-31")).select("entity", "date", F.lit("v2").alias("version"), "close")
     return due.join(stored, ["entity", "date", "version"], "left_anti")
 
@@ -222,10 +223,8 @@ def _monthly(spark, d):
     return A.period_bars(V.bars(spark, d), "month")
 
 
-@query("loan_totals_dominant", "D7", None)
+@query("loan_totals_dominant", "D7", f"WITH {LOAN_SQL} SELECT entity, date, CAST(total AS BIGINT) AS total, dominant, {rnd('dominant_ratio')} FROM ind")
 def _loan_totals(spark, d):
-    from tidemark.plans.events import loans
-
     return tidy(loans(spark, d), "entity", "date", "total", "dominant", "dominant_ratio")
 
 
@@ -250,8 +249,6 @@ def _cumulative(spark, d):
     return tidy(A.cumulative_growth(V.period_revenue(spark, d)), "entity", "date", "cumulative", "cumulative_yoy")
 
 
-@query("statement_ratios", "E38,C15", None)
+@query("statement_ratios", "E38,C15", f"WITH {STATEMENT_SQL} SELECT entity, date, {rnds('gross_margin debt_ratio free_cash_flow roe roa')} FROM ind")
 def _ratios(spark, d):
-    from tidemark.plans.events import statements
-
     return tidy(statements(spark, d), "entity", "date", "gross_margin", "debt_ratio", "free_cash_flow", "roe", "roa")

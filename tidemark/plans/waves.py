@@ -132,7 +132,12 @@ def _gate(spark, d):
     return live(spark, d).groupBy("entity", "asof").agg(F.count("*").alias("n_scenarios"), F.count_if(dead).alias("n_invalidated"), F.bool_and(dead).alias("track_closed"))
 
 
-@query("wave_target_forecast", "J7", None)
+_RT = "rt(ratio) AS (VALUES " + ", ".join(f"({r}::DOUBLE)" for r in WV.FIB_RATIOS) + ")"
+_ZP = "CASE WHEN ratio < 1 THEN first_end - sign(first_end - first_start) * abs(first_end - first_start) * ratio ELSE first_end + sign(first_end - first_start) * abs(first_end - first_start) * ratio END"
+
+
+@query("wave_target_forecast", "J7", f"""WITH {LIVE}, {_RT}, pr AS (SELECT * FROM lv WHERE NOT dead AND "asof" - end_date <= 7 QUALIFY row_number() OVER (PARTITION BY entity, "asof" ORDER BY {_ORD}) = 1),
+ z AS (SELECT entity, "asof", degree, {_ZP} AS zp FROM pr, rt) SELECT entity, "asof", CASE any_value(degree) WHEN 'sub_minuette' THEN 21 WHEN 'minute' THEN 21 WHEN 'minor' THEN 63 ELSE 126 END AS horizon, {rnd('min(zp - abs(zp) * 0.02)', 'lower', 2)}, {rnd('max(zp + abs(zp) * 0.02)', 'upper', 2)}, {rnd('avg(zp)', 'point', 2)}, true AS internal_only FROM z GROUP BY 1, 2""")
 def _targets(spark, d):
     return tidy(WV.wave_targets(live(spark, d)), "entity", "asof", "horizon", "lower", "upper", "point", "internal_only", digits=2)
 
@@ -149,7 +154,14 @@ def _screen(spark, d):
 AXES = {"rr_min": [1.0, 1.5], "buffer": [0.03, 0.05, 0.10]}
 
 
-@query("threshold_sweep_metrics", "G14,D12", None)
+@query("threshold_sweep_metrics", "G14,D12", f"""WITH {LIVE}, ax AS (SELECT rr_min, buffer FROM (VALUES {', '.join(f'({v}::DOUBLE)' for v in AXES['rr_min'])}) a(rr_min), (VALUES {', '.join(f'({v}::DOUBLE)' for v in AXES['buffer'])}) b(buffer)),
+ q0 AS (SELECT lv.*, ax.*, abs(first_end - first_start) AS sz, least(first_start, first_end) AS fl, least(last_price, first_end, first_start) * (1 - buffer) AS stop FROM lv, ax WHERE legs = 3),
+ q1 AS (SELECT *, list_max(list_filter([{', '.join(f'fl + sz * {r}::DOUBLE' for r in WV.FIB_RATIOS)}], lambda v: v > close AND v <= close * 2.0::DOUBLE)) AS target FROM q0), q2 AS (SELECT *, CASE WHEN stop < close THEN (target - close) / (close - stop) END AS rr FROM q1),
+ q3 AS (SELECT *, CASE WHEN close IS NULL THEN 'no_current_price' WHEN "asof" - end_date > 14 THEN 'not_recent' WHEN direction > 0 THEN 'rising_correction' WHEN target IS NULL THEN 'no_target' WHEN stop >= close THEN 'stop_above_current'
+   WHEN (target - close) / close < 0.03 THEN 'upside_too_small' WHEN rr < rr_min THEN 'rr_below_threshold' WHEN rr > 20 THEN 'rr_above_cap' END AS why FROM q2),
+ tr0 AS (SELECT rr_min, buffer, "asof", why, count(*) AS c FROM q3 WHERE why IS NOT NULL GROUP BY 1, 2, 3, 4), tr AS (SELECT * FROM tr0 QUALIFY row_number() OVER (PARTITION BY rr_min, buffer, "asof" ORDER BY c DESC, why DESC) = 1),
+ g AS (SELECT rr_min, buffer, "asof", count(*) AS n_rows, count(*) FILTER (why IS NULL) AS n_candidates, count(*) FILTER (rr > 20) AS n_outliers, quantile_cont(CASE WHEN why IS NULL THEN rr END, 0.5) AS rr_p50, quantile_cont(CASE WHEN why IS NULL THEN rr END, 0.95) AS rr_p95 FROM q3 GROUP BY 1, 2, 3)
+ SELECT {rnd('g.rr_min', 'rr_min', 3)}, {rnd('g.buffer', 'buffer', 3)}, g.asof AS "asof", n_rows, n_candidates, n_outliers, {rnd('rr_p50', digits=3)}, {rnd('rr_p95', digits=3)}, tr.why AS top_reason FROM g LEFT JOIN tr ON tr.rr_min = g.rr_min AND tr.buffer = g.buffer AND tr.asof = g.asof""")
 def _sweep(spark, d):
     from tidemark.session import cut
 
