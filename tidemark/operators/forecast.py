@@ -249,11 +249,16 @@ def conformal(forecasts: DataFrame, settled: DataFrame, window: int = 500, min_s
 def mean_recent_loss(settled: DataFrame, asof_days: DataFrame, window: int = 100, min_n: int = 30) -> DataFrame:
     """Mean loss of the latest ``window`` settled rows per (source, horizon, confidence) and as-of day.
 
-    ``asof_days`` (asof) is a short list of calendar days.  Rows are limited per group before the
-    shuffle (top-k window), so no group is gathered whole.
+    Rows of one issue day beyond the first ``window`` can never count, so each day is limited first
+    (Spark limits before the shuffle); what then meets the few as-of days is bounded by cells, days
+    and ``window``, whatever the number of entities.
     """
-    df = settled.join(F.broadcast(asof_days), settled["resolved_date"] <= asof_days["asof"])
-    w = Window.partitionBy("asof", "source", "horizon", "confidence").orderBy(F.desc("forecast_date"), "entity")
+    cell = ["source", "horizon", "confidence"]
+    day = Window.partitionBy(*cell, "forecast_date").orderBy("entity")
+    df = settled.select(*cell, "forecast_date", "resolved_date", "entity", "pinball").withColumn("_rn", F.row_number().over(day)).filter(F.col("_rn") <= window).drop("_rn")
+    days = F.broadcast(asof_days.groupBy().agg(F.sort_array(F.collect_set("asof")).alias("_days")))
+    df = df.join(days).withColumn("asof", F.explode(F.filter("_days", lambda d: d >= F.col("resolved_date")))).drop("_days")
+    w = Window.partitionBy("asof", *cell).orderBy(F.desc("forecast_date"), "entity")
     top = df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= window)
     return top.groupBy("asof", "source", "horizon", "confidence").agg(F.avg("pinball").alias("mean_pinball"), F.count("*").alias("n")).filter(F.col("n") >= min_n)
 

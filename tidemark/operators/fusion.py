@@ -59,13 +59,23 @@ def health(requests: DataFrame, signs: DataFrame, dimension_of: dict[str, str],
     return out.withColumn("overall", sum((F.col(k) * w for k, w in DIMENSION_WEIGHTS.items()), F.lit(0.0)))
 
 
+def on_recent_days(rows: DataFrame, days: DataFrame, lookback: int) -> DataFrame:
+    """Rows of the last ``lookback`` days per as-of day: a hash join on covered months, then the exact cut.
+
+    ``days`` (asof) is a calendar, one row per day at most, hence broadcast.
+    """
+    months = F.explode(F.sequence(F.trunc(F.date_sub("asof", lookback), "month"), F.trunc("asof", "month"), F.expr("interval 1 month")))
+    near = rows.withColumn("_m", F.trunc("date", "month")).join(F.broadcast(days.select("asof", months.alias("_m"))), "_m")
+    return near.filter((F.col("date") <= F.col("asof")) & (F.col("date") >= F.date_sub("asof", lookback))).drop("_m")
+
+
 def alert_summary(days: DataFrame, alerts: DataFrame, lookback: int = 60) -> DataFrame:
     """Market-wide alert counts per as-of day: active entities, announced in 14 d, escalations in 60 d.
 
     Alerts are first reduced to one row per (entity, day, kind); ``days`` is a short calendar list.
     """
     a = alerts.groupBy("entity", "date", "event_kind").agg(F.max("period_end").alias("period_end"), F.count("*").alias("n"))
-    j = a.join(F.broadcast(days), (F.col("date") <= F.col("asof")) & (F.col("date") >= F.date_sub("asof", lookback)))
+    j = on_recent_days(a, days, lookback)
     is_ = lambda k: F.col("event_kind") == k
     return j.groupBy("asof").agg(
         F.countDistinct(F.when(is_("entered") & (F.col("period_end") >= F.col("asof")), F.col("entity"))).alias("active"),
@@ -84,7 +94,7 @@ def climate(days: DataFrame, signs: DataFrame, component_of: dict[str, str], ale
     """Weighted market score per as-of day and its label.  ``signs`` holds market-level daily signs."""
     comp = F.create_map(*[F.lit(x) for kv in component_of.items() for x in kv])
     d = signs.withColumn("component", comp[F.col("source")]).filter("component is not null").groupBy("component", "date").agg(F.sum("net").alias("net"))
-    j = d.join(F.broadcast(days), (F.col("date") <= F.col("asof")) & (F.col("date") >= F.date_sub("asof", lookback)))
+    j = on_recent_days(d, days, lookback)
     s = j.groupBy("asof", "component").agg(F.greatest(F.lit(-100.0), F.least(F.lit(100.0), F.sum(F.col("net") * 25.0 * decay(F.datediff("asof", "date"))))).cast("int").alias("score"))
     if alerts is not None:
         s = s.unionByName(alert_summary(days, alerts, lookback).select("asof", F.lit("risk_alert").alias("component"), alert_score().alias("score")))

@@ -194,8 +194,15 @@ def top_rows_at(ranked: DataFrame, requests: DataFrame, n: int) -> DataFrame:
     return ranked.filter(F.col("rank") <= n).join(F.broadcast(newest), "date")
 
 
-def top_signals(signals: DataFrame, n: int = 5, scale: float = 14.0) -> DataFrame:
-    """Strongest signals per (entity, asof) by age-decayed weight; a filter Spark limits before the shuffle."""
-    df = signals.withColumn("weight", F.abs("sign") * F.exp(-F.datediff("asof", "fact_date") / scale))
+def top_signals(requests: DataFrame, signals: DataFrame, n: int = 5, lookback: int = 30, scale: float = 14.0) -> DataFrame:
+    """Strongest signals per (entity, asof) by age-decayed weight.
+
+    Signals of one day share their age, so each (entity, day) is limited to its ``n`` best first; the
+    limit runs ahead of the shuffle and bounds what meets the requests.
+    """
+    day = Window.partitionBy("entity", "fact_date").orderBy(F.desc(F.abs("sign")), "event_id")
+    best = signals.withColumn("_rn", F.row_number().over(day)).filter(F.col("_rn") <= n).drop("_rn")
+    df = range_join(requests, best, lookback, row_time="fact_date")
+    df = df.withColumn("weight", F.abs("sign") * F.exp(-F.datediff("asof", "fact_date") / scale))
     rn = F.row_number().over(Window.partitionBy("entity", "asof").orderBy(F.desc("weight"), "event_id"))
     return df.withColumn("signal_rank", rn).filter(F.col("signal_rank") <= n)

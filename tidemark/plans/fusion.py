@@ -53,11 +53,8 @@ def _health(spark, d):
 @query("top_signals", "G17", f"""WITH {FACTS}, {WEEKS} SELECT r.entity, r.asof AS "asof", f.event_id, {rnd(f'abs({SIGN}) * exp(-(r.asof - fact_date) / 14.0::DOUBLE)', 'weight')}, CAST(row_number() OVER (PARTITION BY r.entity, r.asof ORDER BY abs({SIGN}) * exp(-(r.asof - fact_date) / 14.0::DOUBLE) DESC, event_id) AS INTEGER) AS signal_rank
  FROM requests r JOIN facts f ON f.entity = r.entity AND f.fact_date <= r.asof AND f.fact_date >= r.asof - 30 QUALIFY signal_rank <= 5""")
 def _signals(spark, d):
-    from tidemark.operators.pit import range_join
-
     f = V.facts(spark, d).withColumn("sign", FU.kind_sign("event_kind", {"GoldenCross": 1, "DeathCross": -1}))
-    j = range_join(week_requests(f), f.select("entity", "fact_date", "event_id", "sign"), 30, row_time="fact_date")
-    return tidy(RK.top_signals(j), "entity", "asof", "event_id", "weight", "signal_rank")
+    return tidy(RK.top_signals(week_requests(f), f.select("entity", "fact_date", "event_id", "sign")), "entity", "asof", "event_id", "weight", "signal_rank")
 
 
 @query("market_climate", "K8,D15", f"""WITH {FACTS}, days AS (SELECT DISTINCT CAST(date_trunc('week', fact_date) AS DATE) + 6 AS asof FROM facts), c0 AS (SELECT d.asof AS "asof", {_case(COMPONENTS)} AS comp, CAST(trunc(greatest(-100, least(100, sum({SIGN} * 25.0::DOUBLE * exp(-(d.asof - fact_date) / 14.0::DOUBLE))))) AS INTEGER) AS score FROM facts JOIN days d ON fact_date <= d.asof AND fact_date >= d.asof - 60 GROUP BY 1, 2)
