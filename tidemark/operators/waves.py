@@ -323,23 +323,28 @@ def trendlines(bars: DataFrame, swing_legs: DataFrame, lookback: int = 250, min_
             at = np.flatnonzero((pdf["way"] == way).to_numpy())
             p = pdf["pivot"].to_numpy(dtype=float)[at]
             for i in range(len(at) - 1):
-                for j in range(i + 1, len(at)):
-                    span = at[j] - at[i]
-                    if span < min_span:
-                        continue
-                    slope = (p[j] - p[i]) / span
-                    want = p[i] + slope * (at[i + 1:] - at[i])
-                    near = (want > 0) & (np.abs(p[i + 1:] - want) < tolerance * want)
-                    near[j - i - 1] = True
-                    inner, outer = int(near[:j - i].sum()) + 1, int(near[j - i:].sum())
-                    if inner + outer >= min_pivots:
-                        lines.append((kind, at[i], at[j], p[i], slope, inner, inner + outer))
+                # all lines that start at pivot i, against all later pivots
+                off = at[i + 1:] - at[i]
+                slope = (p[i + 1:] - p[i]) / off
+                want = p[i] + slope[:, None] * off
+                near = (want > 0) & (np.abs(p[i + 1:] - want) < tolerance * want)
+                np.fill_diagonal(near, True)
+                inner, total = np.tril(near).sum(axis=1) + 1, near.sum(axis=1) + 1
+                for j in np.flatnonzero((off >= min_span) & (total >= min_pivots)):
+                    lines.append((kind, at[i], at[i + 1 + j], p[i], slope[j], int(inner[j]), int(total[j])))
         lines.sort(key=lambda x: (-x[5], x[1]))
         kept: list = []
+        seen = {k: (np.empty(len(lines)), np.empty(len(lines))) for k in ("resistance", "support")}
+        n = {"resistance": 0, "support": 0}
         for ln in lines:
-            same = any(k[0] == ln[0] and abs(k[4] - ln[4]) / max(abs(k[4]), 1e-9) < 0.05 and abs((day[k[1]] - day[ln[1]]) / np.timedelta64(1, "D")) < 5 for k in kept)
-            if not same:
-                kept.append(ln)
+            m, (slopes, starts) = n[ln[0]], seen[ln[0]]
+            at = (day[ln[1]] - day[0]) / np.timedelta64(1, "D")
+            k = slopes[:m]
+            if m and ((np.abs(k - ln[4]) < 0.05 * np.maximum(np.abs(k), 1e-9)) & (np.abs(starts[:m] - at) < 5)).any():
+                continue
+            kept.append(ln)
+            slopes[m], starts[m] = ln[4], at
+            n[ln[0]] = m + 1
         if len(kept) > keep:
             kept = sorted(kept, key=lambda x: -x[6])[:keep]
         rows = []

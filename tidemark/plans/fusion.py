@@ -22,6 +22,7 @@ from tidemark.plans import waves as PW
 from tidemark.plans.ctes import FACTS, SERIES
 from tidemark.plans.pit import REQUESTS, quarter_requests
 from tidemark.plans.registry import query, rnd, rnds, tidy
+from tidemark.session import cut
 from tidemark.sources import views as V
 
 WEEKS = "requests AS (SELECT DISTINCT f.entity, CAST(date_trunc('week', f.fact_date) AS DATE) + 6 AS asof FROM facts f)"
@@ -169,7 +170,7 @@ def _key_levels(spark, d):
 @query("combined_key_levels", "K4", None)
 def _combined(spark, d):
     b = V.bars(spark, d)
-    lg = WV.legs(b)
+    lg = cut(WV.legs(b))  # read by the trendlines and by the zones
     sr = WV.support_resistance(b, touches=2, tolerance=0.03).select("entity", F.col("level").alias("price"), F.concat(F.lit("sr_"), "kind").alias("source"))
     tl = WV.trendlines(b, lg, min_pivots=3, tolerance=0.02).select("entity", F.col("price_now").alias("price"), F.when(F.col("broken_at").isNull(), "trendline").otherwise("trendline_historical").alias("source"))
     z = WV.fib_zones(WV.scenarios(WV.leg_metrics(lg))).select("entity", F.col("zone_price").alias("price"), F.lit("fib").alias("source"))
