@@ -361,3 +361,17 @@ def test_incremental_equals_full(spark):
     assert len(part) == 60 and all(abs(full[k] - v) < 1e-9 for k, v in part.items())
     with pytest.raises(ValueError):
         incremental(I.bollinger, b, str(day(299)), 30, 30)
+
+
+def test_hot_entity_becomes_an_ordinary_series(spark, tmp_path):
+    """A supplier with most raw rows yields one bar per day, with the right open and close."""
+    from tidemark.sources import views as V
+
+    hot = spark.range(6000).select(
+        F.col("id").alias("l_orderkey"), F.lit(1).cast("long").alias("l_suppkey"), F.lit(1).alias("l_linenumber"), F.lit(1.0).alias("l_quantity"), (F.col("id") + 1).cast("double").alias("l_extendedprice"),
+        F.lit(0.0).alias("l_discount"), F.lit("N").alias("l_returnflag"), F.lit("O").alias("l_linestatus"), F.expr("timestamp'2020-01-01' + make_interval(0, 0, 0, cast(id % 10 as int))").alias("l_shipdate"))
+    cold = hot.limit(20).withColumn("l_suppkey", F.lit(2).cast("long"))
+    hot.union(cold).write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = V.bars(spark, str(tmp_path)).filter("entity = 1").orderBy("date").collect()
+    assert len(got) == 10 and sum(r.volume for r in got) == 6000
+    assert (got[3].open, got[3].close, got[3].high) == (4.0, 5994.0, 5994.0)

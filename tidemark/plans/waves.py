@@ -142,7 +142,20 @@ def _targets(spark, d):
     return tidy(WV.wave_targets(live(spark, d)), "entity", "asof", "horizon", "lower", "upper", "point", "internal_only", digits=2)
 
 
-@query("wave_setup_screen", "G13", None)
+def _best_setup(live_sql: str, timeframe: str) -> str:
+    """Best setup per (entity, asof) under the default thresholds."""
+    return f"""WITH {live_sql.replace('r.asof - 60', 'r.asof - 14')}, q0 AS (SELECT *, abs(first_end - first_start) AS sz, least(first_start, first_end) AS fl, least(last_price, first_end, first_start) * 0.95::DOUBLE AS stop FROM lv WHERE legs = 3),
+ q1 AS (SELECT *, list_max(list_filter([{', '.join(f'fl + sz * {r}::DOUBLE' for r in WV.FIB_RATIOS)}], lambda v: v > close AND v <= close * 2.0::DOUBLE)) AS target FROM q0), q2 AS (SELECT *, CASE WHEN stop < close THEN (target - close) / (close - stop) END AS rr FROM q1)
+ SELECT entity, "asof", '{timeframe}' AS timeframe, pattern, power, rr, close AS entry, stop, target FROM q2 WHERE direction < 0 AND target IS NOT NULL AND stop < close AND (target - close) / close >= 0.03 AND rr >= 1.5 AND rr <= 20
+ QUALIFY row_number() OVER (PARTITION BY entity, "asof" ORDER BY rr DESC, wave_no DESC) = 1"""
+
+
+_WEEKLY = LIVE.replace("FROM bars)", "FROM weeks)", 1).replace(", s AS (", """, weeks AS (SELECT entity, CAST(date_trunc('week', date) AS DATE) + 6 AS date, arg_min(open, date) AS open, max(high) AS high, min(low) AS low, arg_max(close, date) AS close, CAST(sum(volume) AS BIGINT) AS volume FROM bars GROUP BY 1, 2), s AS (""", 1)
+
+
+@query("wave_setup_screen", "G13", f"""WITH dl AS ({_best_setup(LIVE, 'daily')}), wl AS ({_best_setup(_WEEKLY, 'weekly')}), u AS (SELECT * FROM dl UNION ALL SELECT * FROM wl), a AS (SELECT *, CASE WHEN count(*) OVER (PARTITION BY entity, "asof") > 1 THEN 1 ELSE 0 END AS aligned FROM u),
+ k AS (SELECT *, row_number() OVER (PARTITION BY "asof", timeframe ORDER BY aligned * 1000000.0::DOUBLE + round(rr, 4) * 100 + abs(power) DESC, entity) AS rank, count(*) OVER (PARTITION BY "asof", timeframe) AS n FROM a)
+ SELECT entity, "asof", timeframe, pattern, CAST(power AS INTEGER) AS power, {rnds('rr entry stop target', 3)}, aligned, CAST(rank AS INTEGER) AS rank, CAST(n AS INTEGER) AS universe_size, rank <= 30 AS is_top_n FROM k""")
 def _screen(spark, d):
     req, b = quarter_requests(spark, d), V.bars(spark, d)
     week = A.period_bars(b, "week").withColumnRenamed("period", "date").withColumn("date", F.date_add("date", 6))
