@@ -30,6 +30,14 @@ def _base(spark) -> str:
     return f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
 
 
+def in_turn(spark, rows, conditions, base, sink) -> None:
+    """Deliver the table in parts; after each the stream resumes from its checkpoint."""
+    for i, cond in enumerate(conditions):
+        rows.filter(cond).write.parquet(f"{base}/in/part={i}")
+        s = spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true").parquet(f"{base}/in")
+        S.run_to_end(s, f"{base}/cp", sink=sink)
+
+
 def ticks(spark, d):
     """The events table as a file stream."""
     schema = V.table(spark, d, "events").schema
@@ -76,10 +84,8 @@ def _ema_state(spark, d):
 def _restatement(spark, d):
     base = _base(spark)
     ev = V.adj_events(spark, d)
-    for i, cond in enumerate(("year(date) < 1998", "year(date) >= 1998")):
-        ev.filter(cond).coalesce(1).write.parquet(f"{base}/in/part={i}")
-    s = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(f"{base}/in")
-    S.run_to_end(s, f"{base}/cp", sink=S.restate(V.bars(spark, d), f"{base}/events", f"{base}/adjusted"))
+    sink = S.restate(V.bars(spark, d), f"{base}/events", f"{base}/adjusted")
+    in_turn(spark, ev, ["year(date) < 1998", "year(date) >= 1998"], base, sink)
     return tidy(S.versioned(spark, f"{base}/adjusted"), "entity", "date", "adj_close", "cum_af", digits=6)
 
 
@@ -87,10 +93,7 @@ def _restatement(spark, d):
 def _settlement(spark, d):
     base = _base(spark)
     b = V.bars(spark, d).select("entity", "date", "close")
-    for i, cond in enumerate(("year(date) < 1999", "year(date) >= 1999")):
-        b.filter(cond).coalesce(1).write.parquet(f"{base}/in/part={i}")
     pending = FC.baseline(prices(spark, d))
-    s = spark.readStream.schema(b.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(f"{base}/in")
-    S.run_to_end(s, f"{base}/cp", sink=S.settle_on_arrival(pending, f"{base}/bars", f"{base}/settled"))
+    in_turn(spark, b, ["year(date) < 1999", "year(date) >= 1999"], base, S.settle_on_arrival(pending, f"{base}/bars", f"{base}/settled"))
     out = spark.read.option("basePath", f"{base}/settled").parquet(f"{base}/settled/batch=*")
     return tidy(out, "entity", "forecast_date", "horizon", "confidence", "resolved_date", "realized", "hit", "pinball", digits=3)
