@@ -204,7 +204,7 @@ def snapshot(requests: DataFrame, facts: DataFrame, sections: dict[str, DataFram
     return out
 
 
-def event_rates(events: DataFrame, entities: int | None = None, limit: float = 12.0) -> DataFrame:
+def event_rates(events: DataFrame, limit: float = 12.0) -> DataFrame:
     """Events per entity and year by kind, and whether they exceed ``limit``."""
     per = events.groupBy("event_kind", "entity").agg(F.count("*").alias("n"), F.min("date").alias("a"), F.max("date").alias("b"))
     g = per.groupBy("event_kind").agg(F.sum("n").alias("n_events"), F.count("*").alias("n_entities"), F.min("a").alias("a"), F.max("b").alias("b"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.ranking import group_quantiles, ranked_rows
-from tidemark.functions.windows import latest_first, prev, run_length, series, trailing
+from tidemark.functions.windows import prev, run_length, series, trailing
 from tidemark.operators.indicators import indexed
 from tidemark.operators.pit import asof_join, range_join
 from tidemark.session import cut
@@ -54,8 +54,8 @@ def low_volatility(requests: DataFrame, bars: DataFrame, span: int = 252, min_cl
     return _at(requests, m, ["metric"]).withColumn("reason", F.when(F.col("metric").isNull(), "insufficient_history"))
 
 
-def persistent_momentum(requests: DataFrame, bars: DataFrame, half: int = 126, year: int = 252, month: int = 21, vol_limit: float = 1.5) -> DataFrame:
-    """Half-year return, 12-1 return, positive months out of six and a volatility-managed scale."""
+def persistent_momentum(requests: DataFrame, bars: DataFrame, half: int = 126, year: int = 252, month: int = 21) -> DataFrame:
+    """Half-year return, 12-1 return, positive months out of six and half-year volatility."""
     far, base = prev("close", year - 1), prev("close", half - 1)
     ups = sum((F.when(prev("close", 21 * m) > prev("close", 21 * (m + 1)), 1).otherwise(0) for m in range(1, 6)),
               F.when(F.col("close") > prev("close", 21), 1).otherwise(0))

@@ -10,7 +10,7 @@ from tidemark.operators import detection as D
 from tidemark.operators import indicators as I
 from tidemark.operators import recursive as R
 from tidemark.plans import indicators as P
-from tidemark.plans.ctes import BARS, INST, LEVELS, REVENUE, SERIES, STATEMENT
+from tidemark.plans.ctes import INST, REVENUE, SERIES, STATEMENT
 from tidemark.plans.registry import query, rnd, tidy
 from tidemark.sources import views as V
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions import scalars as K
 from tidemark.functions import texts as X
 from tidemark.functions.events import detect, pivots
 from tidemark.operators import detection as D

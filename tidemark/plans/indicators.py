@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import texts as X
-from tidemark.functions.windows import zscore_before, prev
+from tidemark.functions.windows import zscore_before
 from tidemark.operators import indicators as I
 from tidemark.operators import recursive as R
 from tidemark.plans.ctes import SERIES

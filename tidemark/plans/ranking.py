@@ -9,7 +9,7 @@ from tidemark.functions.ranking import group_quantiles, ranked_rows
 from tidemark.operators import aggregates as A
 from tidemark.operators import ranking as R
 from tidemark.plans import events as E
-from tidemark.plans.ctes import ADJ, BARS, FACTS, INFO, INST, REVENUE, SERIES, STATEMENT
+from tidemark.plans.ctes import ADJ, BARS, INFO, INST, SERIES, STATEMENT
 from tidemark.plans.pit import REQUESTS, quarter_requests
 from tidemark.plans.registry import query, rnd, rnds, tidy
 from tidemark.functions import scalars as K

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators import aggregates as A
 from tidemark.operators import pit as P
-from tidemark.plans.ctes import ADJ, BARS, CALENDAR, FACTS, INFO, INST, LEVELS, REVENUE, SERIES, STATEMENT
+from tidemark.plans.ctes import ADJ, BARS, FACTS, INFO, INST, LEVELS, REVENUE, SERIES, STATEMENT
 from tidemark.plans.events import LOAN_SQL, STATEMENT_SQL, loans, statements
 from tidemark.plans.registry import query, rnd, rnds, tidy
 from tidemark.sources import shaping as S

@@ -6,7 +6,6 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tidemark.functions import texts as X
 from tidemark.operators import forecast as FC
 from tidemark.operators import indicators as I
 from tidemark.plans import indicators as P

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions import texts as X
 from tidemark.operators import aggregates as A
 from tidemark.operators import waves as WV
 from tidemark.plans.indicators import ATR_SQL
