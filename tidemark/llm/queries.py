@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, packing, quality
+from tidemark.llm import html, language, mixing, neighbours, packing, quality, simhash
 from tidemark.llm.registry import query
 from tidemark.llm.shared import table
 
@@ -75,3 +75,32 @@ def word_vocabulary() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op5_simhash")
+def op5(spark, d):
+    rows = simhash.near_duplicates(table(spark, d, "documents"))
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op3_neighbours")
+def op3(spark, d):
+    rows = table(spark, d, "embeddings")
+    return neighbours.nearest(rows, rows.where("vec_id % 100 = 0"))
+
+
+def fold_of(n: int):
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+@query("op9_language_id")
+def op9(spark, d):
+    docs = table(spark, d, "documents")
+    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.coalesce(fold_of(5), F.lit(1)) != 0)).select("lang", "text")
+    rows = language.identify(docs, language.fit(language.training_rows(labelled)))
+    return rows.select("doc_id", F.coalesce(fold_of(5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query("op7_html_text")
+def op7(spark, d):
+    return html.extract(table(spark, d, "pages"))
