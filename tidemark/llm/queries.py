@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import html, language, mixing, neighbours, packing, quality, simhash
+from tidemark.llm import html, language, mixing, neighbours, packing, quality, simhash, toxicity
 from tidemark.llm.registry import query
 from tidemark.llm.shared import table
 
@@ -104,3 +104,9 @@ def op9(spark, d):
 @query("op7_html_text")
 def op7(spark, d):
     return html.extract(table(spark, d, "pages"))
+
+
+@query("op8_toxicity")
+def op8(spark, d):
+    rows = toxicity.score(table(spark, d, "documents"), table(spark, d, "labels"), usable=fold_of(4) != 2)
+    return rows.select("doc_id", F.coalesce(fold_of(4) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
