@@ -13,6 +13,7 @@ once per row; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import math
 import zlib
 from collections.abc import Iterable, Iterator
@@ -30,11 +31,63 @@ PLACED = f"{PIECES}, sequence_id long, offset long"
 CACHE_WORDS = 600_000
 
 
+#: Word pattern of the vocabulary for which white space and letter runs separate tokens (fixed value).
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def byte_letters() -> dict[int, int]:
+    """Printable stand-ins of byte-level vocabularies: printable bytes stay, the others follow at 256."""
+    stay = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    moved = [b for b in range(256) if b not in stay]
+    return {b: 256 + i for i, b in enumerate(moved)}
+
+
+class WordEncoder:
+    """Ids of white-space separated words, as little-endian bytes, exactly as the whole text gives.
+
+    A word of Latin letters with trailing stops is the letters' ids followed by the stops' ids, and letters
+    need only lower case before the merges; every other word takes the full tokenizer.
+    """
+
+    def __init__(self, tok):
+        self.tok, self.model, self.moved, self.stops = tok, tok.model, byte_letters(), {"": b""}
+
+    @staticmethod
+    def fits(spec: dict) -> bool:
+        kinds = lambda x, k: [y["type"] for y in (x or {}).get(k) or []]
+        pre = spec.get("pre_tokenizer")
+        return (
+            kinds(spec.get("normalizer"), "normalizers") == ["NFC", "Replace", "Lowercase"] and kinds(pre, "pretokenizers") == ["Split", "ByteLevel"]
+            and pre["pretokenizers"][0]["pattern"].get("Regex") == WORD_PATTERN and not spec["model"].get("dropout")
+        )
+
+    def __call__(self, words: list[bytes]) -> list[bytes]:
+        out, rest = [], []
+        for i, w in enumerate(words):
+            s = w.decode()
+            core = s.rstrip(".,")
+            if core.isalpha() and (core.isascii() or (max(core) < "\u0180" and "\u0130" not in core)):
+                ids = [t.id for t in self.model.tokenize(core.lower().encode().decode("latin-1").translate(self.moved))]
+                stop = s[len(core) :]
+                if stop not in self.stops:
+                    self.stops[stop] = self.full([stop])[0]
+                out.append(b"".join([x.to_bytes(4, "little") for x in ids]) + self.stops[stop])
+            else:
+                rest.append(i)
+                out.append(b"")
+        for i, ids in zip(rest, self.full([words[i].decode() for i in rest])):
+            out[i] = ids
+        return out
+
+    def full(self, texts: list[str]) -> list[bytes]:
+        return [b"".join([x.to_bytes(4, "little") for x in e.ids]) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+
 def tokenize(docs: DataFrame, path: str, window: int = 4096, end_id: int = 2, with_ids: bool = False) -> DataFrame:
     """One row per piece of at most ``window`` ids; ``with_ids`` adds the ids themselves.
 
-    White space always separates tokens of a word-level vocabulary, so each distinct word is encoded
-    once per task and documents are joined from the encoded words.
+    For a vocabulary whose tokens never cross white space each distinct word is encoded once per task and
+    documents are joined from the encoded words; with any other vocabulary whole texts are encoded.
     """
     schema = PIECES + (", ids array<int>" if with_ids else "")
     end = int(end_id).to_bytes(4, "little")
@@ -46,20 +99,27 @@ def tokenize(docs: DataFrame, path: str, window: int = 4096, end_id: int = 2, wi
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            by_word = WordEncoder.fits(json.load(f))
+        encode = WordEncoder(tok)
         cache: dict[bytes, bytes] = {}
         for batch in batches:
             cols: list[list] = [[] for _ in range(6)]
-            texts = [(t or "").encode("utf-8", "replace").split() for t in batch.column(1).to_pylist()]
-            new = list({w for ws in texts for w in ws if w not in cache})
-            if len(cache) + len(new) > CACHE_WORDS:
-                cache.clear()
-                new = list({w for ws in texts for w in ws})
-            for i in range(0, len(new), 20_000):
-                part = new[i : i + 20_000]
-                for w, e in zip(part, tok.encode_batch([w.decode() for w in part], add_special_tokens=False), strict=True):
-                    cache[w] = b"".join(x.to_bytes(4, "little") for x in e.ids)
-            for doc_id, words in zip(batch.column(0).to_pylist(), texts, strict=True):
-                ids = b"".join(map(cache.__getitem__, words)) + end
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            if by_word:
+                texts = [t.encode("utf-8", "replace").split() for t in texts]
+                new = list({w for ws in texts for w in ws if w not in cache})
+                if len(cache) + len(new) > CACHE_WORDS:
+                    cache.clear()
+                    new = list({w for ws in texts for w in ws})
+                for i in range(0, len(new), 20_000):
+                    part = new[i : i + 20_000]
+                    cache.update(zip(part, encode(part), strict=True))
+                found = (b"".join(map(cache.__getitem__, ws)) for ws in texts)
+            else:
+                found = (encode.full([t])[0] for t in texts)
+            for doc_id, ids in zip(batch.column(0).to_pylist(), found, strict=True):
+                ids += end
                 total = len(ids) // 4
                 for start in range(0, total, window):
                     piece = ids[start * 4 : (start + window) * 4]
