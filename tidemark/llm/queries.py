@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import html, language, mixing, neighbours, packing, quality, simhash, toxicity
+from tidemark.llm import html, language, mixing, neighbours, packing, quality, simhash, suffixes, toxicity
 from tidemark.llm.registry import query
 from tidemark.llm.shared import table
 
@@ -110,3 +110,9 @@ def op7(spark, d):
 def op8(spark, d):
     rows = toxicity.score(table(spark, d, "documents"), table(spark, d, "labels"), usable=fold_of(4) != 2)
     return rows.select("doc_id", F.coalesce(fold_of(4) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op1_suffix_dedup")
+def op1(spark, d):
+    rows = suffixes.strip_repeats(table(spark, d, "documents"))
+    return rows.select("doc_id", F.col("_n_bytes").alias("n_bytes"), F.col("_n_removed").alias("n_removed"), F.col("_n_spans").alias("n_spans"), F.col("_sha").alias("kept_sha256"))
