@@ -179,19 +179,41 @@ def training(docs: DataFrame, labels: DataFrame, toxic_rows: int = 1200, ordinar
     return by[1], by[0], float(counts.get(1, 0)), float(counts.get(0, 0))
 
 
-def score(docs: DataFrame, labels: DataFrame, usable: Column | None = None, **bounds) -> DataFrame:
-    """``doc_id, score`` for every row of ``docs``; ``usable`` limits the label rows to learn from."""
+def model_of(docs: DataFrame, labels: DataFrame, usable: Column | None = None, **bounds):
+    """A function from texts to scores, fitted on the labelled rows."""
     toxic, ordinary, n1, n0 = training(docs, labels, usable=usable, **bounds)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     if not toxic or not ordinary:
-        return rows.select("doc_id", F.lit(n1 / max(1.0, n1 + n0)).alias("score"))
+        share = n1 / max(1.0, n1 + n0)
+        return lambda: lambda texts: np.full(len(texts), share)
     plain, bad, curve = fit(toxic, ordinary, n1 / n0)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def opened():
         d = Distance(plain, bad)
+        return lambda texts: curve(np.array([d.features(t) for t in texts], float)) if texts else np.zeros(0)
+
+    return opened
+
+
+def score(docs: DataFrame, labels: DataFrame, usable: Column | None = None, **bounds) -> DataFrame:
+    """``doc_id, score`` for every row of ``docs``; ``usable`` limits the label rows to learn from."""
+    model = model_of(docs, labels, usable, **bounds)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores = model()
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores(b.column(1).to_pylist()), pa.float64())], names=["doc_id", "score"])
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, score double")
+
+
+def filter_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, usable: Column | None = None, **bounds) -> DataFrame:
+    """The rows of ``docs`` scored below ``threshold``, in one pass without a join."""
+    model = model_of(docs, labels, usable, **bounds)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores = model()
         for b in batches:
-            x = np.array([d.features(t) for t in b.column(1).to_pylist()], float).reshape(b.num_rows, -1)
-            s = curve(x) if b.num_rows else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64())], names=["doc_id", "score"])
+            yield b.filter(pa.array(scores(b.column(at).to_pylist()) < threshold, pa.bool_()))
 
-    return rows.mapInArrow(run, "doc_id long, score double")
+    return docs.mapInArrow(run, docs.schema)
