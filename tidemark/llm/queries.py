@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import html, language, mixing, neighbours, packing, quality, simhash, suffixes, toxicity
+from tidemark.llm import chat, html, language, mixing, neighbours, packing, quality, simhash, suffixes, toxicity
 from tidemark.llm.registry import query
 from tidemark.llm.shared import table
 
@@ -116,3 +116,23 @@ def op8(spark, d):
 def op1(spark, d):
     rows = suffixes.strip_repeats(table(spark, d, "documents"))
     return rows.select("doc_id", F.col("_n_bytes").alias("n_bytes"), F.col("_n_removed").alias("n_removed"), F.col("_n_spans").alias("n_spans"), F.col("_sha").alias("kept_sha256"))
+
+
+OP6_SQL = r"""
+WITH r AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS who, coalesce(text, '') AS text FROM conversations),
+p AS (SELECT DISTINCT conv_id, who AS speaker FROM r WHERE who <> 'system'),
+s AS (SELECT r.conv_id, speaker, CAST(floor(turn / 64) AS BIGINT) AS part, turn, who, text, who = speaker AS mine,
+  '<|im_start|>' || CASE WHEN who = speaker THEN 'assistant' WHEN who = 'system' THEN who ELSE 'user name=' || who END || chr(10) AS head, replace(text, '<|', '< |') || '<|im_end|>' || chr(10) AS body
+  FROM r JOIN p ON r.conv_id IS NOT DISTINCT FROM p.conv_id),
+o AS (SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, speaker, part ORDER BY turn, who, text ROWS UNBOUNDED PRECEDING) - length(body) AS pos FROM s)
+SELECT conv_id, speaker, part, count(*) AS n_turns, string_agg(head || body, '' ORDER BY turn, who, text) AS text,
+  string_agg(CAST(pos AS VARCHAR) || '-' || CAST(pos + length(body) - 1 AS VARCHAR), ' ' ORDER BY turn, who, text) FILTER (WHERE mine) AS masks
+FROM o GROUP BY conv_id, speaker, part
+"""
+
+
+@query("op6_perspectives", OP6_SQL)
+def op6(spark, d):
+    rows = chat.perspectives(table(spark, d, "conversations"))
+    masks = F.array_join(F.transform("masks", lambda m: F.concat(m["start"].cast("string"), F.lit("-"), m["stop"].cast("string"))), " ")
+    return rows.select("conv_id", "speaker", "part", "n_turns", "text", F.when(F.size("masks") > 0, masks).alias("masks"))
