@@ -1,0 +1,415 @@
+"""Operators on small fixtures against brute force; nulls, empties, ties, repeats, clashing columns."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+import xxhash
+
+from tidemark.llm import chat, html, language, mixing, neighbours, packing, quality, simhash, suffixes, toxicity
+from tidemark.llm.queries import word_vocabulary
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+WORDS = "amber birch cedar delta ember fjord grove heath inlet juniper knoll lagoon meadow north orchard pine quarry river slope tundra".split()
+
+
+def prose(rng, n):
+    return " ".join(rng.choice(WORDS) + str(rng.randrange(50)) for _ in range(n))
+
+
+def corpus(spark):
+    """Copies, near copies, shared passages, nulls, empties, ties and repeated rows; extra columns clash."""
+    rng = random.Random(4)
+    passage, base = prose(rng, 60), prose(rng, 120)
+    rows = [(i, prose(rng, rng.randrange(1, 90)), rng.choice(["en", "de", None]), rng.choice(["a", "b", None]), i) for i in range(30)]
+    rows += [(100 + i, f"{prose(rng, 20)} {passage} {prose(rng, 25)}", "en", "a", 0) for i in range(6)]
+    rows += [(200 + i, base, "en", "b", 0) for i in range(5)] + [(300, base.replace("amber", "ambre", 1), "en", "b", 0)]
+    rows += [(400, None, None, None, None), (401, "", "en", "a", 0), (402, " \n\t ", "en", "a", 0), (403, "x" * 900, "en", "a", 0), (None, passage, "en", "a", 1)]
+    rows += [rows[3], rows[3], (404, ("one two three four five six seven eight nine ten\n" * 30), "en", "b", 0), (405, prose(rng, 30000), "en", "b", 0)]
+    df = spark.createDataFrame(rows, DOCS)
+    extra = df.selectExpr("*", "1 AS start", "2 AS length", "3 AS fp", "4 AS size", "5 AS block", "6 AS key", "7 AS score", "8 AS tk", "9 AS src", "0 AS n", "0 AS turn")
+    return extra, rows
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return corpus(spark)
+
+
+def repeated_bytes(texts, first):
+    """Masks by brute force; ``texts`` in order of id."""
+    seen, at = {}, []
+    for i, b in enumerate(texts):
+        for j in range(len(b) - 199):
+            seen.setdefault(b[j : j + 200], []).append((i, j))
+    masks = [np.zeros(len(b), bool) for b in texts]
+    for places in seen.values():
+        for i, j in (places[1:] if first else places if len(places) > 1 else ()):
+            masks[i][j : j + 200] = True
+    return masks
+
+
+@pytest.mark.parametrize("mode", ["all", "first"])
+@pytest.mark.parametrize("hot", [4096, 2])
+def test_suffixes(docs, mode, hot):
+    df, rows = docs
+    rows = [r for r in rows if r[0] != 405]
+    got = suffixes.strip_repeats(df.where("doc_id IS NULL OR doc_id != 405"), mode=mode, hot_runs=hot)
+    assert got.columns[0] == "doc_id" and "tk" in got.columns
+    # with "first", repeated rows of one id and text are one document
+    uniq = sorted(set((r[0], r[1] or "") for r in rows), key=lambda r: (r[0] is not None, r[0] or 0))
+    base = [t.encode() for _, t in (uniq if mode == "first" else [(r[0], r[1] or "") for r in rows])]
+    masks = repeated_bytes(base, mode == "first")
+    ids = [i for i, _ in uniq] if mode == "first" else [r[0] for r in rows]
+    want = {}
+    for i, b, m in zip(ids, base, masks):
+        kept = np.frombuffer(b, np.uint8)[~m].tobytes()
+        want[i] = (len(b), int(m.sum()), int((np.diff(np.append(0, m.astype(int))) == 1).sum()), hashlib.sha256(kept).hexdigest())
+    found = [(r.doc_id, (r._n_bytes, r._n_removed, r._n_spans, r._sha)) for r in got.collect()]
+    assert len(found) == len(rows)
+    assert all(want[i] == v for i, v in found)
+    assert sum(v[1] for v in want.values()) > 1000
+
+
+def test_suffix_ranks_are_suffix_order():
+    rng = np.random.default_rng(0)
+    a = rng.integers(97, 99, 700).astype(np.uint8)
+    a[300:600] = a[0:300]
+    starts = np.arange(len(a) - 199)
+    b = a.tobytes()
+    want = {w: i for i, w in enumerate(sorted({b[s : s + 200] for s in starts}))}
+    assert suffixes.suffix_ranks(a, starts, 200).tolist() == [want[b[s : s + 200]] for s in starts]
+    before, after = suffixes.previous_factor_reaches(suffixes.suffix_ranks(a, starts, 200))
+    assert before[300:401].all() and after[:101].all() and not before[:101].any()
+
+
+def test_long_text_in_chunks(spark, monkeypatch):
+    rng = random.Random(1)
+    text = prose(rng, 9000)
+    df = spark.createDataFrame([(1, text), (2, text[3000:30000] + "!" + prose(rng, 10))], "doc_id long, text string")
+    monkeypatch.setattr(suffixes, "CHUNK", 4000)
+    got = {r.doc_id: r._n_removed for r in suffixes.strip_repeats(df).collect()}
+    assert got == {1: 27000, 2: 27000}
+
+
+def test_quality(docs):
+    df, rows = docs
+    got = quality.quality(df).collect()
+    assert len(got) == len(rows)
+    by = {}
+    for i, t, *_ in rows:
+        t = t or ""
+        w = re.findall(r"[^\x20\x09-\x0D]+", t)
+        grams = {}
+        for j in range(len(w) - 7):
+            grams.setdefault(tuple(w[j : j + 8]), []).append(j)
+        cover = {j + k for at in grams.values() if len(at) > 1 for j in at for k in range(8)}
+        lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        by[i] = (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(cover))
+    for r in got:
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == by[r.doc_id]
+        assert r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words)
+        assert not (r.kept and r.base_failed)
+    assert {r.doc_id: r.kept for r in got}[404] is False
+
+
+def test_quality_fences_adapt(spark):
+    rng = random.Random(2)
+    plain = [(i, prose(rng, 60), "en", "plain", 0) for i in range(150)]
+    marked = [(1000 + i, " ".join(w + "#" if j % 3 == 0 else w for j, w in enumerate(prose(rng, 60).split())), "en", "marked", 0) for i in range(150)]
+    odd = [(5000, marked[0][1], "en", "plain", 0), (5001, "".join(f"{w}### " for w in prose(rng, 60).split()), "en", "marked", 0)]
+    kept = {r.doc_id: r.kept for r in quality.quality(spark.createDataFrame(plain + marked + odd, DOCS)).collect()}
+    assert all(kept[r[0]] for r in plain + marked)  # a source's own habits don't fail it
+    assert not kept[5001] and not kept[5000]  # the same text is odd in another source
+    edges = spark.createDataFrame([(v,) for v in [*range(200), 1000, 65535]], "v long").select("v", quality.cell("v").alias("cell")).withColumn("low", quality.cell_floor())
+    assert all(r.low <= r.v < r.low * 17 / 16 + 1 for r in edges.collect())
+
+
+def brute_neighbours(rows, queries, k):
+    ok = [(i, np.array(v, float)) for i, v in rows if i is not None and v and all(c is not None and math.isfinite(c) for c in v) and any(v)]
+    out = {}
+    for i, v in ok:
+        if i in queries:
+            d = sorted((float(np.sqrt(((v - w) ** 2).sum())), j) for j, w in ok if j != i and len(w) == len(v))
+            out[i] = d[:k]
+    return out
+
+
+def test_neighbours(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.standard_normal(16).round(3).tolist()) for i in range(600)]
+    rows += [(1000 + i, rows[0][1]) for i in range(40)]  # ties
+    rows += [(700, None), (800, [0.0] * 16), (900, [1.0] * 15 + [float("nan")]), (901, [1.0] * 15 + [None]), (902, []), (None, [1.0] * 16), (903, [1.0] * 4), (0, rows[0][1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "1 AS block", "2 AS score", "3 AS rank", "4 AS query_id")
+    got = neighbours.nearest(df, df.where("vec_id % 100 = 0")).orderBy("query_id", "rank").collect()
+    want = brute_neighbours(rows, set(range(0, 2000, 100)), 10)
+    found = {}
+    for r in got:
+        found.setdefault(r.query_id, []).append((r.score, r.vec_id))
+    assert set(found) == {q for q, w in want.items()}
+    assert [v for _, v in found[0]] == list(range(1000, 1010))
+    hit = sum(len({v for _, v in found[q]} & {v for _, v in want[q]}) for q in want)
+    assert hit >= 0.9 * sum(map(len, want.values()))
+    assert all(math.isclose(s, float(np.sqrt(((np.array(dict(rows)[q]) - np.array(dict(rows)[v])) ** 2).sum()))) for q in found for s, v in found[q] if q != 0)
+
+
+def test_neighbours_few(spark):
+    df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 1.0])], "vec_id long, embedding array<float>")
+    assert [(r.rank, r.vec_id) for r in neighbours.nearest(df, df.where("vec_id = 0")).orderBy("rank").collect()] == [(1, 2), (2, 1)]
+    assert neighbours.nearest(df.limit(0), df.limit(0)).count() == 0
+
+
+def test_mixing(docs):
+    df, rows = docs
+    got = mixing.draws(df).collect()
+    assert len(got) == len(rows)
+    sizes = {}
+    for r in got:
+        sizes[r.source] = sizes.get(r.source, 0) + r.size
+    total, order = 1.5 * sum(sizes.values()), sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    target, free = {}, set(order)
+    left = total
+    while True:  # share, stop at twice the size, share again
+        over = {s for s in free if left * weight[s] / sum(weight[x] for x in free) > 2 * sizes[s]}
+        if not over:
+            break
+        for s in over:
+            target[s] = 2.0 * sizes[s]
+            left -= target[s]
+        free -= over
+        if not free:
+            break
+    for s in free:
+        target[s] = left * weight[s] / sum(weight[x] for x in free)
+    taken, biggest = {}, {}
+    for r in got:
+        assert r.source_size == sizes[r.source] and math.isclose(r.target, target[r.source]) and len(r.draws) <= 2
+        taken[r.source] = taken.get(r.source, 0) + r.size * len(r.draws)
+        biggest[r.source] = max(biggest.get(r.source, 0), r.size)
+    assert all(abs(taken[s] - target[s]) <= biggest[s] for s in order)
+    assert sorted(map(str, got)) == sorted(map(str, mixing.draws(df.repartition(5)).collect()))
+
+
+def test_mixing_shards(spark):
+    rng = random.Random(5)
+    rows = [(i, prose(rng, rng.randrange(1, 9)), "en", rng.choice(["a", "b", "c"]), 0) for i in range(900)]
+    df = spark.createDataFrame(rows, DOCS)
+    got = mixing.draws(df, block_docs=4, blocks_per_shard=10)
+    shards = {r["shard"]: r["n"] for r in got.selectExpr("explode(draws) d").groupBy("d.shard").count().withColumnRenamed("count", "n").collect()}
+    assert len(shards) == 64 and max(shards.values()) < 4 * min(shards.values())
+    out = mixing.mix(df, block_docs=4, blocks_per_shard=10)
+    assert out.columns == df.columns and out.count() == sum(shards.values())
+
+
+def test_splitting_tree_is_exact_and_unbiased(spark):
+    quotas = spark.createDataFrame([("=a", 1, 700), ("=b", 2, 260), ("=c", 3, 40), ("=d", 4, 0)], "src string, pos int, slots long")
+    rows = mixing.splitting_tree(quotas, 3).collect()
+    per, leaf = {}, {}
+    for r in rows:
+        per[r.src] = per.get(r.src, 0) + r["last"] - r["first"]
+        leaf[r.leaf] = leaf.get(r.leaf, 0) + r["last"] - r["first"]
+    assert per == {"=a": 700, "=b": 260, "=c": 40} and set(leaf.values()) == {125}
+    draws = [sum(r["last"] - r["first"] for r in mixing.splitting_tree(quotas, 1, f"s{i}").collect() if r.leaf == 0 and r.src == "=b") for i in range(8)]
+    sd = math.sqrt(500 * 0.26 * 0.74 * 500 / 999)
+    assert abs(np.mean(draws) - 130) < 4 * sd / math.sqrt(8) and len(set(draws)) > 2
+
+
+def test_simhash(docs):
+    df, rows = docs
+    got = simhash.near_duplicates(df).collect()
+    assert len(got) == len(rows)
+    fps = {}
+    for i, t, *_ in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+        sh = [" ".join(w[j : j + 3]) for j in range(len(w) - 2)] or ([" ".join(w)] if w else [])
+        h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in sh]
+        fps[i] = sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+    assert all((r.fp & (1 << 64) - 1) == fps[r.doc_id] for r in got)
+    ids = list(fps)
+    label = {i: i for i in ids}
+    for _ in ids:
+        for a in ids:
+            for b in ids:
+                if bin(fps[a] ^ fps[b]).count("1") <= 3:
+                    low = min((x for x in (label[a], label[b]) if x is not None), default=None)
+                    label[a] = label[b] = low
+    assert all(r.component_id == label[r.doc_id] for r in got)
+    kept = simhash.drop_near_duplicates(df)
+    assert kept.columns == df.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({v for v in label.values() if v is not None})
+
+
+@pytest.mark.parametrize("bucket", [2048, 4])
+def test_simhash_links(spark, bucket):
+    rng = np.random.default_rng(6)
+    fps = rng.integers(0, 1 << 64, 40, dtype=np.uint64)
+    chain = [fps[0]]
+    for _ in range(60):
+        chain.append(chain[-1] ^ np.uint64(sum(1 << int(b) for b in rng.choice(64, 3, replace=False))))
+    near = [fps[1] ^ np.uint64(1 << b) for b in range(64)]
+    far = [fps[2] ^ np.uint64(0b1111 << b) for b in range(0, 60, 4)]
+    every = np.unique(np.concatenate([fps, chain, near, far]).astype(np.uint64))
+    df = spark.createDataFrame([(int(x),) for x in every.view(np.int64)], "fp long")
+    roots = {r.node: r.root for r in simhash.components(simhash.links(df, bucket, 16)).collect()}
+    label = list(range(len(every)))
+    for i in range(len(every)):
+        for j in np.flatnonzero(np.bitwise_count(every ^ every[i]) <= 3):
+            a, b = label[i], label[j]
+            if a != b:
+                label = [min(a, b) if x in (a, b) else x for x in label]
+    signed = every.view(np.int64).tolist()
+    mine = [roots.get(x, x) for x in signed]
+    assert len(set(zip(mine, label))) == len(set(mine)) == len(set(label))
+
+
+PAGE = """<!DOCTYPE html><html><head><title>No</title><style>p{}</style><script>var t="</p>";</script></head><body class="has-sidebar">
+<header class="top"><h1>Site name</h1></header><nav><ul><li><a href=/>Home</a><li><a href="/a>b">Over</a></ul></nav><div class="cookieNotice">We use cookies</div>
+<main><h2>Title &amp; more</h2><p>First &lt;b&gt; par&nbsp; with
+ a <a href=x>link</a> in<br>it<p>Second one<ul><li>item one<li>item <b>two</b></ul><aside>Side</aside><form><label>Name</label></form>
+<section id="comments"><article><p>A reader says</p></article></section><!-- <p>hidden</p> --><p>Last &#8364; &unknown; words</main><footer>Foot</footer><div class=ad>Buy</div>"""
+
+
+def test_html(spark):
+    rows = [(1, "u", PAGE), (2, None, None), (3, "u", ""), (4, "u", "plain words only " * 20), (5, "u", "<article><p>cut off <b>he"), (5, "u", "<article><p>cut off <b>he"), (6, "u", "<article>" + "<div>" * 3000 + "deep" + "</p>" * 3000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS text", "2 AS n_chars")
+    got = {r.page_id: r for r in html.extract(df).collect()}
+    assert got[1].text.split("\n") == ["Title & more", "First <b> par with a link in it", "Second one", "item one", "item two", "Last € &unknown; words"]
+    assert got[2].text == got[3].text == "" and got[4].text == ("plain words only " * 20).strip() and got[5].text == "cut off he" and got[6].text == "deep"
+    assert all(r.n_chars == len(r.text) for r in got.values())
+    assert html.extract(df.limit(0)).count() == 0
+
+
+def test_html_tree_fits_its_table():
+    x = np.array([r[:-1] for r in html.LABELLED], float)
+    assert (html.classify(html.train(), x) == np.array([r[-1] for r in html.LABELLED], bool)).mean() >= 0.97
+
+
+def test_toxicity(spark):
+    rng = random.Random(7)
+    bad = ["snarlwort", "grubface", "muckbrain", "blisterhead"]
+    rows, labels = [], []
+    for i in range(400):
+        w = prose(rng, rng.choice((20, 60, 200, 2000))).split()
+        toxic = i % 4 == 0
+        if toxic:
+            for _ in range(3):
+                w.insert(rng.randrange(len(w)), rng.choice(bad))
+        rows.append((i, " ".join(w), None, None, 0))
+        labels.append((i, 1, int(toxic)))
+    rows += [(1000, None, None, None, 0), (1001, "", None, None, 0), (1002, "x", None, None, 0), (1003, prose(rng, 20000), None, None, 0), rows[0], (None, "a", None, None, None)]
+    labels += [(2000, 1, 1), (None, 1, 1), (5, 1, None)]
+    df = spark.createDataFrame(rows, DOCS).selectExpr("*", "1 AS score", "2 AS toxic")
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.score(df, lab, usable=lab["doc_id"] % 2 == 0).collect()}
+    assert all(0 <= s <= 1 for s in got.values())
+    held = [(got[i] >= 0.3, t) for i, _, t in labels[:400] if i % 2]
+    assert sum(a == bool(t) for a, t in held) / len(held) > 0.95
+    assert got[1000] == got[1001] < 0.3 and got[1003] < 0.9
+    left = toxicity.filter_toxic(df, lab)
+    assert left.columns == df.columns and left.count() < len(rows) - 80
+    assert {r.score for r in toxicity.score(df, lab.limit(0)).collect()} == {0.0}
+    assert toxicity.score(df.limit(0), lab).count() == 0
+
+
+def test_language(spark):
+    rng = random.Random(8)
+    sylls = {"aa": ["ka", "ri", "mo", "tun"], "bb": ["sch", "ein", "ung", "ver"], "cc": ["ção", "lha", "nho", "que"]}
+    make = lambda s, n: " ".join("".join(rng.choice(s) for _ in range(rng.randrange(1, 4))) for _ in range(n))
+    rows = [(lang, make(s, 60)) for lang, s in sylls.items() for _ in range(30)]
+    model = language.fit(rows)
+    tests = [(i, make(sylls[lang], 12), lang) for i, lang in enumerate([*sylls] * 10)]
+    odd = [(100, None, "und"), (101, "", "und"), (102, "12 34 !?", "und"), (103, make(sylls["bb"], 20000), "bb"), tests[0]]
+    df = spark.createDataFrame(tests + odd, "doc_id long, text string, want string").selectExpr("*", "1 AS lang_pred", "2 AS lang")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(df, model).collect()}
+    assert all(got[i][0] == want for i, _, want in tests + odd)
+    assert all(0 <= s <= 1 for _, s in got.values()) and got[100][1] == 0
+    assert {r.lang_pred for r in language.identify(df, language.fit([])).collect()} == {"und"}
+    assert language.training_rows(df.selectExpr("want AS lang", "text"), 5).__len__() <= 20
+
+
+def test_bloom_filters_have_no_false_negatives():
+    letters = language.letter_table()
+    rows = [(f"l{i}", " ".join(f"{a}{b}x" for a in "abcdefgh" for b in "ijklmnop")[i:]) for i in range(12)]
+    model = language.fit(rows, slots=1 << 12)
+    assert model.table.dtype == np.uint16
+    for lang, text in rows:
+        h = language.ngrams(text, letters)
+        mask = np.bitwise_and.reduce([model.table[s] for s in language.slots_of(h, 3, 1 << 12)])
+        assert (mask >> np.uint16(model.langs.index(lang)) & np.uint16(1)).all()
+
+
+def test_packing(docs):
+    from tokenizers import Tokenizer
+
+    df, rows = docs
+    tok = Tokenizer.from_file(word_vocabulary())
+    got = packing.pack(packing.tokenize(df, word_vocabulary()), part_rows=20).collect()
+    ids = {r[0]: np.array(tok.encode(r[1] or "", add_special_tokens=False).ids + [2], "<u4") for r in rows}
+    per, seqs = {}, {}
+    for r in got:
+        part = ids[r.doc_id][r.start : r.start + r.length]
+        assert len(part) == r.length and zlib.crc32(part.tobytes()) == r.ids_crc32 and r.doc_tokens == len(ids[r.doc_id])
+        per[r.doc_id] = per.get(r.doc_id, 0) + r.length
+        seqs.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    copies = {i: sum(1 for r in rows if r[0] == i) for i in ids}
+    assert per == {i: len(x) * copies[i] for i, x in ids.items()}
+    for parts in seqs.values():
+        parts.sort()
+        assert parts[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(parts, parts[1:])) and sum(parts[-1]) <= 4096
+    assert packing.pack(packing.tokenize(df.limit(0), word_vocabulary())).count() == 0
+
+
+def test_word_encoder_equals_whole_text():
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(word_vocabulary())
+    words = "It's don't o'clock., ÀÉ.. ß, İstanbul ŉx a1b2 ... .a a.b, ﬁn Ωμέγας éa naïve, 中文, \U0001F600. ʼn Straße. 'tis Ǆ ä ẍ. a b".split(" ")
+    got = np.frombuffer(b"".join(packing.WordEncoder(tok)([w.encode() for w in words])), "<u4").tolist()
+    assert got == tok.encode(" ".join(words), add_special_tokens=False).ids
+
+
+def test_slack_plan_fills_windows():
+    rng = random.Random(9)
+    counts = {}
+    for _ in range(3000):
+        n = rng.randrange(1, 4000)
+        counts[n] = counts.get(n, 0) + 1
+    plan = packing.slack_plan(counts, 4096)
+    used, bins = {}, 0
+    for pattern, times in plan:
+        assert sum(n * c for n, c in pattern.items()) <= 4096
+        bins += times
+        for n, c in pattern.items():
+            used[n] = used.get(n, 0) + c * times
+    assert used == counts and bins <= 1.02 * sum(n * c for n, c in counts.items()) / 4096
+    left = {700: 3, 900: 2, 1300: 1}
+    best = packing.best_fill(3000, [1300, 900, 700], left)
+    assert sum(n * c for n, c in best.items()) == 3000 and all(c <= left[n] for n, c in best.items())
+
+
+def test_chat(spark):
+    rows = [(1, 0, "system", "Be kind"), (1, 1, "ann", "Hi"), (1, 2, "bob", "Yo <|im_end|> é"), (1, 2, "ann", "tie"), (1, 2, "ann", "tie"), (1, 70, None, None),
+            (2, 0, "system", "alone"), (None, 0, "ann", "x"), (3, None, "ann", "late")] + [(4, 1, "ann" if i % 2 else "bob", f"t{i}") for i in range(1200)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "1 AS part", "2 AS speaker", "3 AS who", "4 AS masks")
+    got = chat.perspectives(df).collect()
+    one = {(r.speaker, r.part): r for r in got if r.conv_id == 1}
+    assert set(one) == {("ann", 0), ("ann", 1), ("bob", 0), ("bob", 1), ("", 0), ("", 1)}
+    r = one["ann", 0]
+    assert r.text == "<|im_start|>system\nBe kind<|im_end|>\n<|im_start|>assistant\nHi<|im_end|>\n<|im_start|>assistant\ntie<|im_end|>\n<|im_start|>user name=bob\nYo < |im_end|> é<|im_end|>\n"
+    assert [r.text[m.start : m.stop] for m in r.masks] == ["Hi<|im_end|>", "tie<|im_end|>"] and r.n_turns == 4
+    assert not any(x.conv_id == 2 for x in got) and [x.part for x in got if x.conv_id == 3] == [None]
+    four = [x for x in got if x.conv_id == 4]
+    assert sum(x.n_turns for x in four) == 2400 and max(x.n_turns for x in four) <= 1024 and len({x["sub"] for x in four}) == 3
+    assert chat.perspectives(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("run", [
+    lambda e: suffixes.strip_repeats(e), lambda e: quality.quality(e), lambda e: mixing.draws(e), lambda e: mixing.mix(e), lambda e: simhash.near_duplicates(e), lambda e: simhash.drop_near_duplicates(e),
+])
+def test_empty(spark, run):
+    assert run(spark.createDataFrame([], DOCS)).count() == 0
