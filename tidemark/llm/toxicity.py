@@ -129,8 +129,8 @@ def dictionaries(toxic: list[str], ordinary: list[str], toxic_size: int = 1500,
 class Curve:
     """Logistic regression by Newton steps; ``odds`` corrects the class shares of the fitted sample."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, odds: float, ridge: float = 1e-2):
-        self.mean, self.sd = x.mean(axis=0), x.std(axis=0) + 1e-9
+    def __init__(self, x: np.ndarray, y: np.ndarray, odds: float, ridge: float = 1.0):
+        self.mean, self.sd = x.mean(axis=0), np.maximum(x.std(axis=0), 0.25)
         z = self._design(x)
         w = np.zeros(z.shape[1])
         for _ in range(60):
