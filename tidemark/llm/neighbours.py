@@ -5,7 +5,7 @@ a sorted array. A query opens a window around its own projection on every line a
 together by virtual rehashing (radius ``R`` times ``growth`` per round; half width ``width * R / 2``). Each
 vector newly reached by a window counts one collision; at ``threshold`` collisions it is verified by its
 exact distance. A query stops in a block once ``k`` verified vectors lie within ``R``. With the defaults a
-vector at distance R has collided on a line with probability 0.84 and is verified at 0.6 of the lines.
+vector at distance R has collided on a line with probability 0.68 and is verified at 0.6 of the lines.
 
 Blocks hold at most ``block_rows`` vectors dealt evenly whatever their ids; queries meet every block in
 chunks of ``query_rows``, each block returns its ``k`` best per query, and the best of those are kept.
@@ -53,53 +53,64 @@ def _reached(order: np.ndarray, lo: np.ndarray, hi: np.ndarray, base: np.ndarray
     return np.repeat(base, n) + order[at]
 
 
-def search_block(q_ids, q, ids, x, k, projections=48, threshold=0.6, width=2.8, growth=1.25, seed=7, chunk=64):
+class Best:
+    """The ``k`` nearest verified vectors of every query so far."""
+
+    def __init__(self, queries: int, k: int):
+        self.k, self.queries = k, queries
+        self.q, self.id, self.d = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        self.worst = np.full(queries, np.inf)
+
+    def add(self, q: np.ndarray, ids: np.ndarray, d: np.ndarray) -> None:
+        near = d <= self.worst[q]
+        q, ids, d = (np.concatenate(x) for x in ((self.q, q[near]), (self.id, ids[near]), (self.d, d[near])))
+        order = np.lexsort((ids, d, q))
+        q, ids, d = q[order], ids[order], d[order]
+        rank = np.arange(len(q)) - np.searchsorted(q, q)
+        keep = rank < self.k
+        self.q, self.id, self.d = q[keep], ids[keep], d[keep]
+        full = rank == self.k - 1
+        self.worst[q[full]] = d[full]
+
+
+def search_block(q_ids, q, ids, x, k, projections=24, threshold=0.6, width=2.0, growth=1.5, seed=7, chunk=128):
     """Best ``k`` of a block for every query, as arrays (query id, vector id, distance)."""
     lines = np.random.default_rng(seed).standard_normal((x.shape[1], projections))
     px, pq = x @ lines, q @ lines
     order = np.argsort(px, axis=0, kind="stable")
     ranked = np.take_along_axis(px, order, axis=0)
     need = math.ceil(threshold * projections)
-    first = max(1e-12, float(np.sqrt(((px - px.mean(axis=0)) ** 2).mean()))) / 16
-    out = []
+    first = max(1e-12, float(np.sqrt(((px - px.mean(axis=0)) ** 2).mean()))) / 4
+    n, out = len(ids), []
     for a in range(0, len(q), chunk):
         part = np.arange(a, min(len(q), a + chunk))
-        n = len(ids)
         count = np.zeros(len(part) * n, np.int16)
-        near: list[list[tuple[float, int]]] = [[] for _ in part]
-        lo = np.array([np.searchsorted(ranked[:, j], pq[part, j]) for j in range(projections)])
+        best = Best(len(part), k)
+        lo = np.stack([np.searchsorted(ranked[:, j], pq[part, j]) for j in range(projections)])
         hi = lo.copy()
         live, radius = np.arange(len(part)), first
         while len(live):
             fresh = []
             for j in range(projections):
                 c = pq[part[live], j]
-                new_lo = np.searchsorted(ranked[:, j], c - width * radius / 2, "left")
-                new_hi = np.searchsorted(ranked[:, j], c + width * radius / 2, "right")
-                new_lo, new_hi = np.minimum(new_lo, lo[j, live]), np.maximum(new_hi, hi[j, live])
+                new_lo = np.minimum(np.searchsorted(ranked[:, j], c - width * radius / 2, "left"), lo[j, live])
+                new_hi = np.maximum(np.searchsorted(ranked[:, j], c + width * radius / 2, "right"), hi[j, live])
                 fresh += [_reached(order[:, j], new_lo, lo[j, live], live * n), _reached(order[:, j], hi[j, live], new_hi, live * n)]
                 lo[j, live], hi[j, live] = new_lo, new_hi
             hits = np.concatenate(fresh)
-            if len(hits):
-                more = np.bincount(hits, minlength=len(count)).astype(np.int16)
-                crossed = np.flatnonzero((count < need) & (count + more >= need))
-                count += more
-                for b in range(0, len(crossed), 65536):
-                    c = crossed[b : b + 65536]
-                    qi, vi = c // n, c % n
-                    d = np.sqrt(((q[part[qi]] - x[vi]) ** 2).sum(axis=1))
-                    own = ids[vi] == q_ids[part[qi]]
-                    for g, v, dist in zip(qi[~own].tolist(), ids[vi[~own]].tolist(), d[~own].tolist()):
-                        near[g].append((dist, v))
-            for g in live.tolist():
-                if len(near[g]) > k:
-                    near[g] = sorted(near[g])[:k]
+            more = np.bincount(hits, minlength=len(count)).astype(np.int16)
+            crossed = np.flatnonzero((count < need) & (count + more >= need))
+            count += more
+            for b in range(0, len(crossed), 65536):
+                qi, vi = np.divmod(crossed[b : b + 65536], n)
+                other = ids[vi] != q_ids[part[qi]]
+                qi, vi = qi[other], vi[other]
+                best.add(qi, ids[vi], np.sqrt(((q[part[qi]] - x[vi]) ** 2).sum(axis=1)))
             whole = ((lo[:, live] == 0) & (hi[:, live] == n)).all(axis=0)
-            done = np.array([len(near[g]) >= k and max(near[g])[0] <= radius for g in live.tolist()])
-            live = live[~(whole | done)]
+            live = live[~(whole | (best.worst[live] <= radius))]
             radius *= growth
-        out += [(q_ids[part[g]], v, d) for g, best in enumerate(near) for d, v in sorted(best)[:k]]
-    return [np.array(c, t) for c, t in zip(zip(*out), (np.int64, np.int64, np.float64))] if out else [np.zeros(0, t) for t in (np.int64, np.int64, np.float64)]
+        out.append((q_ids[part[best.q]], best.id, best.d))
+    return [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, t) for t in (np.int64, np.int64, np.float64)]
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, block_rows: int = 65536, query_rows: int = 8192, min_blocks: int = 64, **settings) -> DataFrame:
