@@ -25,11 +25,21 @@ def cut(df: DataFrame) -> DataFrame:
     application lie under one folder, so that a job can delete them together.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/tidemark-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    path = f"{_own_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark)}/tidemark-{spark.sparkContext.applicationId}"
+
+
+def drop_cuts(spark: SparkSession) -> None:
+    """Delete all tables this application has cut, once their results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once per row and bind it in ``body`` (a one-element ``transform``)."""
     return F.transform(F.array(value), body)[0]
