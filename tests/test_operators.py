@@ -313,9 +313,11 @@ def test_resonance_levels(spark):
     assert got == {100.0: ("strong", 21, "divergence"), 150.0: ("divergence", None, "divergence")}
 
 
-def test_thinning_keeps_even_positions(spark):
-    df = spark.range(12).select(F.lit(1).alias("g"), F.col("id").cast("double").alias("p"))
-    assert [r.p for r in FU.thin_lines(df, ["g"], "p", 5).orderBy("p").collect()] == [0.0, 3.0, 5.0, 8.0, 10.0]
+def test_signs_follow_the_catalogue(spark):
+    kinds = ["breakout_up", "breakdown", "zero_cross_positive", "debt_ratio_rising", "eps_turn_positive", "hammer", "doji", "unknown"]
+    df = spark.createDataFrame([(k,) for k in kinds], "k string")
+    assert [r.s for r in df.select(FU.kind_sign("k").alias("s")).collect()] == [1, -1, 1, -1, 1, 1, 0, 0]
+    assert [r.sign for r in D.DONCHIAN_RULES] == [1, -1]
 
 
 def test_support_resistance_brute_force(spark):

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import texts as X
+from tidemark.functions.signs import SIGNS
 
 
 @dataclass(frozen=True)
@@ -24,6 +25,10 @@ class Rule:
     spacing: int = 0
     group: str | None = None
 
+    @property
+    def sign(self) -> int:
+        return SIGNS.get(self.kind, 0)
+
 
 def candidates(series: DataFrame, rules: list[Rule]) -> DataFrame:
     """Evaluate all rules in one pass over the sorted series; one output row per hit."""
@@ -52,9 +57,9 @@ def keep_spaced(cands: DataFrame) -> DataFrame:
     kept = F.expr("""
         aggregate(
           array_sort(collect_list(struct(idx, event_kind, date, value, spacing))),
-          named_struct('last', cast(-1000000 as int), 'kept',
+          named_struct('last', cast(null as int), 'kept',
             cast(array() as array<struct<idx:int,event_kind:string,date:date,value:double,spacing:int>>)),
-          (acc, x) -> if(x.idx - acc.last >= x.spacing,
+          (acc, x) -> if(acc.last is null or x.idx - acc.last >= x.spacing,
                          named_struct('last', x.idx, 'kept', array_append(acc.kept, x)), acc),
           acc -> acc.kept)
     """)
@@ -67,13 +72,16 @@ def keep_spaced(cands: DataFrame) -> DataFrame:
 
 def detect(series: DataFrame, rules: list[Rule]) -> DataFrame:
     """Events (entity, date, event_kind, value) for a series that carries ``idx``."""
+    cols = ["entity", "date", "event_kind", "value"]
+    groups = {r.group or r.kind for r in rules if r.spacing}
+    spaced = [r for r in rules if (r.group or r.kind) in groups]
+    if not spaced:
+        return candidates(series, rules).select(*cols)
     found = candidates(series, rules)
-    if all(r.spacing == 0 for r in rules):
-        return found.select("entity", "date", "event_kind", "value")
-    if all(r.spacing > 0 for r in rules):
-        return keep_spaced(found).select("entity", "date", "event_kind", "value")
-    # Rules without spacing pass through the same greedy scan: a spacing of zero keeps every hit.
-    return keep_spaced(found).select("entity", "date", "event_kind", "value")
+    if len(spaced) == len(rules):
+        return keep_spaced(found).select(*cols)
+    in_spaced = F.col("grp").isin(sorted(groups))
+    return found.where(~in_spaced).select(*cols).unionByName(keep_spaced(found.where(in_spaced)).select(*cols))
 
 
 def is_pivot_high(e: str, n: int = 3) -> str:

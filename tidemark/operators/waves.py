@@ -304,11 +304,11 @@ def level_events(bars: DataFrame, levels: DataFrame, lookback: int = 120, retest
     return breaks.unionByName(flips)
 
 
-def trendlines(bars: DataFrame, swing_legs: DataFrame, lookback: int = 250, min_pivots: int = 5, tolerance: float = 0.005, min_span: int = 30, keep: int = 50) -> DataFrame:
+def trendlines(bars: DataFrame, swing_legs: DataFrame, lookback: int = 250, min_pivots: int = 5, tolerance: float = 0.005, min_span: int = 30) -> DataFrame:
     """Lines through same-side leg ends of the last ``lookback`` bars touched by ``min_pivots`` points.
 
     Pairs are formed inside one entity's bounded look-back, never shuffled.  Near-duplicates (slope
-    within 5 %, start within 5 days) go; the ``keep`` most touched remain; a close 2 % beyond breaks it.
+    within 5 %, start within 5 days) go, the others all stay with their ``touches``; a close 2 % beyond breaks it.
     """
     rn = F.row_number().over(Window.partitionBy("entity").orderBy(F.desc("date")))
     recent = bars.withColumn("_rn", rn).filter(F.col("_rn") <= lookback)
@@ -345,8 +345,6 @@ def trendlines(bars: DataFrame, swing_legs: DataFrame, lookback: int = 250, min_
             kept.append(ln)
             slopes[m], starts[m] = ln[4], at
             n[ln[0]] = m + 1
-        if len(kept) > keep:
-            kept = sorted(kept, key=lambda x: -x[6])[:keep]
         rows = []
         for kind, a, b, p0, slope, inner, total in kept:
             line = p0 + slope * np.arange(1, len(close) - a)

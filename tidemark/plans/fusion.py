@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from tidemark.functions import texts as X
@@ -20,7 +22,8 @@ from tidemark.plans import indicators as P
 from tidemark.plans import waves as PW
 from tidemark.plans.ctes import FACTS, SERIES
 from tidemark.plans.pit import REQUESTS, quarter_requests
-from tidemark.plans.registry import query, rnd, rnds, tidy
+from tidemark.functions.signs import FALL, RISE
+from tidemark.plans.registry import ORACLES, QUERIES, query, rnd, rnds, tidy
 from tidemark.session import cut
 from tidemark.sources import views as V
 
@@ -176,7 +179,8 @@ def _combined(spark, d):
     return tidy(FU.key_levels(sr.unionByName(tl).unionByName(z)), digits=3)
 
 
-STOPS = f"""WITH {TOPL.replace(SERIES, P.ATR_SQL)}, en AS (SELECT entity, date, close AS entry, atr FROM ind), x AS (SELECT en.*, dr.direction, CASE WHEN dr.direction = 'long' THEN 1.0::DOUBLE ELSE -1.0 END AS sd, (SELECT max(level) FROM kl WHERE kl.entity = en.entity AND level < entry) AS below, (SELECT min(level) FROM kl WHERE kl.entity = en.entity AND level > entry) AS above FROM en, (VALUES ('long'), ('short')) dr(direction))
+EVERY = PIV + ", kl AS (SELECT * FROM cl)"
+STOPS = f"""WITH {EVERY.replace(SERIES, P.ATR_SQL)}, en AS (SELECT entity, date, close AS entry, atr FROM ind), x AS (SELECT en.*, dr.direction, CASE WHEN dr.direction = 'long' THEN 1.0::DOUBLE ELSE -1.0 END AS sd, (SELECT max(level) FROM kl WHERE kl.entity = en.entity AND level < entry) AS below, (SELECT min(level) FROM kl WHERE kl.entity = en.entity AND level > entry) AS above FROM en, (VALUES ('long'), ('short')) dr(direction))
  SELECT entity, date, direction, {rnd('entry - sd * 2 * atr', 'atr_stop', 2)}, {rnd('entry + sd * 4 * atr', 'atr_target', 2)}, {rnd("CASE WHEN direction = 'long' THEN below ELSE above END", 'level_stop', 2)}, {rnd("CASE WHEN direction = 'long' THEN above ELSE below END", 'level_target', 2)} FROM x"""
 
 
@@ -184,20 +188,20 @@ STOPS = f"""WITH {TOPL.replace(SERIES, P.ATR_SQL)}, en AS (SELECT entity, date,
 def _stops(spark, d):
     b = V.bars(spark, d)
     e = R.atr(b).select("entity", "date", F.col("close").alias("entry"), "atr")
-    return tidy(FU.stops_and_targets(e, FU.key_levels(pivot_points(spark, d))), "entity", "date", "direction", "atr_stop", "atr_target", "level_stop", "level_target", digits=2)
+    return tidy(FU.stops_and_targets(e, FU.cluster_levels(pivot_points(spark, d))), "entity", "date", "direction", "atr_stop", "atr_target", "level_stop", "level_target", digits=2)
 
 
 _CANDLES = E.rules_sql(SERIES + ", ind AS (SELECT * FROM s)", D.CANDLE_RULES, "ind", [D.CANDLE_STAGE_0, D.CANDLE_STAGES_1, D.CANDLE_STAGES_2])
 
 
-@query("patterns_near_levels", "K6,C13", f"""WITH {TOPL}, pat AS ({_CANDLES}), ev AS (SELECT p.entity, p.date, p.event_kind, s.close AS price FROM pat p JOIN s ON s.entity = p.entity AND s.date = p.date), x AS (SELECT ev.*, (SELECT arg_min(level, (abs(level - price), level)) FROM kl WHERE kl.entity = ev.entity) AS level FROM ev)
+@query("patterns_near_levels", "K6,C13", f"""WITH {EVERY}, pat AS ({_CANDLES}), ev AS (SELECT p.entity, p.date, p.event_kind, s.close AS price FROM pat p JOIN s ON s.entity = p.entity AND s.date = p.date), x AS (SELECT ev.*, (SELECT arg_min(level, (abs(level - price), level)) FROM kl WHERE kl.entity = ev.entity) AS level FROM ev)
  SELECT entity, date, event_kind, price, {rnd('level', digits=3)}, {rnd('abs(level - price)', 'distance', 3)}, abs(level - price) <= price * 0.02 AS is_near FROM x""")
 def _near(spark, d):
     b = I.indexed(V.bars(spark, d))
     staged = D.staged(D.staged(D.staged(b, **D.CANDLE_STAGE_0), **D.CANDLE_STAGES_1), **D.CANDLE_STAGES_2)
     found = detect(staged, D.CANDLE_RULES).select("entity", "date", "event_kind")
     pts = found.join(b.select("entity", "date", F.col("close").alias("price")), ["entity", "date"])
-    return tidy(J.nearest_level(pts, FU.key_levels(pivot_points(spark, d))), "entity", "date", "event_kind", "price", "level", "distance", "is_near", digits=3)
+    return tidy(J.nearest_level(pts, FU.cluster_levels(pivot_points(spark, d))), "entity", "date", "event_kind", "price", "level", "distance", "is_near", digits=3)
 
 
 def fib_lines(spark, d):
@@ -213,10 +217,9 @@ LINES = f"""{PW.LIVE}, {PW._RT}, prm AS (SELECT * FROM lv WHERE NOT dead QUALIFY
  lines AS (SELECT entity, "asof", anchor, any_value(close) AS close, avg(price) AS line, min(price) AS low, max(price) AS high, count(*) AS members FROM za GROUP BY 1, 2, 3)"""
 
 
-@query("fib_line_clusters", "K15", f"""WITH {LINES}, th AS (SELECT *, count(*) OVER (PARTITION BY entity, "asof") AS n, row_number() OVER (PARTITION BY entity, "asof" ORDER BY line) - 1 AS i FROM lines)
- SELECT entity, "asof", {rnds('line low high', 2)}, CAST(members AS INTEGER) AS members FROM th WHERE n <= 5 OR ceil(floor((i + 1e-9) / (n / 5.0::DOUBLE)) * (n / 5.0::DOUBLE) - 1e-9) = i""")
+@query("fib_line_clusters", "K15", f"""WITH {LINES} SELECT entity, "asof", {rnds('line low high', 2)}, CAST(members AS INTEGER) AS members FROM lines""")
 def _fib_lines(spark, d):
-    return tidy(FU.thin_lines(fib_lines(spark, d), ["entity", "asof"], "line", 5), "entity", "asof", "line", "low", "high", "members", digits=2)
+    return tidy(fib_lines(spark, d), "entity", "asof", "line", "low", "high", "members", digits=2)
 
 
 from tidemark.plans import forecast as PF  # noqa: E402
@@ -267,4 +270,29 @@ def _resonance(spark, d):
 @query("kind_signs", "I10,I9", f"""WITH {FACTS} SELECT DISTINCT source, event_kind, CASE WHEN contains(lower(event_kind), 'golden') THEN 1 WHEN contains(lower(event_kind), 'death') THEN -1 ELSE 0 END AS sign, count(*) AS n FROM facts GROUP BY ALL""")
 def _signs(spark, d):
     f = V.facts(spark, d)
-    return f.groupBy("source", "event_kind").agg(F.count("*").alias("n")).withColumn("sign", FU.kind_sign("event_kind"))
+    return f.groupBy("source", "event_kind").agg(F.count("*").alias("n")).withColumn("sign", FU.kind_sign("event_kind", {"GoldenCross": 1, "DeathCross": -1}))
+
+
+# The library's own events: each dimension reads catalogue queries.
+CATALOGUE = {"technical": ("macd_events", "rsi_events"), "chip": ("margin_balance_events",), "fundamental": ("revenue_events",), "valuation": ("valuation_events",)}
+_OWN = " UNION ALL ".join(f"SELECT entity, date, event_kind, '{dim}' AS dim FROM ({ORACLES[n]})" for dim, names in CATALOGUE.items() for n in names)
+_OWN_SIGN = "CASE WHEN event_kind IN (" + ", ".join(f"'{k}'" for k in RISE) + ") THEN 1 WHEN event_kind IN (" + ", ".join(f"'{k}'" for k in FALL) + ") THEN -1 ELSE 0 END"
+
+
+def own_facts(spark, d):
+    """Events of the catalogue as facts (entity, fact_date, source, event_kind)."""
+    parts = [QUERIES[n](spark, d).select("entity", F.col("date").alias("fact_date"), F.lit(dim).alias("source"), "event_kind") for dim, names in CATALOGUE.items() for n in names]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@query("entity_health_catalogue", "K7,I10", f"""WITH ev AS MATERIALIZED (SELECT entity, date, dim, {_OWN_SIGN} AS s FROM ({_OWN})), req AS (SELECT DISTINCT entity, last_day(date) AS asof FROM ev),
+ dd AS (SELECT r.entity, r.asof AS "asof", dim, CAST(trunc(greatest(-100, least(100, sum(s * 20.0::DOUBLE * exp(-(r.asof - date) / 14.0::DOUBLE))))) AS INTEGER) AS score, count(*) FILTER (WHERE s > 0) AS up, count(*) FILTER (WHERE s < 0) AS down
+  FROM req r JOIN ev ON ev.entity = r.entity AND date <= r.asof AND date >= r.asof - 90 GROUP BY 1, 2, 3),
+ tt AS (SELECT *, CASE WHEN up > down * 1.5 THEN 'bullish' WHEN down > up * 1.5 THEN 'bearish' WHEN up + down > 0 THEN 'mixed' ELSE 'quiet' END AS trend FROM dd),
+ w AS (SELECT entity, "asof", {', '.join(f"coalesce(max(CASE WHEN dim = '{k}' THEN score END), 0) AS {k}, coalesce(max(CASE WHEN dim = '{k}' THEN trend END), 'quiet') AS {k}_trend" for k in FU.DIMENSION_WEIGHTS)} FROM tt GROUP BY 1, 2)
+ SELECT *, {rnd(' + '.join(f'{k} * {w}::DOUBLE' for k, w in FU.DIMENSION_WEIGHTS.items()), 'overall')} FROM w""")
+def _own_health(spark, d):
+    f = cut(own_facts(spark, d))
+    requests = f.select("entity", F.last_day("fact_date").alias("asof")).distinct()
+    h = FU.health(requests, FU.daily_signs(f), {k: k for k in CATALOGUE})
+    return tidy(h, "entity", "asof", *FU.DIMENSION_WEIGHTS, *[f"{k}_trend" for k in FU.DIMENSION_WEIGHTS], "overall")

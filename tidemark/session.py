@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,12 +24,17 @@ def local_session(app: str = "tidemark", cpus: int | None = None) -> SparkSessio
         .config("spark.ui.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.parquet.filterPushdown", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only when unset."""
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Where it is unset, a local master gets a temporary folder that goes with the process; a cluster must
+    name one, as its machines share no local folder.
+    """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     current = sc.getCheckpointDir()
@@ -35,7 +43,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(named)
         return named
     if current is None:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        own = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        sc.setCheckpointDir(own)
     return sc.getCheckpointDir()
 
 
