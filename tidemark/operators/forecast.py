@@ -153,7 +153,7 @@ def macro_score(rates: DataFrame, cycle: DataFrame, lookback: int = 21, saturati
     return both.select("entity", F.date_add("asof", 1).alias("date"), F.when(n > 0, total / n).alias("score"))
 
 
-def trend_filter(bars: DataFrame, horizons=HORIZONS, confidences=CONFIDENCES, min_bars: int = 30) -> DataFrame:
+def trend_filter(bars: DataFrame, horizons=HORIZONS, confidences=CONFIDENCES, min_bars: int = 30, lookback: int = 504) -> DataFrame:
     """Local-linear-trend Kalman forecasts at every due bar, one grouped pass per entity.
 
     The noise levels scale with the mean price of the look-back (two years of bars), so each forecast
@@ -181,7 +181,7 @@ def trend_filter(bars: DataFrame, horizons=HORIZONS, confidences=CONFIDENCES, mi
         for i in np.flatnonzero(pdf["is_due"].to_numpy()):
             if i + 1 < min_bars:
                 continue
-            lv, sl, p00, p01, p11, ql, qs = filtered(z[max(0, i + 1 - 504):i + 1])
+            lv, sl, p00, p01, p11, ql, qs = filtered(z[max(0, i + 1 - lookback):i + 1])
             for h in horizons:
                 n = max(1.0, np.floor(h * 5.0 / 7.0 + 0.5))
                 var = p00 + 2 * n * p01 + n * n * p11 + n * ql + qs * ((n - 1) * n * (2 * n - 1)) / 6.0
@@ -222,8 +222,7 @@ def conformal(forecasts: DataFrame, settled: DataFrame, window: int = 500, min_s
     """Conformalised intervals: widened by a finite-sample quantile of past misses.
 
     ``strict`` uses only forecasts resolved by the forecast date; otherwise those merely issued
-    before it.  A series (entity, source, horizon, confidence) has one row per forecast date, so the
-    frame's array is bounded by the calendar and cut to ``window``.
+    before it.  Frames hold the last ``window`` misses of a series (entity, source, horizon, confidence).
     """
     miss = settled.select(*KEYS, "forecast_date", F.greatest(F.col("lower") - F.col("realized"), F.col("realized") - F.col("upper")).alias("_e"))
     if strict:
@@ -231,14 +230,16 @@ def conformal(forecasts: DataFrame, settled: DataFrame, window: int = 500, min_s
         # shifting each miss to its resolution day turns the condition into a plain running frame
         known = miss.select(*KEYS, F.expr("date_add(forecast_date, horizon)").alias("_t"), F.lit(0).alias("_side"), "_e")
         asks = forecasts.select(*KEYS, F.col("forecast_date").alias("_t"), F.lit(1).alias("_side"), F.col("forecast_date"), "lower", "upper", "point")
-        w = Window.partitionBy(*KEYS).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, -1)
-        df = known.unionByName(asks, allowMissingColumns=True).withColumn("_past", F.collect_list("_e").over(w)).filter("_side = 1")
+        every = known.unionByName(asks, allowMissingColumns=True)
+        # number the known misses; an ask carries the count so far, and reads the last ``window`` numbers
+        every = every.withColumn("_n", F.count("_e").over(Window.partitionBy(*KEYS).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)))
+        last = Window.partitionBy(*KEYS).orderBy("_n").rangeBetween(-(window - 1), 0)
+        df = every.withColumn("_past", F.collect_list("_e").over(last)).filter("_side = 1")
     else:
         df = forecasts.join(miss, [*KEYS, "forecast_date"], "left")
         w = Window.partitionBy(*KEYS).orderBy("forecast_date").rowsBetween(-window, -1)
         df = df.withColumn("_past", F.collect_list("_e").over(w))
-    last = F.when(F.size("_past") > window, F.slice("_past", -window, window)).otherwise(F.col("_past"))
-    df = df.withColumn("_last", F.sort_array(last)).withColumn("n_past", F.size("_last"))
+    df = df.withColumn("_last", F.sort_array("_past")).withColumn("n_past", F.size("_last"))
     k = F.ceil((F.col("n_past") + 1) * F.col("confidence") - 1e-9).cast("int")
     ok = (F.col("n_past") >= min_size) & (k <= F.col("n_past"))
     df = df.withColumn("q", F.when(ok, F.element_at("_last", F.when(ok, k).otherwise(1)))).filter(F.col("q").isNotNull())

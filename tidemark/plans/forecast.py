@@ -133,8 +133,15 @@ def _trend(spark, d):
     return out(FC.trend_filter(prices(spark, d)))
 
 
-ASOF_DAY = "2001-06-30"
-REAL = f"""fc AS (SELECT * FROM base UNION ALL SELECT * FROM chip), due AS (SELECT *, forecast_date + horizon AS resolved_date FROM fc WHERE forecast_date + horizon <= DATE '{ASOF_DAY}'),
+#: Forecasts are settled as of the last bar of the table.
+ASOF_SQL = "(SELECT max(date) FROM bars)"
+
+
+def last_day(bars) -> str:
+    return str(bars.agg(F.max("date")).first()[0])
+
+
+REAL = f"""fc AS (SELECT * FROM base UNION ALL SELECT * FROM chip), due AS (SELECT *, forecast_date + horizon AS resolved_date FROM fc WHERE forecast_date + horizon <= {ASOF_SQL}),
  r0 AS (SELECT due.*, b.date AS bdate, floor(b.close * 10000 + 0.5) / 10000 AS realized FROM due ASOF LEFT JOIN bars b ON b.entity = due.entity AND due.resolved_date >= b.date),
  settled AS (SELECT *, realized >= lower AND realized <= upper AS hit, ((CASE WHEN realized >= lower THEN (1 - confidence) / 2 * (realized - lower) ELSE ((1 - confidence) / 2 - 1) * (realized - lower) END)
    + (CASE WHEN realized >= upper THEN (1 - (1 - confidence) / 2) * (realized - upper) ELSE ((1 - (1 - confidence) / 2) - 1) * (realized - upper) END)) / 2 AS pinball FROM r0 WHERE resolved_date - bdate <= 21)"""
@@ -153,7 +160,8 @@ def settled(spark, d):
     from tidemark.session import cut
 
     fc = cut(issued(spark, d))
-    return fc, FC.settle(fc, V.bars(spark, d), ASOF_DAY)
+    b = V.bars(spark, d)
+    return fc, FC.settle(fc, b, last_day(b))
 
 
 @query("settled_forecasts", "J11,M7,I11,J14", f"WITH {SETTLED_SQL} SELECT entity, forecast_date, source, horizon, confidence, resolved_date, realized, hit, {rnd('pinball', digits=3)} FROM settled")
@@ -161,10 +169,10 @@ def _settled(spark, d):
     return tidy(settled(spark, d)[1], "entity", "forecast_date", "source", "horizon", "confidence", "resolved_date", "realized", "hit", "pinball", digits=3)
 
 
-@query("pending_forecasts", "J14", f"WITH {BASE_SQL} SELECT entity, forecast_date, source, horizon, confidence FROM base WHERE forecast_date + horizon > DATE '{ASOF_DAY}'")
+@query("pending_forecasts", "J14", f"WITH {BASE_SQL} SELECT entity, forecast_date, source, horizon, confidence FROM base WHERE forecast_date + horizon > {ASOF_SQL}")
 def _pending(spark, d):
     f = FC.baseline(prices(spark, d))
-    return f.filter(F.expr("date_add(forecast_date, horizon)") > ASOF_DAY).select("entity", "forecast_date", "source", "horizon", "confidence")
+    return f.filter(F.expr("date_add(forecast_date, horizon)") > last_day(V.bars(spark, d))).select("entity", "forecast_date", "source", "horizon", "confidence")
 
 
 @query("forecast_scores", "D11", f"""WITH {SETTLED_SQL} SELECT source, horizon, confidence, count(*) AS n, {rnd('avg(pinball)', 'mean_pinball')}, {rnd('avg(upper - lower)', 'sharpness')}, {rnd('avg(CAST(hit AS INTEGER))', 'coverage', 6)} FROM settled

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import forecast as FC
 from tidemark.operators import indicators as I
 from tidemark.plans import indicators as P
-from tidemark.plans.forecast import ASOF_DAY, BASE_SQL, REAL, prices
+from tidemark.plans.forecast import BASE_SQL, REAL, last_day, prices
 from tidemark.plans.pit import FACTORS
 from tidemark.plans.registry import query, rnd, rnds, tidy
 from tidemark.session import checkpoint_dir
@@ -17,12 +17,13 @@ from tidemark.sources import views as V
 from tidemark.streaming import flows as S
 from tidemark.streaming.incremental import incremental
 
-LAST_DAY = "2001-08-31"
+LAST = "(SELECT max(date) FROM ind)"
 
 
-@query("incremental_window", "M1", f"WITH {P.BOLL_SQL} SELECT entity, date, {rnds('upper middle lower')} FROM ind WHERE date <= DATE '{LAST_DAY}' AND date > DATE '{LAST_DAY}' - 30")
+@query("incremental_window", "M1", f"WITH {P.BOLL_SQL} SELECT entity, date, {rnds('upper middle lower')} FROM ind WHERE date > {LAST} - 30")
 def _incremental(spark, d):
-    return tidy(incremental(I.bollinger, V.bars(spark, d), LAST_DAY, 365, 30), "entity", "date", "upper", "middle", "lower")
+    b = V.bars(spark, d)
+    return tidy(incremental(I.bollinger, b, last_day(b), 365, 30), "entity", "date", "upper", "middle", "lower")
 
 
 def _base(spark) -> str:
@@ -88,7 +89,7 @@ def _restatement(spark, d):
     return tidy(S.versioned(spark, f"{base}/adjusted"), "entity", "date", "adj_close", "cum_af", digits=6)
 
 
-@query("streaming_settlement", "M7,J11", f"WITH {BASE_SQL}, " + REAL.replace("SELECT * FROM base UNION ALL SELECT * FROM chip", "SELECT * FROM base").replace(f"DATE '{ASOF_DAY}'", "(SELECT max(date) FROM bars)") + f" SELECT entity, forecast_date, horizon, confidence, resolved_date, realized, hit, {rnd('pinball', digits=3)} FROM settled")
+@query("streaming_settlement", "M7,J11", f"WITH {BASE_SQL}, " + REAL.replace("SELECT * FROM base UNION ALL SELECT * FROM chip", "SELECT * FROM base") + f" SELECT entity, forecast_date, horizon, confidence, resolved_date, realized, hit, {rnd('pinball', digits=3)} FROM settled")
 def _settlement(spark, d):
     base = _base(spark)
     b = V.bars(spark, d).select("entity", "date", "close")
