@@ -7,6 +7,8 @@ Price series carry ``px`` (close over the running adjustment factor) and ``c`` (
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -160,33 +162,40 @@ def trend_filter(bars: DataFrame, horizons=HORIZONS, confidences=CONFIDENCES, mi
     uses its past only and is filtered afresh; an entity's history is bounded by the calendar.
     """
 
-    def filtered(series: np.ndarray) -> tuple:
-        m, z = float(series.mean()), series.tolist()
-        r, ql, qs = max((0.01 * m) ** 2, 1e-9), max((0.005 * m) ** 2, 1e-9), max((0.0005 * m) ** 2, 1e-11)
-        lv, sl = z[0], 0.0
-        p00, p01, p11 = max(abs(z[0]) * 0.1, 1.0), 0.0, max(abs(z[0]) * 0.01, 0.01)
-        for v in z[1:]:
+    def filtered(z: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple:
+        """All windows ``z[first:first + size]`` advance together, one vector per step."""
+        total = np.concatenate([[0.0], np.cumsum(z)])
+        m = (total[first + size] - total[first]) / size
+        r, ql, qs = np.maximum((0.01 * m) ** 2, 1e-9), np.maximum((0.005 * m) ** 2, 1e-9), np.maximum((0.0005 * m) ** 2, 1e-11)
+        lv, sl = z[first].astype(float), np.zeros(len(first))
+        p00, p01, p11 = np.maximum(np.abs(lv) * 0.1, 1.0), np.zeros(len(first)), np.maximum(np.abs(lv) * 0.01, 0.01)
+        for step in range(1, int(size.max())):
+            on = step < size
+            v = z[np.where(on, first + step, first)]
             a, b, c = p00 + 2 * p01 + p11 + ql, p01 + p11, p11 + qs
             s = a + r
             k0, k1 = a / s, b / s
             e = v - (lv + sl)
-            lv, sl = lv + sl + k0 * e, sl + k1 * e
-            p00, p01, p11 = (1 - k0) * a, (1 - k0) * b, c - k1 * b
+            new = lv + sl + k0 * e, sl + k1 * e, (1 - k0) * a, (1 - k0) * b, c - k1 * b
+            lv, sl, p00, p01, p11 = (np.where(on, x, y) for x, y in zip(new, (lv, sl, p00, p01, p11)))
         return lv, sl, p00, p01, p11, ql, qs
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("date", ignore_index=True)
-        z = pdf["px"].to_numpy()
-        out = []
-        for i in np.flatnonzero(pdf["is_due"].to_numpy()):
-            if i + 1 < min_bars:
-                continue
-            lv, sl, p00, p01, p11, ql, qs = filtered(z[max(0, i + 1 - lookback):i + 1])
-            for h in horizons:
-                n = max(1.0, np.floor(h * 5.0 / 7.0 + 0.5))
-                var = p00 + 2 * n * p01 + n * n * p11 + n * ql + qs * ((n - 1) * n * (2 * n - 1)) / 6.0
-                out.append((pdf["entity"].iloc[0], pdf["date"].iloc[i], h, (lv + n * sl) * pdf["c"].iloc[i], float(np.sqrt(max(var, 1e-12))) * pdf["c"].iloc[i]))
-        return pd.DataFrame(out, columns=["entity", "date", "horizon", "mean", "sd"])
+        z = pdf["px"].to_numpy(dtype=float)
+        at = np.flatnonzero(pdf["is_due"].to_numpy())
+        at = at[at + 1 >= min_bars]
+        if not len(at):
+            return pd.DataFrame([], columns=["entity", "date", "horizon", "mean", "sd"])
+        first = np.maximum(0, at + 1 - lookback)
+        lv, sl, p00, p01, p11, ql, qs = filtered(z, first, at + 1 - first)
+        parts = []
+        for h in horizons:
+            n = max(1.0, np.floor(h * 5.0 / 7.0 + 0.5))
+            var = p00 + 2 * n * p01 + n * n * p11 + n * ql + qs * ((n - 1) * n * (2 * n - 1)) / 6.0
+            due = pdf.iloc[at]
+            parts.append(pd.DataFrame({"entity": due["entity"], "date": due["date"], "horizon": h, "mean": (lv + n * sl) * due["c"], "sd": np.sqrt(np.maximum(var, 1e-12)) * due["c"]}))
+        return pd.concat(parts)
 
     key = dict(bars.dtypes)["entity"]
     df = bars.select("entity", "date", "px", "c", "is_due").groupBy("entity").applyInPandas(run, f"entity {key}, date date, horizon int, mean double, sd double")
@@ -210,6 +219,15 @@ def settle(forecasts: DataFrame, bars: DataFrame, asof: str, tolerance_days: int
         "hit": hit(y, F.col("lower"), F.col("upper")), "pinball": interval_pinball(y, F.col("lower"), F.col("upper"), F.col("confidence"))})
 
 
+def walk_forward(prices: DataFrame, forecast: Callable[[DataFrame], DataFrame], bars: DataFrame, asof: str, tolerance_days: int = 21) -> DataFrame:
+    """Back-test of any forecast function over every trading day: issue, settle, hit and loss.
+
+    ``forecast`` gets the price series with every bar due and returns forecast rows; what it may read of a
+    row's future is up to its own window specs, as for the forecasts of this module.
+    """
+    return settle(forecast(prices.withColumn("is_due", F.lit(True))), bars, asof, tolerance_days)
+
+
 def score(settled: DataFrame, by: list[list[str]]) -> DataFrame:
     """Mean loss, sharpness and coverage for several groupings in one aggregation (grouping sets)."""
     cols = list(dict.fromkeys(c for g in by for c in g))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as K
 from tidemark.functions import texts as X
+from tidemark.functions.windows import trailing
 from tidemark.operators import aggregates as A
 from tidemark.operators import forecast as FC
 from tidemark.operators.indicators import indexed
@@ -241,3 +242,23 @@ def _manual(spark, d):
 def _z(spark, d):
     q = V.table(spark, d, "lineitem").select("l_quantity").distinct()
     return tidy(q.withColumn("z", K.two_sided_z((F.col("l_quantity") - 0.5) / 50.5)), digits=8)
+
+
+def mean_reverting(p):
+    """A user's forecast: the 20-bar mean, and its deviation as the band."""
+    w = trailing(20)
+    m, sd = F.avg("close").over(w), F.stddev_samp("close").over(w)
+    grid = lambda e: F.floor(e * 10000 + 0.5) / 10000
+    rows = p.filter("is_due").select("entity", "date", m.alias("m"), sd.alias("sd"), F.count("close").over(w).alias("n")).filter("n = 20")
+    return rows.select("entity", F.col("date").alias("forecast_date"), F.lit("mean_20").alias("source"), F.lit(21).alias("horizon"), F.lit(0.8).alias("confidence"),
+                       grid(F.col("m") - 1.3 * F.col("sd")).alias("lower"), grid(F.col("m") + 1.3 * F.col("sd")).alias("upper"), grid(F.col("m")).alias("point"))
+
+
+@query("walk_forward_backtest", "J12", f"""WITH {SERIES}, g0 AS (SELECT entity, date, {X.roll('avg', 'close', 20)} AS m, {X.roll('stddev_samp', 'close', 20)} AS sd, {X.roll('count', 'close', 20)} AS n FROM s),
+ f AS (SELECT entity, date AS forecast_date, 'mean_20' AS source, 21 AS horizon, 0.8::DOUBLE AS confidence, floor((m - 1.3::DOUBLE * sd) * 10000 + 0.5) / 10000 AS lower, floor((m + 1.3::DOUBLE * sd) * 10000 + 0.5) / 10000 AS upper FROM g0 WHERE n = 20),
+ {REAL.replace("SELECT * FROM base UNION ALL SELECT * FROM chip", "SELECT * FROM f")} SELECT entity, count(*) AS n, {rnd('avg(pinball)', 'mean_pinball', 2)}, {rnd('avg(CAST(hit AS INTEGER))', 'coverage')} FROM settled GROUP BY entity""")
+def _walk_forward(spark, d):
+    b = V.bars(spark, d)
+    s = FC.walk_forward(FC.unadjusted(b), mean_reverting, b, last_day(b))
+    g = s.groupBy("entity").agg(F.count("*").alias("n"), F.avg("pinball").alias("mean_pinball"), F.avg(F.col("hit").cast("int")).alias("coverage"))
+    return g.select("entity", "n", *[(F.floor(F.col(c) * k + 0.50001) / k).alias(c) for c, k in (("mean_pinball", 1e2), ("coverage", 1e4))])
