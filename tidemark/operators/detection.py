@@ -67,8 +67,8 @@ KD_RULES = [*crosses("golden_cross", "death_cross", "k > d", "k", CROSS_GAP),
             streak_end("overbought_streak", "k >= 80", 3, "k"), streak_end("oversold_streak", "k <= 20", 3, "k")]
 
 
-def adx_rules(strict: bool = False) -> list[Rule]:
-    """``strict`` dates the peak five bars later, when it is known."""
+def adx_rules(strict: bool = True) -> list[Rule]:
+    """``strict`` dates the peak five bars later, when it is known; otherwise it stands at the peak itself."""
     peak = (Rule("adx_peak", f"{X.prev('adx', 5)} >= {X.past('max', 'adx', 5)} AND {X.prev('adx', 5)} > adx AND {X.prev('adx', 5)} >= 25", X.prev("adx", 5), 20)
             if strict else Rule("adx_peak", f"adx >= {X.ahead('max', 'adx', 4)} AND {X.nxt('adx', 5)} < adx AND adx >= 25", "adx", 20))
     return [Rule("strong_trend_start", f"{X.prev('adx')} < 25 AND adx >= 25", "adx"),
@@ -108,11 +108,16 @@ def _through(kind, level, up, **kw):
 
 CCI_RULES = [_through("extreme_high", 200, True), _through("extreme_low", -200, False), _through("overbought_entry", 100, True),
              _through("oversold_entry", -100, False), _through("zero_cross_positive", 0, True, group="zero"), _through("zero_cross_negative", 0, False, group="zero")]
-COPPOCK_RULES = [
-    Rule("zero_cross_positive", f"idx >= 29 AND {X.prev('coppock')} <= 0 AND coppock > 0", "coppock", 30, "zero"),
-    Rule("zero_cross_negative", f"idx >= 29 AND {X.prev('coppock')} >= 0 AND coppock < 0", "coppock", 30, "zero"),
-    Rule("trough", f"idx >= 29 AND coppock < {X.prev('coppock')} AND coppock < {X.nxt('coppock')} AND coppock < 0", "coppock", 30),
-]
+def coppock_rules(strict: bool = True) -> list[Rule]:
+    """``strict`` dates the trough one bar later, when it is known; otherwise it stands at the trough itself."""
+    low, before, after, first = (X.prev("coppock"), X.prev("coppock", 2), "coppock", 30) if strict else ("coppock", X.prev("coppock"), X.nxt("coppock"), 29)
+    return [
+        Rule("zero_cross_positive", f"idx >= 29 AND {X.prev('coppock')} <= 0 AND coppock > 0", "coppock", 30, "zero"),
+        Rule("zero_cross_negative", f"idx >= 29 AND {X.prev('coppock')} >= 0 AND coppock < 0", "coppock", 30, "zero"),
+        Rule("trough", f"idx >= {first} AND {low} < {before} AND {low} < {after} AND {low} < 0", low, 30),
+    ]
+
+
 DONCHIAN_RULES = [
     Rule("breakout_up", f"idx >= 20 AND close > {X.past('max', 'high', 19)}", "close", 10, "breakout"),
     Rule("breakdown", f"idx >= 20 AND close < {X.past('min', 'low', 19)}", "close", 10, "breakout"),

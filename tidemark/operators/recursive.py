@@ -189,11 +189,11 @@ KALMAN_HORIZONS = {
 }
 
 
-def kalman(bars: DataFrame, noise: float = 0.01, expanding: bool = False) -> DataFrame:
+def kalman(bars: DataFrame, noise: float = 0.01, expanding: bool = True) -> DataFrame:
     """Local-level Kalman filter per (entity, horizon): smoothed price, uncertainty, velocity.
 
-    The measurement noise is ``noise`` times the mean close, squared.  The mean covers the whole
-    series; ``expanding=True`` uses only the past, for point-in-time work.  Horizons are crossed in,
+    The measurement noise is ``noise`` times the mean close, squared.  The mean covers the
+    past only; with ``expanding=False`` it covers the whole series, which looks ahead.  Horizons are crossed in,
     so the parallelism is entities times horizons.
     """
     hz = F.explode(F.array(*[F.struct(F.lit(k).alias("horizon"), F.lit(v[0]).alias("q"), F.lit(v[1]).alias("threshold"),

@@ -87,13 +87,14 @@ events_query("moving_average_events", "F11,F1,F4,F5", MA5_SQL,
 events_query("macd_events", "F12", P.MACD_SQL, on_bars(R.macd), D.MACD_RULES, [D.MACD_STAGES], {"price": "close", "ind": "macd"}, 2)
 events_query("rsi_events", "F13", P.RSI_SQL, on_bars(R.rsi), D.RSI_RULES, div={"price": "close", "ind": "rsi"})
 events_query("stochastic_kd_events", "F14", P.KD_SQL, on_bars(R.kd), D.KD_RULES, div={"price": "close", "ind": "k"})
-events_query("adx_events", "F15", P.ADX_SQL, on_bars(R.adx), D.adx_rules())
-events_query("adx_events_strict", "F15", P.ADX_SQL, on_bars(R.adx), D.adx_rules(strict=True))
+events_query("adx_events", "F15", P.ADX_SQL, on_bars(R.adx), D.adx_rules(strict=False))
+events_query("adx_events_strict", "F15", P.ADX_SQL, on_bars(R.adx), D.adx_rules())
 events_query("atr_events", "F16,F8", P.ATR_SQL, on_bars(R.atr), D.ATR_RULES, [{"growth": D.ATR_GROWTH}])
 events_query("bollinger_events", "F17,F2,F6", P.BOLL_SQL, on_bars(I.bollinger), D.BOLLINGER_RULES)
 events_query("obv_events", "F18,F10", P.OBV_SQL, on_bars(I.obv), D.OBV_RULES, [D.OBV_STAGES], {"price": "close", "ind": "oscillator", "report": "obv"})
 events_query("cci_events", "F19", P.CCI_SQL, on_bars(I.cci), D.CCI_RULES)
-events_query("coppock_events", "F20", P.COPPOCK_SQL, on_bars(I.coppock), D.COPPOCK_RULES)
+events_query("coppock_events", "F20", P.COPPOCK_SQL, on_bars(I.coppock), D.coppock_rules(strict=False))
+events_query("coppock_events_strict", "F20", P.COPPOCK_SQL, on_bars(I.coppock), D.coppock_rules())
 events_query("donchian_events", "F21", P.DONCHIAN_SQL, on_bars(I.donchian), D.DONCHIAN_RULES)
 events_query("ichimoku_events", "F22", P.ICHI_SQL, on_bars(I.ichimoku), D.ICHIMOKU_RULES)
 events_query("keltner_events", "F23", P.KELTNER_SQL, on_bars(R.keltner), D.keltner_rules(6))

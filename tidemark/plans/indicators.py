@@ -244,18 +244,26 @@ def _commodity(spark, d):
 
 
 KALMAN_SQL = SERIES + """, hz(horizon, q, threshold, min_run) AS (VALUES ('short', 0.1, 0.003, 3), ('medium', 0.01, 0.002, 5), ('long', 0.001, 0.0015, 5), ('ultra_long', 0.00001, 0.001, 5)),
- base AS (SELECT entity, date, idx, close, power(0.01 * avg(close) OVER (PARTITION BY entity), 2) AS r FROM s),
+ base AS (SELECT entity, date, idx, close, power(0.01 * avg(close) OVER (PARTITION BY entity ORDER BY idx ROWS UNBOUNDED PRECEDING), 2) AS r FROM s),
  k AS (
   WITH RECURSIVE kal AS (
     SELECT entity, date, idx, horizon, q, threshold, min_run, r, close, close AS x, (1 - (r + q) / (r + q + r)) * (r + q) AS p, 0.0::DOUBLE AS velocity FROM base, hz WHERE idx = 0
     UNION ALL
-    SELECT b.entity, b.date, b.idx, k.horizon, k.q, k.threshold, k.min_run, k.r, b.close,
-      k.x + (k.p + k.q) / (k.p + k.q + k.r) * (b.close - k.x), (1 - (k.p + k.q) / (k.p + k.q + k.r)) * (k.p + k.q),
-      (k.p + k.q) / (k.p + k.q + k.r) * (b.close - k.x)
+    SELECT b.entity, b.date, b.idx, k.horizon, k.q, k.threshold, k.min_run, b.r, b.close,
+      k.x + (k.p + k.q) / (k.p + k.q + b.r) * (b.close - k.x), (1 - (k.p + k.q) / (k.p + k.q + b.r)) * (k.p + k.q),
+      (k.p + k.q) / (k.p + k.q + b.r) * (b.close - k.x)
     FROM kal k JOIN base b ON b.entity = k.entity AND b.idx = k.idx + 1)
   SELECT * FROM kal)"""
 
 
+KALMAN_WHOLE_SQL = KALMAN_SQL.replace("OVER (PARTITION BY entity ORDER BY idx ROWS UNBOUNDED PRECEDING), 2)", "OVER (PARTITION BY entity), 2)")
+
+
+@query("kalman_smoother_whole_series_noise", "E26", f"WITH {KALMAN_WHOLE_SQL} SELECT entity, date, horizon, {rnd('x', 'smoothed', 2)}, {rnd('sqrt(p)', 'uncertainty', 2)}, {rnd('velocity', digits=2)} FROM k")
+def _kalman_whole(spark, d):
+    return tidy(R.kalman(V.bars(spark, d), expanding=False), "entity", "date", "horizon", "smoothed", "uncertainty", "velocity", digits=2)
+
+
 @query("kalman_smoother", "E26", f"WITH {KALMAN_SQL} SELECT entity, date, horizon, {rnd('x', 'smoothed', 2)}, {rnd('sqrt(p)', 'uncertainty', 2)}, {rnd('velocity', digits=2)} FROM k")
 def _kalman(spark, d):
     return tidy(R.kalman(V.bars(spark, d)), "entity", "date", "horizon", "smoothed", "uncertainty", "velocity", digits=2)
