@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as K
 from tidemark.functions.events import Rule, detect, rearmed_touches
-from tidemark.functions.ranking import group_quantiles, ranked_rows
+from tidemark.functions.ranking import dealt_by_range, group_quantiles, ranked_rows
 from tidemark.operators import aggregates as A
 from tidemark.operators import detection as D
 from tidemark.operators import forecast as FC
@@ -150,10 +150,7 @@ def test_ranks_with_ties_and_skewed_values(spark):
                 assert got[(d, r[0])] == (k, len(group))
 
 
-def test_rank_splits_one_huge_tie(spark, monkeypatch):
-    import tidemark.functions.ranking as rk
-
-    monkeypatch.setattr(rk, "ID_BLOCK", 10)
+def test_rank_splits_one_huge_tie(spark):
     df = spark.range(500).select(F.col("id").alias("entity"), F.lit(day(0)).alias("date"), F.lit(7.0).alias("m"))
     assert [r.rank for r in ranked_rows(df, ["date"], "m").orderBy("entity").collect()] == list(range(1, 501))
 
@@ -313,6 +310,15 @@ def test_resonance_levels(spark):
     assert got == {100.0: ("strong", 21, "divergence"), 150.0: ("divergence", None, "divergence")}
 
 
+def test_ranges_are_even_for_narrow_values_and_alike_ids(spark):
+    n = 1_000_000
+    df = spark.range(n).select(F.lit("2001-01-31").alias("date"), F.concat(F.lit("customer-"), F.format_string("%09d", "id")).alias("entity"), (100 + F.expr("cast(id % 7 as double)") * 0.01).alias("m"))
+    sizes = [r["count"] for r in dealt_by_range(df, [F.col("date"), F.col("m").desc(), F.col("entity").asc()]).groupBy("_p").count().collect()]
+    assert sum(sizes) == n and max(sizes) < 2 * n / len(sizes) and len(sizes) > 1
+    top = ranked_rows(df, ["date"], "m", False).filter("rank in (1, 2, 1000000)").orderBy("rank").collect()
+    assert [r.entity for r in top] == ["customer-000000006", "customer-000000013", "customer-000999999"] and top[0].universe_size == n
+
+
 def test_signs_follow_the_catalogue(spark):
     kinds = ["breakout_up", "breakdown", "zero_cross_positive", "debt_ratio_rising", "eps_turn_positive", "hammer", "doji", "unknown"]
     df = spark.createDataFrame([(k,) for k in kinds], "k string")

@@ -1,59 +1,39 @@
 """Exact ranks and quantiles inside groups that may be far larger than one task.
 
-A plain ``row_number() over (partition by date)`` sends a whole cross-section to one task.  Here
-the group is cut into order-preserving cells, rows are numbered inside their cell, and the cell
-sizes (a map-side-combined count) supply each cell's starting rank.
+A plain ``row_number() over (partition by date)`` sends a whole cross-section to one task.  Here all rows
+are dealt by range of (group, metric, tie), which balances any distribution of values and ids; rows are
+numbered inside a range, and the counts per range (map-side combined) supply each range's starting rank.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.session import cut
 
-CELLS_PER_E_FOLD = 64
-ID_BLOCK = 1 << 20
 
-
-def _value_cell(metric: Column) -> Column:
-    """A non-decreasing integer function of the metric; nothing is sampled, so it is repeatable."""
-    m = metric.cast("double")
-    return F.floor(F.signum(m) * F.log1p(F.abs(m) * 1000.0) * CELLS_PER_E_FOLD)
-
-
-def _tie_cell(df: DataFrame, tie: str) -> Column:
-    if isinstance(df.schema[tie].dataType, T.StringType):
-        return F.substring(F.col(tie), 1, 4)
-    return F.floor(F.col(tie) / F.lit(ID_BLOCK))
+def dealt_by_range(df: DataFrame, order: list[Column]) -> DataFrame:
+    """``df`` cut into ranges of ``order`` of about equal size; ``_p`` numbers them in that order."""
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut(df.repartitionByRange(ranges, *order).withColumn("_p", F.spark_partition_id()))
 
 
 def ranked_rows(df: DataFrame, by: list[str], metric: str, ascending: bool = True, tie: str = "entity",
-                rank_col: str = "rank", size_col: str = "universe_size", is_cut: bool = False) -> DataFrame:
+                rank_col: str = "rank", size_col: str = "universe_size") -> DataFrame:
     """Add ``rank`` (1..n by metric, ties by ``tie`` ascending) and the group size.
 
-    ``df`` must hold only rows to be ranked (metric not null).  It is read twice (cell sizes, then
-    rows), hence ``cut``, unless the caller says it did that (``is_cut``).  A cell whose rows all tie is split further along ``tie``.
+    ``df`` must hold only rows to be ranked (metric not null).  The ranges are read twice (counts, then
+    rows), hence ``cut``.
     """
-    df = df if is_cut else cut(df)
-    base = df.withColumn("_c1", _value_cell(F.col(metric))).withColumn("_c2", _tie_cell(df, tie))
-    group = Window.partitionBy(*by)
-    value_cell = Window.partitionBy(*by, "_c1")
-    lead_key = F.col("_c1").asc() if ascending else F.col("_c1").desc()
-    cells = (
-        base.groupBy(*by, "_c1", "_c2")
-        .agg(F.count("*").alias("_n"), F.min(metric).alias("_lo"), F.max(metric).alias("_hi"))
-        .withColumn("_part", F.when(F.min("_lo").over(value_cell) == F.max("_hi").over(value_cell), F.col("_c2")))
-        .withColumn("_upto", F.sum("_n").over(group.orderBy(lead_key, F.col("_part").asc())))
-        .withColumn("_start", F.col("_upto") - F.sum("_n").over(Window.partitionBy(*by, "_c1", "_part")))
-        .withColumn(size_col, F.sum("_n").over(group))
-        .select(*by, "_c1", "_c2", "_part", "_start", F.col(size_col).cast("int").alias(size_col))
-    )
     order = F.col(metric).asc() if ascending else F.col(metric).desc()
-    inside = Window.partitionBy(*by, "_c1", "_part").orderBy(order, F.col(tie).asc())
+    base = dealt_by_range(df, [*map(F.col, by), order, F.col(tie).asc()])
+    group = Window.partitionBy(*by)
+    cells = base.groupBy(*by, "_p").agg(F.count("*").alias("_n"))
+    cells = cells.select(*by, "_p", (F.sum("_n").over(group.orderBy("_p")) - F.col("_n")).alias("_start"), F.sum("_n").over(group).cast("int").alias(size_col))
+    inside = Window.partitionBy(*by, "_p").orderBy(order, F.col(tie).asc())
     return (
-        base.join(cells, [*by, "_c1", "_c2"])
+        base.join(cells, [*by, "_p"])
         .withColumn(rank_col, (F.col("_start") + F.row_number().over(inside)).cast("int"))
         .select(*df.columns, rank_col, size_col)
     )

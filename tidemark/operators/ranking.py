@@ -30,7 +30,7 @@ def rank_table(metrics: DataFrame, info: DataFrame | None, metric: str, ascendin
         df = df.join(info.select("entity", F.col("excluded_reason").alias("_x")), "entity", "left").withColumn("reason", F.coalesce("_x", "reason")).drop("_x")
     df = cut(df.withColumnRenamed("reason", "excluded_reason"))
     ok = F.col("excluded_reason").isNull() & F.col(metric).isNotNull()
-    ranked = ranked_rows(df.filter(ok), [by], metric, ascending, is_cut=True)
+    ranked = ranked_rows(df.filter(ok), [by], metric, ascending)
     rest = df.filter(~ok).withColumns({"rank": F.lit(None).cast("int"), "universe_size": F.lit(None).cast("int")})
     return ranked.unionByName(rest).withColumn("is_top_n", F.coalesce(F.col("rank") <= top_n, F.lit(False)))
 
@@ -169,7 +169,7 @@ def magic_formula(inputs: DataFrame, info: DataFrame, top_n: int = TOP_N) -> Dat
     x = info.select("entity", F.col("excluded_reason").alias("_x"))
     df = cut(inputs.join(x, "entity", "left").withColumn("excluded_reason", F.coalesce("_x", "reason")).drop("_x", "reason"))
     ok = df.filter("excluded_reason is null")
-    r = ranked_rows(ok, ["date"], "earnings_yield", False, rank_col="ey_rank", is_cut=True).drop("universe_size")
+    r = ranked_rows(ok, ["date"], "earnings_yield", False, rank_col="ey_rank").drop("universe_size")
     r = ranked_rows(r, ["date"], "roic", False, rank_col="roic_rank").drop("universe_size")
     r = r.withColumn("combined_rank", F.col("ey_rank") + F.col("roic_rank"))
     r = ranked_rows(r, ["date"], "combined_rank", True, rank_col="rank")
