@@ -265,21 +265,21 @@ def conformal(forecasts: DataFrame, settled: DataFrame, window: int = 500, min_s
                      (F.col("lower") - F.col("q")).alias("lower"), (F.col("upper") + F.col("q")).alias("upper"), "point", "q", "n_past")
 
 
-def mean_recent_loss(settled: DataFrame, asof_days: DataFrame, window: int = 100, min_n: int = 30) -> DataFrame:
-    """Mean loss of the latest ``window`` settled rows per (source, horizon, confidence) and as-of day.
+CELL = ["source", "horizon", "confidence"]
 
-    Rows of one issue day beyond the first ``window`` can never count, so each day is limited first
-    (Spark limits before the shuffle); what then meets the few as-of days is bounded by cells, days
-    and ``window``, whatever the number of entities.
+
+def mean_recent_loss(settled: DataFrame, asof: DataFrame, window: int = 100, min_n: int = 30) -> DataFrame:
+    """Mean loss over the latest ``window`` issue days settled by each request of ``asof`` (cell, asof).
+
+    Rows fold to one sum and count per (cell, issue day) before the shuffle.  The horizon is constant in a
+    cell, so issue days settle in order: one rolling frame over issue days, then an as-of join, is linear.
     """
-    cell = ["source", "horizon", "confidence"]
-    day = Window.partitionBy(*cell, "forecast_date").orderBy("entity")
-    df = settled.select(*cell, "forecast_date", "resolved_date", "entity", "pinball").withColumn("_rn", F.row_number().over(day)).filter(F.col("_rn") <= window).drop("_rn")
-    days = F.broadcast(asof_days.groupBy().agg(F.sort_array(F.collect_set("asof")).alias("_days")))
-    df = df.join(days).withColumn("asof", F.explode(F.filter("_days", lambda d: d >= F.col("resolved_date")))).drop("_days")
-    w = Window.partitionBy("asof", *cell).orderBy(F.desc("forecast_date"), "entity")
-    top = df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= window)
-    return top.groupBy("asof", "source", "horizon", "confidence").agg(F.avg("pinball").alias("mean_pinball"), F.count("*").alias("n")).filter(F.col("n") >= min_n)
+    per = settled.groupBy(*CELL, "forecast_date", "resolved_date").agg(F.sum("pinball").alias("_s"), F.count("*").alias("_n"))
+    w = Window.partitionBy(*CELL).orderBy("forecast_date").rowsBetween(-(window - 1), 0)
+    key = F.concat_ws("|", *CELL).alias("entity")
+    roll = per.select(key, F.col("resolved_date").alias("date"), (F.sum("_s").over(w) / F.sum("_n").over(w)).alias("mean_pinball"), F.sum("_n").over(w).alias("n"))
+    out = asof_join(asof.select(key, "asof", *CELL), roll, ["mean_pinball", "n"])
+    return out.filter(F.col("n") >= min_n).select("asof", *CELL, "mean_pinball", "n")
 
 
 def eligible_sources(losses: DataFrame, reference: str = "baseline") -> DataFrame:

@@ -205,8 +205,9 @@ def _conformal_parity(spark, d):
     return out(FC.conformal(fc, st, strict=False), "q", "n_past")
 
 
-GATE = f"""days(asof) AS (SELECT DISTINCT CAST(date_trunc('year', resolved_date) AS DATE) + 180 FROM settled), gt AS (SELECT d.asof AS "asof", s.source, s.horizon, s.confidence, s.pinball, row_number() OVER (PARTITION BY d.asof, s.source, s.horizon, s.confidence ORDER BY s.forecast_date DESC, s.entity) AS rn FROM settled s JOIN days d ON s.resolved_date <= d.asof),
- ls AS (SELECT "asof", source, horizon, confidence, avg(pinball) AS mp, count(*) AS n FROM gt WHERE rn <= 100 GROUP BY 1, 2, 3, 4 HAVING count(*) >= 30)"""
+GATE = """days AS (SELECT DISTINCT source, horizon, confidence, CAST(date_trunc('year', resolved_date) AS DATE) + 180 AS day FROM settled), pd AS (SELECT source, horizon, confidence, forecast_date, resolved_date, sum(pinball) AS s, count(*) AS n FROM settled GROUP BY ALL),
+ ro AS (SELECT source, horizon, confidence, resolved_date, sum(s) OVER w / sum(n) OVER w AS mp, sum(n) OVER w AS n FROM pd WINDOW w AS (PARTITION BY source, horizon, confidence ORDER BY forecast_date ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)),
+ ls AS (SELECT d.day AS "asof", d.source, d.horizon, d.confidence, r.mp FROM days d ASOF JOIN ro r ON r.source = d.source AND r.horizon = d.horizon AND r.confidence = d.confidence AND d.day >= r.resolved_date WHERE r.n >= 30)"""
 
 
 @query("eligible_sources", "J9", f"""WITH {SETTLED_SQL}, {GATE} SELECT a.asof AS "asof", a.source, a.horizon, a.confidence, {rnd('a.mp', 'mean_pinball', 3)}, {rnd('b.mp', 'reference_pinball', 3)} FROM ls a JOIN ls b ON b.asof = a.asof AND b.horizon = a.horizon AND b.confidence = a.confidence AND b.source = 'baseline' WHERE a.source <> 'baseline' AND a.mp < b.mp""")
@@ -214,7 +215,7 @@ def _eligible(spark, d):
     from tidemark.session import cut
 
     st = cut(settled(spark, d)[1])
-    days = st.select(F.date_add(F.trunc("resolved_date", "year"), 180).alias("asof")).distinct()
+    days = st.select(*FC.CELL, F.date_add(F.trunc("resolved_date", "year"), 180).alias("asof")).distinct()
     return tidy(FC.eligible_sources(FC.mean_recent_loss(st, days)), "asof", "source", "horizon", "confidence", "mean_pinball", "reference_pinball", digits=3)
 
 
