@@ -29,6 +29,8 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PLACED = f"{PIECES}, sequence_id long, offset long"
 #: Entries of a task's word cache before it starts anew (bounds memory, not results).
 CACHE_WORDS = 600_000
+#: Documents whose words are held at once.
+SLICE_ROWS = 256
 
 
 #: Word pattern of the vocabulary for which white space and letter runs separate tokens (fixed value).
@@ -103,7 +105,7 @@ def tokenize(docs: DataFrame, path: str, window: int = 4096, end_id: int = 2, wi
             by_word = WordEncoder.fits(json.load(f))
         encode = WordEncoder(tok)
         cache: dict[bytes, bytes] = {}
-        for batch in batches:
+        for batch in (b.slice(i, SLICE_ROWS) for b in batches for i in range(0, b.num_rows, SLICE_ROWS)):
             cols: list[list] = [[] for _ in range(6)]
             texts = [t or "" for t in batch.column(1).to_pylist()]
             if by_word:
