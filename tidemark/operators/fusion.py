@@ -56,10 +56,10 @@ def health(requests: DataFrame, signs: DataFrame, dimension_of: dict[str, str],
 def on_recent_days(rows: DataFrame, days: DataFrame, lookback: int) -> DataFrame:
     """Rows of the last ``lookback`` days per as-of day: a hash join on covered months, then the exact cut.
 
-    ``days`` (asof) is a calendar, one row per day at most, hence broadcast.
+    ``days`` (asof) is a calendar, one row per day at most.
     """
     months = F.explode(F.sequence(F.trunc(F.date_sub("asof", lookback), "month"), F.trunc("asof", "month"), F.expr("interval 1 month")))
-    near = rows.withColumn("_m", F.trunc("date", "month")).join(F.broadcast(days.select("asof", months.alias("_m"))), "_m")
+    near = rows.withColumn("_m", F.trunc("date", "month")).join(days.select("asof", months.alias("_m")), "_m")
     return near.filter((F.col("date") <= F.col("asof")) & (F.col("date") >= F.date_sub("asof", lookback))).drop("_m")
 
 

@@ -29,11 +29,11 @@ def require(entity: str | None = None, lookback: int | None = None, items: list
 def trading_days_only(df: DataFrame, calendar: DataFrame, date: str = "date") -> DataFrame:
     """Keep rows on calendar days; rows without a date stay, and an empty calendar filters nothing.
 
-    The calendar holds one row per day, so it is broadcast.
+    The calendar holds one row per day; only the one-row answer whether it has any is always broadcast.
     """
     days = calendar.select(F.col("date").alias("_day")).distinct().withColumn("_open", F.lit(True))
     known = calendar.agg((F.count("*") > 0).alias("_any"))
-    out = df.join(F.broadcast(days), df[date] == F.col("_day"), "left").join(F.broadcast(known))
+    out = df.join(days, df[date] == F.col("_day"), "left").join(F.broadcast(known))
     return out.filter(F.col("_open") | F.col(date).isNull() | ~F.col("_any")).select(*[df[c] for c in df.columns])
 
 

@@ -189,9 +189,10 @@ def monthly_triggers(requests: DataFrame, growth: DataFrame, flows: DataFrame, s
 
 def top_rows_at(ranked: DataFrame, requests: DataFrame, n: int) -> DataFrame:
     """Top ``n`` of the newest ranking at or before each request date (requests have ``asof`` only)."""
-    days = ranked.select("date").distinct()
-    newest = requests.join(days, days["date"] <= requests["asof"]).groupBy("asof").agg(F.max("date").alias("date"))
-    return ranked.filter(F.col("rank") <= n).join(F.broadcast(newest), "date")
+    one = F.lit(0).alias("entity")  # a single series: the days that have a ranking
+    days = ranked.select(one, "date").distinct()
+    newest = asof_join(requests.select(one, "asof").distinct(), days, []).select("asof", F.col("matched").alias("date"))
+    return ranked.filter(F.col("rank") <= n).join(newest, "date")
 
 
 def top_signals(requests: DataFrame, signals: DataFrame, n: int = 5, lookback: int = 30, scale: float = 14.0) -> DataFrame:

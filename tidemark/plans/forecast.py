@@ -126,7 +126,7 @@ def _macro(spark, d):
     days = FC.realized_volatility(prices(spark, d)).filter("is_due")
     asks = days.select(market, F.col("date").alias("asof")).distinct()
     sc = asof_join(asks, FC.macro_score(rates, cycle), ["score"]).select(F.col("asof").alias("date"), "score")
-    return out(FC.drift_forecast(days.join(F.broadcast(sc), "date"), "macro", "score", 0.4, 0.15))
+    return out(FC.drift_forecast(days.join(sc, "date"), "macro", "score", 0.4, 0.15))
 
 
 @query("trend_filter_forecast", "J6", None)
