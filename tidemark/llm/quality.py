@@ -28,7 +28,7 @@ WINDOW = 8
 METRICS = {
     "symbols": ("n_symbols", "n_words", 1000, 100),
     "marks": ("n_marks", "n_words", 1000, 100),
-    "dup_lines": ("n_dup_lines", "n_lines", 1000, 100),
+    "dup_lines": ("n_dup_lines", "n_lines", 1000, 200),
     "repeats": ("n_repeat_words", "n_words", 1000, 100),
     "word_length": ("word_chars", "n_words", 100, 100),
 }

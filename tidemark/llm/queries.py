@@ -26,7 +26,7 @@ f AS (SELECT w.r, doc_id, lang, source, CAST(len(ws) AS BIGINT) AS n_words, CAST
   FROM w LEFT JOIN ll USING (r) LEFT JOIN cover USING (r)),
 v AS (SELECT r, lang, source, 'symbols' AS metric, coalesce(1000 * n_symbols // nullif(n_words, 0), 0) AS v, 100 AS spread FROM f
   UNION ALL SELECT r, lang, source, 'marks', coalesce(1000 * n_marks // nullif(n_words, 0), 0), 100 FROM f
-  UNION ALL SELECT r, lang, source, 'dup_lines', coalesce(1000 * n_dup_lines // nullif(n_lines, 0), 0), 100 FROM f
+  UNION ALL SELECT r, lang, source, 'dup_lines', coalesce(1000 * n_dup_lines // nullif(n_lines, 0), 0), 200 FROM f
   UNION ALL SELECT r, lang, source, 'repeats', coalesce(1000 * n_repeat_words // nullif(n_words, 0), 0), 100 FROM f
   UNION ALL SELECT r, lang, source, 'word_length', coalesce(100 * word_chars // nullif(n_words, 0), 0), 100 FROM f),
 e AS (SELECT *, CASE WHEN v < 32 THEN v ELSE (v >> (length(bin(v)) - 5)) << (length(bin(v)) - 5) END AS edge FROM v),
