@@ -227,7 +227,8 @@ def repeats(docs: DataFrame, length: int = LENGTH, mode: str = "all", hot_runs:
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), text_of().cast("string").alias("text")).withColumn("tk", F.xxhash64("text"))
     known = cut(texts.groupBy("tk").agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("first_id")))
     found = cut(runs(texts, length))
-    grams = found.groupBy("gram").agg(F.count(F.lit(1)).alias("c"), F.min("run").alias("low"), F.max("run").alias("high")).where("c > 1")
+    # cut, so that the join below has an exchange on both sides and a hot gram can be split
+    grams = cut(found.groupBy("gram").agg(F.count(F.lit(1)).alias("c"), F.min("run").alias("low"), F.max("run").alias("high")).where("c > 1"))
     again = cut(found.join(grams.select("gram", "low", "high"), "gram").join(known.select("tk", "first_id"), "tk"))
     place = F.struct("first_id", "tk", "at", "n")
     groups = cut(again.groupBy("gram", "run").agg(F.count(F.lit(1)).alias("c"), F.min(place).alias("first"), F.max(F.col("low") != F.col("high")).alias("mixed")))
