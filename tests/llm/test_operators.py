@@ -373,6 +373,15 @@ def test_word_encoder_equals_whole_text():
     assert got == tok.encode(" ".join(words), add_special_tokens=False).ids
 
 
+def test_word_encoder_with_marks():
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(word_vocabulary())
+    words = "word*** OF!! then.%%% a_ a__b x<|> <|endoftext|> a<|endoftext|> end<|endoftext|>. (in) q-r\\ w~` [x] né&&& n'.. s'!! 'll!? ''. É.'s".split(" ")
+    got = np.frombuffer(b"".join(packing.WordEncoder(tok)([w.encode() for w in words])), "<u4").tolist()
+    assert got == tok.encode(" ".join(words), add_special_tokens=False).ids
+
+
 def test_slack_plan_fills_windows():
     rng = random.Random(9)
     counts = {}
