@@ -29,8 +29,8 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PLACED = f"{PIECES}, sequence_id long, offset long"
 #: Entries of a task's word cache before it starts anew (bounds memory, not results).
 CACHE_WORDS = 600_000
-#: Documents whose words are held at once.
-SLICE_ROWS = 256
+#: Documents whose words are held at once (bounds memory, not results).
+SLICE_ROWS = 512
 
 
 #: Word pattern of the vocabulary for which white space and letter runs separate tokens (fixed value).
@@ -44,15 +44,20 @@ def byte_letters() -> dict[int, int]:
     return {b: 256 + i for i, b in enumerate(moved)}
 
 
+#: ASCII marks that end words; a run of them is one token pattern of its own (an apostrophe may start another).
+STOPS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
 class WordEncoder:
     """Ids of white-space separated words, as little-endian bytes, exactly as the whole text gives.
 
-    A word of Latin letters with trailing stops is the letters' ids followed by the stops' ids, and letters
+    A word of Latin letters with trailing marks is the letters' ids followed by the marks' ids, and letters
     need only lower case before the merges; every other word takes the full tokenizer.
     """
 
     def __init__(self, tok):
         self.tok, self.model, self.moved, self.stops = tok, tok.model, byte_letters(), {"": b""}
+        self.cores: dict[str, bytes] = {}  # many words differ by case and stops only
 
     @staticmethod
     def fits(spec: dict) -> bool:
@@ -67,13 +72,17 @@ class WordEncoder:
         out, rest = [], []
         for i, w in enumerate(words):
             s = w.decode()
-            core = s.rstrip(".,")
+            core = s.rstrip(STOPS)
             if core.isalpha() and (core.isascii() or (max(core) < "\u0180" and "\u0130" not in core)):
-                ids = [t.id for t in self.model.tokenize(core.lower().encode().decode("latin-1").translate(self.moved))]
+                low = core.lower()
+                ids = self.cores.get(low)
+                if ids is None:
+                    letters = low if low.isascii() else low.encode().decode("latin-1").translate(self.moved)
+                    ids = self.cores[low] = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(letters)])
                 stop = s[len(core) :]
                 if stop not in self.stops:
                     self.stops[stop] = self.full([stop])[0]
-                out.append(b"".join([x.to_bytes(4, "little") for x in ids]) + self.stops[stop])
+                out.append(ids + self.stops[stop] if stop else ids)
             else:
                 rest.append(i)
                 out.append(b"")
@@ -113,6 +122,7 @@ def tokenize(docs: DataFrame, path: str, window: int = 4096, end_id: int = 2, wi
                 new = list({w for ws in texts for w in ws if w not in cache})
                 if len(cache) + len(new) > CACHE_WORDS:
                     cache.clear()
+                    encode.cores.clear()
                     new = list({w for ws in texts for w in ws})
                 for i in range(0, len(new), 20_000):
                     part = new[i : i + 20_000]
