@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tidemark.llm import chat, html, language, mixing, neighbours, packing, quality, simhash, suffixes, toxicity
 from tidemark.llm.queries import word_vocabulary
@@ -316,6 +317,23 @@ def test_toxicity(spark):
     assert toxicity.score(df.limit(0), lab).count() == 0
 
 
+def test_toxicity_marks_in_ordinary_text(spark):
+    rng = random.Random(17)
+    bad = ["snarlwort", "grubface", "muckbrain", "blisterhead"]
+    rows, labels = [], []
+    for i in range(400):
+        w = prose(rng, 200).split()
+        for _ in range(4 if i % 4 == 0 else i % 20 == 1):  # one ordinary text in fifteen has one mark too
+            w.insert(rng.randrange(len(w)), rng.choice(bad))
+        rows.append((i, " ".join(w), None, None, 0))
+        labels.append((i, 1, int(i % 4 == 0)))
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.score(spark.createDataFrame(rows, DOCS), lab, usable=F.crc32(lab["doc_id"].cast("string")) % 2 == 0).collect()}
+    held = [(got[i] >= 0.3, t) for i, _, t in labels if zlib.crc32(str(i).encode()) % 2]
+    assert sum(a for a, t in held if t) / sum(t for _, t in held) > 0.9
+    assert sum(a for a, t in held if not t) / sum(not t for _, t in held) < 0.05
+
+
 def test_language(spark):
     rng = random.Random(8)
     sylls = {"aa": ["ka", "ri", "mo", "tun"], "bb": ["sch", "ein", "ung", "ver"], "cc": ["ção", "lha", "nho", "que"]}

@@ -1,11 +1,12 @@
 """Toxicity by compression distance between two zstandard dictionaries.
 
 An ordinary dictionary is trained on windows of ordinary text; a toxic one on the passages of toxic text whose
-byte 6-grams ordinary text lacks. A window of text is compressed once with the ordinary dictionary and
-once with both; how many bytes the toxic dictionary saves is its distance. Every window of the whole
+byte 6-grams are over-represented: their document-frequency odds in toxic against ordinary texts are high even one
+standard error lower, so a mark that a few ordinary texts also have stays a mark. A window of text is compressed
+once with the ordinary dictionary and once with both; how many bytes the toxic dictionary saves is its distance. Every window of the whole
 text is measured; the windows that save most are measured again at shifted places and with a stronger
-parse, which evens out the noise of single parses. A logistic curve, fitted out of fold, turns the
-savings of a text into a calibrated score.
+parse, which evens out the noise of single parses. Marks too short to save bytes count by the log odds of the text's strongest
+passages. A logistic curve, fitted out of fold, turns both into a calibrated score.
 
 Fitting reads at most ``toxic_rows`` and ``ordinary_rows`` labelled rows (smallest keyed digests); the class
 shares come from all labelled rows. Scoring streams over the documents without a shuffle.
@@ -62,9 +63,10 @@ def _trained(samples: list[bytes], size: int, **kw) -> bytes:
 
 
 class Distance:
-    """Compressors for one pair of dictionaries."""
+    """Compressors for one pair of dictionaries, and the grams the toxic one was chosen by."""
 
-    def __init__(self, ordinary: bytes, toxic: bytes):
+    def __init__(self, ordinary: bytes, toxic: bytes, seeds: np.ndarray, weights: np.ndarray):
+        self.seeds, self.weights = seeds, weights
         self.fast = self._pair(ordinary, toxic, 3)
         self.strong = self._pair(ordinary, toxic, 12)
 
@@ -81,6 +83,16 @@ class Distance:
             out.append(zstandard.ZstdCompressor(dict_data=d, compression_params=p).compress)
         return out
 
+    def evidence(self, b: bytes) -> list[float]:
+        """Log odds of the five strongest passages, of the strongest and of the third, and how many differ."""
+        h = _grams(b)
+        at = np.flatnonzero(_among(h, self.seeds))
+        if not len(at):
+            return [0.0] * 4
+        w = self.weights[np.searchsorted(self.seeds, h[at])]
+        best = np.sort(np.maximum.reduceat(w, np.append(0, np.flatnonzero(np.diff(at) > GRAM) + 1)))[::-1]
+        return [float(best[:5].sum()), float(best[0]), float(best[2]) if len(best) > 2 else 0.0, np.log1p(len(best))]
+
     def features(self, text: str | None) -> list[float]:
         b = _bytes(text)
         ordinary, both = self.fast
@@ -100,18 +112,31 @@ class Distance:
         return [
             float(top[0]), float(top[1]) if len(top) > 1 else 0.0, np.log1p(len(top)), np.log1p((top >= 4).sum()), np.log1p((top >= 6).sum()),
             m[:, 0].max(), m[:, 1].max(), m[:, 2].max(), mixed[0], mixed[1] if len(mixed) > 1 else 0.0, float((m[:, 0] >= 4).sum()),
+            *self.evidence(b),
         ]
 
 
-def dictionaries(toxic: list[str], ordinary: list[str], toxic_size: int = 1500, ordinary_size: int = 16384, least: int = 4) -> tuple[bytes, bytes]:
-    plain = [np.unique(_grams(_bytes(t))) for t in ordinary]
-    known = np.unique(np.concatenate(plain)) if plain else np.zeros(0, np.uint64)
-    new = []
-    for t in toxic:
-        u = np.unique(_grams(_bytes(t)))
-        new.append(u[~_among(u, known)])
-    v, c = np.unique(np.concatenate(new), return_counts=True) if new else (np.zeros(0, np.uint64), np.zeros(0, int))
-    seeds = v[c >= max(least, len(toxic) // 100)]
+def over_represented(toxic: list[str], ordinary: list[str], least: int = 4, odds: float = 4.0) -> tuple[np.ndarray, np.ndarray]:
+    """Grams whose document-frequency odds in toxic against ordinary texts exceed ``odds`` by one standard error, and their log odds."""
+
+    def frequency(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return np.unique(np.concatenate([np.zeros(0, np.uint64), *(np.unique(_grams(_bytes(t))) for t in texts)]), return_counts=True)
+
+    v, c = frequency(toxic)
+    v, c = v[c >= least], c[c >= least]
+    u, n = frequency(ordinary)
+    also = np.zeros(len(v), np.int64)
+    known = _among(v, u)
+    also[known] = n[np.searchsorted(u, v[known])]
+    log = np.log((c + 0.5) / (len(toxic) - c + 0.5)) - np.log((also + 0.5) / (len(ordinary) - also + 0.5))
+    low = log - np.sqrt(1 / (c + 0.5) + 1 / (also + 0.5))
+    keep = low >= np.log(odds)
+    return v[keep], log[keep]
+
+
+def dictionaries(toxic: list[str], ordinary: list[str], toxic_size: int = 1500, ordinary_size: int = 16384, least: int = 4) -> tuple[bytes, bytes, np.ndarray, np.ndarray]:
+    """(ordinary dictionary, toxic dictionary, over-represented grams, their log odds)."""
+    seeds, weights = over_represented(toxic, ordinary, least)
     samples = []
     for t in toxic:
         b = _bytes(t)
@@ -123,7 +148,7 @@ def dictionaries(toxic: list[str], ordinary: list[str], toxic_size: int = 1500,
     for t in ordinary:
         b = _bytes(t)
         windows += [b[i : i + WIDTH] for i in rng.integers(0, max(1, len(b) - WIDTH), 3).tolist()]
-    return _trained([w for w in windows if w], ordinary_size), _trained(samples, toxic_size, k=32, d=8)
+    return _trained([w for w in windows if w], ordinary_size), _trained(samples, toxic_size, k=32, d=8), seeds, weights
 
 
 class Curve:
@@ -146,7 +171,7 @@ class Curve:
 
 
 def fit(toxic: list[str], ordinary: list[str], odds: float):
-    """(ordinary dictionary, toxic dictionary, curve); ``odds``: toxic to ordinary in all labelled rows."""
+    """(what ``dictionaries`` gives, curve); ``odds``: toxic to ordinary in all labelled rows."""
     parts = [(toxic[i::2], ordinary[i::2]) for i in (0, 1)]
     x, y = [], []
     for mine, (t, o) in zip(reversed(parts), parts):  # each half is measured with the other's dictionaries
@@ -155,7 +180,7 @@ def fit(toxic: list[str], ordinary: list[str], odds: float):
         y += [1.0] * len(t) + [0.0] * len(o)
     y = np.array(y)
     share = max(1e-6, y.sum()) / max(1e-6, (1 - y).sum())
-    return (*dictionaries(toxic, ordinary), Curve(np.array(x, float), y, odds / share))
+    return dictionaries(toxic, ordinary), Curve(np.array(x, float), y, odds / share)
 
 
 def training(docs: DataFrame, labels: DataFrame, toxic_rows: int = 1200, ordinary_rows: int = 2500, usable: Column | None = None) -> tuple[list[str], list[str], float, float]:
@@ -185,10 +210,10 @@ def model_of(docs: DataFrame, labels: DataFrame, usable: Column | None = None, *
     if not toxic or not ordinary:
         share = n1 / max(1.0, n1 + n0)
         return lambda: lambda texts: np.full(len(texts), share)
-    plain, bad, curve = fit(toxic, ordinary, n1 / n0)
+    found, curve = fit(toxic, ordinary, n1 / n0)
 
     def opened():
-        d = Distance(plain, bad)
+        d = Distance(*found)
         return lambda texts: curve(np.array([d.features(t) for t in texts], float)) if texts else np.zeros(0)
 
     return opened
