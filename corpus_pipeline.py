@@ -27,8 +27,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component, the one with the smallest id."""
-    return simhash.drop_near_duplicates(docs.select(*COLUMNS))
+    """One document of each SimHash component, the one with the smallest id; components without an id stay."""
+    return simhash.drop_near_duplicates(docs.select(*COLUMNS), null_ids=True)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tidemark.llm import chat, html, language, mixing, neighbours, packing, quality, simhash, suffixes, toxicity
 from tidemark.llm.queries import word_vocabulary
 
@@ -245,6 +246,21 @@ def test_simhash(docs):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({v for v in label.values() if v is not None})
 
 
+def test_near_duplicates_keep_every_component(spark):
+    rng = random.Random(18)
+    t = [prose(rng, 60) for _ in range(6)]
+    # ids 1 and 2 stand on two texts each, t[4] and t[5] have no id at all, t[3] has one beside null
+    rows = [(1, t[0]), (1, t[1]), (1, t[1]), (2, t[1]), (2, t[2]), (3, t[3]), (None, t[3]), (None, t[4]), (None, t[4]), (None, t[5])]
+    df = spark.createDataFrame([(i, x, "en", "a", 0) for i, x in rows], DOCS).selectExpr("*", "1 AS fp", "2 AS root")
+    kept = simhash.drop_near_duplicates(df, null_ids=True)
+    ids = [(1, t[0]), (1, t[1]), (2, t[2]), (3, t[3])]
+    assert kept.columns == df.columns
+    assert {(r.doc_id, r.text) for r in kept.collect()} == {*ids, (None, t[4]), (None, t[5])} and kept.count() == 6
+    assert sorted((r.doc_id, r.text) for r in simhash.drop_near_duplicates(df).collect()) == sorted(ids)
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    assert stage(spark, df, "").count() == 6
+
+
 @pytest.mark.parametrize("bucket", [2048, 4])
 def test_simhash_links(spark, bucket):
     rng = np.random.default_rng(6)

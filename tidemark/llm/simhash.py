@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.llm.components import components
 from tidemark.llm.shared import cut
@@ -182,23 +183,53 @@ def links(fps: DataFrame, bucket_rows: int = 2048, block_rows: int = 512) -> Dat
     return rows.mapInArrow(run, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, words: int = 3, seed: int = 42, bucket_rows: int = 2048) -> DataFrame:
-    """``doc_id, fp, component_id`` for every row."""
+def _rooted(docs: DataFrame, words: int, seed: int, bucket_rows: int) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, fp`` of every row, and ``fp, first_id, root``: the component of every distinct fingerprint."""
     rows = cut(fingerprints(docs, words, seed))
     distinct = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     roots = components(links(distinct.select("fp"), bucket_rows))
     named = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    named = cut(named)
+    return rows, cut(named)
+
+
+def near_duplicates(docs: DataFrame, words: int = 3, seed: int = 42, bucket_rows: int = 2048) -> DataFrame:
+    """``doc_id, fp, component_id`` for every row."""
+    rows, named = _rooted(docs, words, seed, bucket_rows)
     ids = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     return rows.join(named.join(ids, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, **kw) -> DataFrame:
-    """One row per component: that of its smallest ``doc_id`` (one of them, if the id is repeated)."""
-    names = docs.columns
-    found = near_duplicates(docs, **kw)
-    kept = found.groupBy("component_id").agg(F.count(F.lit(1)).alias("_n")).select(F.col("component_id").alias("_keep"))
-    rows = docs.join(kept, F.col("doc_id").cast("long") == F.col("_keep"), "left_semi")
-    rest = [c for c in names if c != "doc_id"]
-    first = rows.groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("_row")) if rest else rows.distinct()
-    return first.select(*[F.col(f"_row.`{c}`").alias(c) if c != "doc_id" else F.col(c) for c in names])
+def _with_fingerprint(docs: DataFrame, words: int, seed: int) -> DataFrame:
+    """``_id, fp, _row``: every row as a struct beside its fingerprint."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("_text"), F.struct(*docs.columns).alias("_row"))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fp = [fingerprint(t, words, seed) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp, pa.int64()), b.column(2)], names=["_id", "fp", "_row"])
+
+    return rows.mapInArrow(run, StructType([StructField("_id", LongType()), StructField("fp", LongType()), rows.schema["_row"]]))
+
+
+def drop_near_duplicates(docs: DataFrame, words: int = 3, seed: int = 42, bucket_rows: int = 2048, null_ids: bool = False) -> DataFrame:
+    """One row per component: that of its smallest ``doc_id``, of several such rows the smallest by all columns.
+
+    One id on different texts may stand for several components and gives one row for each of them. A component
+    without any id gives its smallest row if ``null_ids``, else none.
+    """
+    rows, named = _rooted(docs, words, seed, bucket_rows)
+    kept = cut(named.groupBy("root").agg(F.min("first_id").alias("_keep")))
+    winners = kept.where("_keep IS NOT NULL").select("_keep").distinct()
+    # an id with one fingerprint names its component; other rows are told apart by their own fingerprints
+    mixed = rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg((F.min("fp") != F.max("fp")).alias("_mixed")).where("_mixed").select(F.col("doc_id").alias("_keep"))
+    several = cut(winners.join(mixed, "_keep", "left_semi"))
+    mine = F.col("doc_id").cast("long")
+    clear = docs.join(winners.join(several, "_keep", "left_anti"), mine == F.col("_keep"), "left_semi")
+    out = clear.groupBy(mine.alias("_id")).agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*")
+    doubtful = [docs.join(several, mine == F.col("_keep"), "left_semi")] if not several.isEmpty() else []
+    if null_ids and not kept.where("_keep IS NULL").isEmpty():
+        doubtful.append(docs.where(mine.isNull()))
+    for part in doubtful:
+        x = _with_fingerprint(part, words, seed).join(named.select("fp", "root"), "fp").join(kept, "root").where(F.col("_id").eqNullSafe(F.col("_keep")))
+        out = out.unionByName(x.groupBy("root").agg(F.min("_row").alias("_row")).select("_row.*"))
+    return out
