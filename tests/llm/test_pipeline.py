@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from tidemark.llm import mixing, simhash, suffixes, toxicity
+from tidemark.llm import chat, mixing, simhash, suffixes, toxicity
 from tidemark.llm.queries import fold_of
 from tidemark.llm.registry import ORACLES, QUERIES
 
@@ -69,3 +69,19 @@ def test_sql(spark, sf, name):
     a = sorted(str(tuple(r[c] for c in cols)) for r in got.collect())
     b = sorted(str(r) for r in want.select(*[f'"{c}"' for c in cols]).fetchall())
     assert a == b
+
+
+def test_perspectives_sql_over_full_parts(spark, tmp_path):
+    # a hot turn number, null turns and null ids, each beyond the rows of one sub-part
+    rows = [(1, 5 if i % 3 else 6, "ann" if i % 2 else "bob", f"t{i} é") for i in range(1300)]
+    rows += [(2, None, "ann" if i % 7 else "system", f"n{i}") for i in range(600)] + [(None, i % 2, "bob", f"z{i}") for i in range(700)] + [(3, 0, "ann", "few"), (1, 70, "ann", "next part")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5).write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.sql(f"create view conversations as select * from '{tmp_path}/conversations.parquet/*.parquet'")
+    names = ["conv_id", "speaker", "part", "n_turns", "text", "masks"]
+    want = con.sql(ORACLES["op6_perspectives"]).select(*names).fetchall()
+    got = [tuple(r[c] for c in names) for r in QUERIES["op6_perspectives"](spark, str(tmp_path)).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want)) and max(r[3] for r in got) > 1024
+    subs = sorted((r for r in chat.perspectives(spark.read.parquet(f"{tmp_path}/conversations.parquet")).collect() if r.conv_id == 1 and r.speaker == "ann" and r.part == 0), key=lambda r: r["sub"])
+    assert [r.n_turns for r in subs] == [512, 512, 276]
+    assert "".join(r.text for r in subs) == next(r[4] for r in got if r[:3] == (1, "ann", 0))

@@ -133,6 +133,6 @@ FROM o GROUP BY conv_id, speaker, part
 
 @query("op6_perspectives", OP6_SQL)
 def op6(spark, d):
-    rows = chat.perspectives(table(spark, d, "conversations"))
+    rows = chat.perspectives(table(spark, d, "conversations"), whole=True)
     masks = F.array_join(F.transform("masks", lambda m: F.concat(m["start"].cast("string"), F.lit("-"), m["stop"].cast("string"))), " ")
     return rows.select("conv_id", "speaker", "part", "n_turns", "text", F.when(F.size("masks") > 0, masks).alias("masks"))
