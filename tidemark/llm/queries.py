@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, html, language, mixing, neighbours, packing, quality, simhash, suffixes, toxicity
+from tidemark.llm import chat, html, language, mixing, negatives, neighbours, packing, prefixes, quality, sharding, simhash, suffixes, toxicity
 from tidemark.llm.registry import query
 from tidemark.llm.shared import table
 
@@ -136,3 +136,54 @@ def op6(spark, d):
     rows = chat.perspectives(table(spark, d, "conversations"), whole=True)
     masks = F.array_join(F.transform("masks", lambda m: F.concat(m["start"].cast("string"), F.lit("-"), m["stop"].cast("string"))), " ")
     return rows.select("conv_id", "speaker", "part", "n_turns", "text", F.when(F.size("masks") > 0, masks).alias("masks"))
+
+
+@query("op11_sharding")
+def op11(spark, d):
+    text = F.coalesce("text", F.lit(""))
+    rows = table(spark, d, "documents").select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
+    rows = sharding.place(rows, key="doc_id", size="size", shards=16)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+OP12_SQL = r"""
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id AS id, a.label = c.label AS same, CAST(list_dot_product(a.q, c.q) AS BIGINT) AS score FROM r a JOIN r c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS k FROM s WHERE same) WHERE k <= 5),
+n AS (SELECT p.anchor_id, p.id AS positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+  FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT * FROM n WHERE rank <= 3
+"""
+
+
+@query("op12_hard_negatives", OP12_SQL)
+def op12(spark, d):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, d, "embeddings"), anchors=F.col("vec_id") % 50 == 0, label=label)
+
+
+OP13_SQL = r"""
+WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i FROM conversations WHERE conv_id IS NOT NULL),
+h AS (SELECT c, c - c % 20 AS b, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda a, y: list_reduce(list_prepend(xor(a, y), list_transform(range(8), lambda z: CAST(z AS BIGINT))), lambda u, z: xor(u >> 1, (u & 1) * 3988292384))), 4294967295) % 4 AS h FROM (SELECT DISTINCT c FROM t)),
+w AS (SELECT h.c, 0 AS own, i, role, text FROM h JOIN t ON t.c = b AND i <= h UNION ALL SELECT h.c, 1, i, role, text FROM h JOIN t ON t.c = h.c AND i > h),
+s AS (SELECT c, role, text, row_number() OVER (PARTITION BY c ORDER BY own, i) AS d FROM w),
+m AS (SELECT c, d, text, md5(string_agg(md5(role) || md5(text), '') OVER (PARTITION BY c ORDER BY d ROWS UNBOUNDED PRECEDING)) AS k FROM s UNION ALL SELECT c, 0, '', '' FROM h),
+e AS (SELECT *, lag(k) OVER (PARTITION BY c ORDER BY d) AS pk, d = max(d) OVER (PARTITION BY c) AS last FROM m),
+n AS (SELECT d, k, any_value(pk) AS pk, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(len(regexp_extract_all(text, '[^ 	-]+'))) AS saved,
+  sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE last), '')) AS ends_sha256 FROM e GROUP BY d, k),
+ch AS (SELECT pk, d - 1 AS d, count(*) AS n_children FROM n WHERE d > 0 GROUP BY pk, d),
+f AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN ch ON n.k = ch.pk AND n.d = ch.d),
+u AS (SELECT e.d, e.k, sum((f.n_children = 0)::BIGINT) AS n_leaves, sum(f.saved) AS saved_tokens FROM f JOIN e ON e.c = f.conv_id AND e.d <= f.d GROUP BY e.d, e.k)
+SELECT f.conv_id, CAST(f.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, CAST(u.n_leaves AS BIGINT) AS n_leaves, CAST(u.saved_tokens AS BIGINT) AS saved_tokens, f.ends_sha256
+FROM f JOIN u ON f.d = u.d AND f.k = u.k LEFT JOIN f p ON f.pk = p.k AND p.d = f.d - 1
+"""
+
+
+@query("op13_prefix_trie", OP13_SQL)
+def op13(spark, d):
+    conv = F.col("conv_id")
+    turns = prefixes.digested(prefixes.ordered_turns(table(spark, d, "conversations")))
+    head = F.crc32(conv.cast("string")) % 4
+    return prefixes.trie(prefixes.branched(turns, head, conv - conv % 20, longest=3))
