@@ -77,7 +77,7 @@ def _numbered(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_mix", F.xxhash64("_id", F.col("_nth") + F.coalesce("_shift", F.lit(0)))).drop("_id", "_from", "_nth", "_shift")
 
 
-def place(rows: DataFrame, key: str, size: str, shards: int = 16, slack: float = 0.002, vnodes: int = 64, cells: int = 1 << 16) -> DataFrame:
+def place(rows: DataFrame, key: str, size: str, shards: int = 16, slack: float = 0.002, vnodes: int = 64, cells: int = 1 << 14) -> DataFrame:
     """``rows`` with ``shard`` (0 to ``shards - 1``) and ``slot`` (gapless from 0 in each shard, shuffled).
 
     ``key`` names the column that places a row, ``size`` the one that loads are counted in. ``slack`` bounds how far a
