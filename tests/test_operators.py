@@ -326,42 +326,6 @@ def test_signs_follow_the_catalogue(spark):
     assert [r.sign for r in D.DONCHIAN_RULES] == [1, -1]
 
 
-def test_support_resistance_brute_force(spark):
-    b = make_bars(spark, n=200, entities=(1,), seed=9)
-    rows = b.orderBy("date").collect()[-120:]
-    v = [r.high for r in rows]
-    piv = sorted((i for i in range(3, 117) if all(v[i] > v[i - k] and v[i] > v[i + k] for k in (1, 2, 3))), key=lambda i: v[i])
-    groups = []
-    for i in piv:
-        for g in groups:
-            if abs(v[i] - g[0]) / g[0] <= 0.03:
-                g[0] = (g[0] * len(g[1]) + v[i]) / (len(g[1]) + 1)
-                g[1].append(i)
-                break
-        else:
-            groups.append([v[i], [i]])
-    want = []
-    for p, idx in sorted((g for g in groups if len(g[1]) >= 2), key=lambda g: -len(g[1])):
-        if all(abs(w - p) / ((w + p) / 2) >= 0.02 for w in want):
-            want.append(p)
-    got = sorted(r.level for r in WV.support_resistance(b, touches=2, tolerance=0.03).filter("kind = 'resistance'").collect())
-    assert got == pytest.approx(sorted(want)) and want
-
-
-def test_trendline_touches_brute_force(spark):
-    b = make_bars(spark, n=250, entities=(1,), seed=11).cache()
-    lg = WV.legs(b).cache()
-    ends = {r.end_date: r.end_price for r in lg.filter("direction = 1").collect()}
-    days = [r.date for r in b.orderBy("date").collect()]
-    pts = [(i, ends[d]) for i, d in enumerate(days) if d in ends]
-    got = WV.trendlines(b, lg, min_pivots=3, tolerance=0.02).filter("kind = 'resistance'").collect()
-    assert got
-    for t in got:
-        a, z = days.index(t.start_date), days.index(t.anchor_date)
-        n = sum(1 for i, p in pts if i >= a and (i in (a, z) or abs(p - (t.start_price + t.slope * (i - a))) / (t.start_price + t.slope * (i - a)) < 0.02))
-        assert n == t.touches and z - a >= 30
-
-
 def test_incremental_equals_full(spark):
     b = make_bars(spark).cache()
     part = {(r.entity, r.date): r.upper for r in incremental(I.bollinger, b, str(day(299)), 120, 30).collect()}

@@ -240,119 +240,3 @@ def sweep_metrics(swept: DataFrame, axes: list[str]) -> DataFrame:
     r = swept.filter("excluded_reason is not null").groupBy(*keys, "excluded_reason").agg(F.count("*").alias("c"))
     top = r.groupBy(*keys).agg(F.max_by("excluded_reason", F.struct("c", "excluded_reason")).alias("top_reason"))
     return n.join(q, keys, "left").join(top, keys, "left")
-
-
-# --- levels and lines from pivots ------------------------------------------------------------------------
-def support_resistance(bars: DataFrame, lookback: int = 120, touches: int = 3, tolerance: float = 0.01, min_distance: float = 0.02, n: int = 3) -> DataFrame:
-    """Levels from clustered swing points of the last ``lookback`` bars, best touched first.
-
-    Sequential per entity and bounded by ``lookback`` rows.  A swing joins the first cluster whose
-    running mean lies within ``tolerance``; levels closer than ``min_distance`` to a better one go.
-    """
-    rn = F.row_number().over(Window.partitionBy("entity").orderBy(F.desc("date")))
-    last = bars.withColumn("_rn", rn).filter(F.col("_rn") <= lookback).select("entity", "date", "high", "low", "volume")
-
-    def swing(v: np.ndarray) -> np.ndarray:
-        s = pd.Series(v)
-        before, after = s.shift(1).rolling(n).max(), s[::-1].shift(1).rolling(n).max()[::-1]
-        return np.flatnonzero(((s > before) & (s > after)).to_numpy())
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date", ignore_index=True)
-        rows = []
-        for kind, col, sign in (("resistance", "high", 1), ("support", "low", -1)):
-            v = pdf[col].to_numpy()
-            groups: list[list] = []
-            for i in sorted(swing(sign * v), key=lambda i: v[i]):
-                home = next((g for g in groups if abs(v[i] - g[0]) / g[0] <= tolerance), None)
-                if home is None:
-                    groups.append([v[i], [i]])
-                else:
-                    k = len(home[1])
-                    home[0] = (home[0] * k + v[i]) / (k + 1)
-                    home[1].append(i)
-            kept: list[float] = []
-            for price, idx in sorted((g for g in groups if len(g[1]) >= touches), key=lambda g: -len(g[1])):
-                if all(abs(k - price) / ((k + price) / 2) >= min_distance for k in kept):
-                    kept.append(price)
-                    rows.append((pdf["entity"].iloc[0], kind, price, len(idx), pdf["date"].iloc[min(idx)], pdf["date"].iloc[max(idx)], len(pdf) - max(idx) - 1, float(pdf["volume"].iloc[idx].mean())))
-        return pd.DataFrame(rows, columns=["entity", "kind", "level", "touches", "first_seen", "last_seen", "recency", "avg_volume"])
-
-    key = dict(bars.dtypes)["entity"]
-    return last.groupBy("entity").applyInPandas(run, f"entity {key}, kind string, level double, touches int, first_seen date, last_seen date, recency int, avg_volume double")
-
-
-def level_events(bars: DataFrame, levels: DataFrame, lookback: int = 120, retest: int = 30, bounce: int = 5, tolerance: float = 0.01) -> DataFrame:
-    """Breaks (2 % beyond a level) and role flips (first break, retest within ``retest`` bars, bounce).
-
-    Bars and levels of an entity meet by key; a level set is capped by the clustering above.
-    """
-    w = Window.partitionBy("entity").orderBy("date")
-    rn = F.row_number().over(Window.partitionBy("entity").orderBy(F.desc("date")))
-    last = bars.withColumn("_rn", rn).filter(F.col("_rn") <= lookback).select("entity", "date", "low", "close", F.lag("close").over(w).alias("was"), F.row_number().over(w).alias("i"))
-    j = last.join(levels.select("entity", "kind", "level"), "entity")
-    up = (F.col("kind") == "resistance") & (F.col("was") <= F.col("level")) & (F.col("close") > F.col("level") * 1.02)
-    down = (F.col("kind") == "support") & (F.col("was") >= F.col("level")) & (F.col("close") < F.col("level") * 0.98)
-    j = j.withColumns({"_up": F.coalesce(up, F.lit(False)), "_down": F.coalesce(down, F.lit(False))})
-    breaks = j.filter("_up or _down").select("entity", "date", F.when(F.col("_up"), "resistance_break").otherwise("support_break").alias("event_kind"), F.col("level").alias("value"))
-    lv = Window.partitionBy("entity", "level")
-    r = j.filter("kind = 'resistance'").withColumn("_b", F.min(F.when(F.col("_up"), F.col("i"))).over(lv))
-    near = (F.col("i") > F.col("_b")) & (F.col("i") < F.col("_b") + retest) & (F.abs(F.col("low") - F.col("level")) / F.col("level") < tolerance)
-    r = r.withColumn("_r", F.min(F.when(near, F.col("i"))).over(lv))
-    holds = F.min(F.when((F.col("i") >= F.col("_r")) & (F.col("i") < F.col("_r") + bounce), (F.col("close") >= F.col("level")).cast("int"))).over(lv)
-    flips = r.withColumn("_ok", holds).filter((F.col("i") == F.col("_r")) & (F.col("_ok") == 1)).select("entity", "date", F.lit("level_flip").alias("event_kind"), F.col("level").alias("value"))
-    return breaks.unionByName(flips)
-
-
-def trendlines(bars: DataFrame, swing_legs: DataFrame, lookback: int = 250, min_pivots: int = 5, tolerance: float = 0.005, min_span: int = 30) -> DataFrame:
-    """Lines through same-side leg ends of the last ``lookback`` bars touched by ``min_pivots`` points.
-
-    Pairs are formed inside one entity's bounded look-back, never shuffled.  Near-duplicates (slope
-    within 5 %, start within 5 days) go, the others all stay with their ``touches``; a close 2 % beyond breaks it.
-    """
-    rn = F.row_number().over(Window.partitionBy("entity").orderBy(F.desc("date")))
-    recent = bars.withColumn("_rn", rn).filter(F.col("_rn") <= lookback)
-    ends = swing_legs.select("entity", F.col("end_date").alias("date"), F.col("end_price").alias("pivot"), F.col("direction").alias("way"))
-    df = recent.select("entity", "date", "close").join(ends, ["entity", "date"], "left")
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date", ignore_index=True)
-        close, day = pdf["close"].to_numpy(), pd.to_datetime(pdf["date"]).to_numpy()
-        lines = []
-        for kind, way in (("resistance", 1), ("support", -1)):
-            at = np.flatnonzero((pdf["way"] == way).to_numpy())
-            p = pdf["pivot"].to_numpy(dtype=float)[at]
-            for i in range(len(at) - 1):
-                # all lines that start at pivot i, against all later pivots
-                off = at[i + 1:] - at[i]
-                slope = (p[i + 1:] - p[i]) / off
-                want = p[i] + slope[:, None] * off
-                near = (want > 0) & (np.abs(p[i + 1:] - want) < tolerance * want)
-                np.fill_diagonal(near, True)
-                inner, total = np.tril(near).sum(axis=1) + 1, near.sum(axis=1) + 1
-                for j in np.flatnonzero((off >= min_span) & (total >= min_pivots)):
-                    lines.append((kind, at[i], at[i + 1 + j], p[i], slope[j], int(inner[j]), int(total[j])))
-        lines.sort(key=lambda x: (-x[5], x[1]))
-        kept: list = []
-        seen = {k: (np.empty(len(lines)), np.empty(len(lines))) for k in ("resistance", "support")}
-        n = {"resistance": 0, "support": 0}
-        for ln in lines:
-            m, (slopes, starts) = n[ln[0]], seen[ln[0]]
-            at = (day[ln[1]] - day[0]) / np.timedelta64(1, "D")
-            k = slopes[:m]
-            if m and ((np.abs(k - ln[4]) < 0.05 * np.maximum(np.abs(k), 1e-9)) & (np.abs(starts[:m] - at) < 5)).any():
-                continue
-            kept.append(ln)
-            slopes[m], starts[m] = ln[4], at
-            n[ln[0]] = m + 1
-        rows = []
-        for kind, a, b, p0, slope, inner, total in kept:
-            line = p0 + slope * np.arange(1, len(close) - a)
-            c = close[a + 1:]
-            out = (c < line * 0.98) if kind == "support" else (c > line * 1.02)
-            hit = np.flatnonzero(out & (line > 0))
-            rows.append((pdf["entity"].iloc[0], kind, pdf["date"].iloc[a], pdf["date"].iloc[b], float(p0), float(slope), total, float(p0 + slope * (len(close) - 1 - a)), pdf["date"].iloc[a + 1 + hit[0]] if len(hit) else None))
-        return pd.DataFrame(rows, columns=["entity", "kind", "start_date", "anchor_date", "start_price", "slope", "touches", "price_now", "broken_at"])
-
-    key = dict(bars.dtypes)["entity"]
-    return df.groupBy("entity").applyInPandas(run, f"entity {key}, kind string, start_date date, anchor_date date, start_price double, slope double, touches int, price_now double, broken_at date")

@@ -169,16 +169,6 @@ def _key_levels(spark, d):
     return tidy(FU.key_levels(pivot_points(spark, d)), digits=3)
 
 
-@query("combined_key_levels", "K4", None)
-def _combined(spark, d):
-    b = V.bars(spark, d)
-    lg = cut(WV.legs(b))  # read by the trendlines and by the zones
-    sr = WV.support_resistance(b, touches=2, tolerance=0.03).select("entity", F.col("level").alias("price"), F.concat(F.lit("sr_"), "kind").alias("source"))
-    tl = WV.trendlines(b, lg, min_pivots=3, tolerance=0.02).select("entity", F.col("price_now").alias("price"), F.when(F.col("broken_at").isNull(), "trendline").otherwise("trendline_historical").alias("source"))
-    z = WV.fib_zones(WV.scenarios(WV.leg_metrics(lg))).select("entity", F.col("zone_price").alias("price"), F.lit("fib").alias("source"))
-    return tidy(FU.key_levels(sr.unionByName(tl).unionByName(z)), digits=3)
-
-
 EVERY = PIV + ", kl AS (SELECT * FROM cl)"
 STOPS = f"""WITH {EVERY.replace(SERIES, P.ATR_SQL)}, en AS (SELECT entity, date, close AS entry, atr FROM ind), x AS (SELECT en.*, dr.direction, CASE WHEN dr.direction = 'long' THEN 1.0::DOUBLE ELSE -1.0 END AS sd, (SELECT max(level) FROM kl WHERE kl.entity = en.entity AND level < entry) AS below, (SELECT min(level) FROM kl WHERE kl.entity = en.entity AND level > entry) AS above FROM en, (VALUES ('long'), ('short')) dr(direction))
  SELECT entity, date, direction, {rnd('entry - sd * 2 * atr', 'atr_stop', 2)}, {rnd('entry + sd * 4 * atr', 'atr_target', 2)}, {rnd("CASE WHEN direction = 'long' THEN below ELSE above END", 'level_stop', 2)}, {rnd("CASE WHEN direction = 'long' THEN above ELSE below END", 'level_target', 2)} FROM x"""

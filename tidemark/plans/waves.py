@@ -187,20 +187,3 @@ def _sizes(spark, d):
 
     n = live(spark, d).groupBy("entity", "asof").agg(F.count("*").cast("double").alias("size"))
     return tidy(group_quantiles(n, ["asof"], "size", {"p50": 0.5, "p95": 0.95, "p99": 0.99, "largest": 1.0}))
-
-
-@query("support_resistance_levels", "F29", None)
-def _sr(spark, d):
-    return tidy(WV.support_resistance(V.bars(spark, d), touches=2, tolerance=0.03))
-
-
-@query("support_resistance_events", "F29", None)
-def _sr_events(spark, d):
-    b = V.bars(spark, d)
-    return tidy(WV.level_events(b, WV.support_resistance(b, touches=2, tolerance=0.03), tolerance=0.03))
-
-
-@query("trendlines", "F30", None)
-def _trendlines(spark, d):
-    b = V.bars(spark, d)
-    return tidy(WV.trendlines(b, WV.legs(b), min_pivots=3, tolerance=0.02))
