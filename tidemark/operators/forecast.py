@@ -7,10 +7,7 @@ Price series carry ``px`` (close over the running adjustment factor) and ``c`` (
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +15,7 @@ from pyspark.sql import types as T
 from tidemark.functions.scalars import clamp, hit, interval_pinball, two_sided_z
 from tidemark.functions.windows import prev, series, trailing
 from tidemark.operators.indicators import indexed
+from tidemark.operators.order_statistics import past_quantile
 from tidemark.operators.pit import asof_join
 from tidemark.operators.recursive import per_series
 
@@ -36,7 +34,8 @@ def _grid(name: str, values) -> Column:
 
 
 def _r4(c: Column) -> Column:
-    return F.floor(c * 10000 + 0.5) / 10000
+    """Four decimals; values too large to have any stay as they are."""
+    return F.when(F.abs(c) < 1e14, F.floor(c * 10000 + 0.5) / 10000).otherwise(c)
 
 
 def _rows(df: DataFrame, source: str, lower: Column, upper: Column, point: Column) -> DataFrame:
@@ -44,8 +43,18 @@ def _rows(df: DataFrame, source: str, lower: Column, upper: Column, point: Colum
                      _r4(lower).alias("lower"), _r4(upper).alias("upper"), _r4(point).alias("point"))
 
 
+def on_grid(rows: DataFrame) -> DataFrame:
+    """Forecast rows with prices rounded as all forecasts are."""
+    return rows.withColumns({c: _r4(F.col(c)) for c in ("lower", "upper", "point")})
+
+
+def every_bar(df: DataFrame) -> DataFrame:
+    """Forecasts are due at every bar."""
+    return df.withColumn("is_due", F.lit(True))
+
+
 def month_ends(df: DataFrame) -> DataFrame:
-    """Mark the last bar of each (entity, month): the forecast dates used by default."""
+    """Mark the last bar of each (entity, month), for readers of one forecast a month."""
     nxt = F.lead("date").over(series())
     return df.withColumn("is_due", nxt.isNull() | (F.trunc(nxt, "month") != F.trunc("date", "month")))
 
@@ -155,51 +164,60 @@ def macro_score(rates: DataFrame, cycle: DataFrame, lookback: int = 21, saturati
     return both.select("entity", F.date_add("asof", 1).alias("date"), F.when(n > 0, total / n).alias("score"))
 
 
+def trend_states(z: np.ndarray, first: np.ndarray, size: np.ndarray, horizons=HORIZONS) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Mean and deviation per horizon of a local-linear-trend filter run over each window ``z[first:first + size]``.
+
+    The noise levels scale with a window's mean. All windows advance together, one vector per step.
+    """
+    total = np.concatenate([[0.0], np.cumsum(z)])
+    m = (total[first + size] - total[first]) / size
+    r, ql, qs = np.maximum((0.01 * m) ** 2, 1e-9), np.maximum((0.005 * m) ** 2, 1e-9), np.maximum((0.0005 * m) ** 2, 1e-11)
+    lv, sl = z[first].astype(float), np.zeros(len(first))
+    p00, p01, p11 = np.maximum(np.abs(lv) * 0.1, 1.0), np.zeros(len(first)), np.maximum(np.abs(lv) * 0.01, 0.01)
+    # windows in order of size: those still running are a suffix
+    order = np.argsort(size, kind="stable")
+    first, done = first[order], size[order]
+    lv, sl, p00, p01, p11, r, ql, qs = (x[order] for x in (lv, sl, p00, p01, p11, r, ql, qs))
+    for step in range(1, int(size.max(initial=0))):
+        on = slice(int(np.searchsorted(done, step, "right")), None)
+        v = z[first[on] + step]
+        a, b, c = p00[on] + 2 * p01[on] + p11[on] + ql[on], p01[on] + p11[on], p11[on] + qs[on]
+        s = a + r[on]
+        k0, k1 = a / s, b / s
+        e = v - (lv[on] + sl[on])
+        lv[on], sl[on] = lv[on] + sl[on] + k0 * e, sl[on] + k1 * e
+        p00[on], p01[on], p11[on] = (1 - k0) * a, (1 - k0) * b, c - k1 * b
+    back = np.argsort(order)
+    out = {}
+    for h in horizons:
+        n = max(1.0, np.floor(h * 5.0 / 7.0 + 0.5))
+        var = p00 + 2 * n * p01 + n * n * p11 + n * ql + qs * ((n - 1) * n * (2 * n - 1)) / 6.0
+        out[h] = (lv + n * sl)[back], np.sqrt(np.maximum(var, 1e-12))[back]
+    return out
+
+
 def trend_filter(bars: DataFrame, horizons=HORIZONS, confidences=CONFIDENCES, min_bars: int = 30, lookback: int = 504) -> DataFrame:
-    """Local-linear-trend Kalman forecasts at every due bar, one grouped pass per entity.
+    """Local-linear-trend Kalman forecasts at every due bar, one streamed pass per entity.
 
-    The noise levels scale with the mean price of the look-back (two years of bars), so each forecast
-    uses its past only and is filtered afresh; an entity's history is bounded by the calendar.
+    Each forecast filters its own look-back (two years of bars) afresh, so it uses its past only; an entity's history
+    is bounded by the calendar.
     """
+    names = {f"{k}_{h}": T.DoubleType() for h in horizons for k in ("mean", "sd")}
 
-    def filtered(z: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple:
-        """All windows ``z[first:first + size]`` advance together, one vector per step."""
-        total = np.concatenate([[0.0], np.cumsum(z)])
-        m = (total[first + size] - total[first]) / size
-        r, ql, qs = np.maximum((0.01 * m) ** 2, 1e-9), np.maximum((0.005 * m) ** 2, 1e-9), np.maximum((0.0005 * m) ** 2, 1e-11)
-        lv, sl = z[first].astype(float), np.zeros(len(first))
-        p00, p01, p11 = np.maximum(np.abs(lv) * 0.1, 1.0), np.zeros(len(first)), np.maximum(np.abs(lv) * 0.01, 0.01)
-        for step in range(1, int(size.max())):
-            on = step < size
-            v = z[np.where(on, first + step, first)]
-            a, b, c = p00 + 2 * p01 + p11 + ql, p01 + p11, p11 + qs
-            s = a + r
-            k0, k1 = a / s, b / s
-            e = v - (lv + sl)
-            new = lv + sl + k0 * e, sl + k1 * e, (1 - k0) * a, (1 - k0) * b, c - k1 * b
-            lv, sl, p00, p01, p11 = (np.where(on, x, y) for x, y in zip(new, (lv, sl, p00, p01, p11)))
-        return lv, sl, p00, p01, p11, ql, qs
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date", ignore_index=True)
-        z = pdf["px"].to_numpy(dtype=float)
-        at = np.flatnonzero(pdf["is_due"].to_numpy())
+    def add(s: dict) -> dict:
+        z = s["px"].astype(float)
+        out = {k: np.full(len(z), np.nan) for k in names}
+        at = np.flatnonzero(s["is_due"])
         at = at[at + 1 >= min_bars]
-        if not len(at):
-            return pd.DataFrame([], columns=["entity", "date", "horizon", "mean", "sd"])
-        first = np.maximum(0, at + 1 - lookback)
-        lv, sl, p00, p01, p11, ql, qs = filtered(z, first, at + 1 - first)
-        parts = []
-        for h in horizons:
-            n = max(1.0, np.floor(h * 5.0 / 7.0 + 0.5))
-            var = p00 + 2 * n * p01 + n * n * p11 + n * ql + qs * ((n - 1) * n * (2 * n - 1)) / 6.0
-            due = pdf.iloc[at]
-            parts.append(pd.DataFrame({"entity": due["entity"], "date": due["date"], "horizon": h, "mean": (lv + n * sl) * due["c"], "sd": np.sqrt(np.maximum(var, 1e-12)) * due["c"]}))
-        return pd.concat(parts)
-
-    key = dict(bars.dtypes)["entity"]
-    df = bars.select("entity", "date", "px", "c", "is_due").groupBy("entity").applyInPandas(run, f"entity {key}, date date, horizon int, mean double, sd double")
-    df = df.select("*", _grid("confidence", confidences))
+        if len(at):
+            first = np.maximum(0, at + 1 - lookback)
+            for h, (mean, sd) in trend_states(z, first, at + 1 - first, horizons).items():
+                out[f"mean_{h}"][at], out[f"sd_{h}"][at] = mean * s["c"][at], sd * s["c"][at]
+        return out
+
+    df = per_series(bars.select("entity", "date", "px", "c", "is_due"), add, only="is_due", **names)
+    cells = F.array(*[F.struct(F.lit(h).alias("horizon"), F.col(f"mean_{h}").alias("mean"), F.col(f"sd_{h}").alias("sd")) for h in horizons])
+    df = df.select("entity", "date", F.inline(cells)).filter(F.col("mean").isNotNull() & ~F.isnan("mean")).select("*", _grid("confidence", confidences))
     half = two_sided_z(F.col("confidence")) * F.col("sd")
     return _rows(df, "trend_filter", F.col("mean") - half, F.col("mean") + half, F.col("mean"))
 
@@ -219,15 +237,6 @@ def settle(forecasts: DataFrame, bars: DataFrame, asof: str, tolerance_days: int
         "hit": hit(y, F.col("lower"), F.col("upper")), "pinball": interval_pinball(y, F.col("lower"), F.col("upper"), F.col("confidence"))})
 
 
-def walk_forward(prices: DataFrame, forecast: Callable[[DataFrame], DataFrame], bars: DataFrame, asof: str, tolerance_days: int = 21) -> DataFrame:
-    """Back-test of any forecast function over every trading day: issue, settle, hit and loss.
-
-    ``forecast`` gets the price series with every bar due and returns forecast rows; what it may read of a
-    row's future is up to its own window specs, as for the forecasts of this module.
-    """
-    return settle(forecast(prices.withColumn("is_due", F.lit(True))), bars, asof, tolerance_days)
-
-
 def score(settled: DataFrame, by: list[list[str]]) -> DataFrame:
     """Mean loss, sharpness and coverage for several groupings in one aggregation (grouping sets)."""
     cols = list(dict.fromkeys(c for g in by for c in g))
@@ -240,28 +249,14 @@ def conformal(forecasts: DataFrame, settled: DataFrame, window: int = 500, min_s
     """Conformalised intervals: widened by a finite-sample quantile of past misses.
 
     ``strict`` uses only forecasts resolved by the forecast date; otherwise those merely issued
-    before it.  Frames hold the last ``window`` misses of a series (entity, source, horizon, confidence).
+    before it.  A series (entity, source, horizon, confidence) reads its last ``window`` misses.
     """
-    miss = settled.select(*KEYS, "forecast_date", F.greatest(F.col("lower") - F.col("realized"), F.col("realized") - F.col("upper")).alias("_e"))
-    if strict:
-        # resolved_date = forecast_date + horizon, and the horizon is constant in a partition:
-        # shifting each miss to its resolution day turns the condition into a plain running frame
-        known = miss.select(*KEYS, F.expr("date_add(forecast_date, horizon)").alias("_t"), F.lit(0).alias("_side"), "_e")
-        asks = forecasts.select(*KEYS, F.col("forecast_date").alias("_t"), F.lit(1).alias("_side"), F.col("forecast_date"), "lower", "upper", "point")
-        every = known.unionByName(asks, allowMissingColumns=True)
-        # number the known misses; an ask carries the count so far, and reads the last ``window`` numbers
-        every = every.withColumn("_n", F.count("_e").over(Window.partitionBy(*KEYS).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)))
-        last = Window.partitionBy(*KEYS).orderBy("_n").rangeBetween(-(window - 1), 0)
-        df = every.withColumn("_past", F.collect_list("_e").over(last)).filter("_side = 1")
-    else:
-        df = forecasts.join(miss, [*KEYS, "forecast_date"], "left")
-        w = Window.partitionBy(*KEYS).orderBy("forecast_date").rowsBetween(-window, -1)
-        df = df.withColumn("_past", F.collect_list("_e").over(w))
-    df = df.withColumn("_last", F.sort_array("_past")).withColumn("n_past", F.size("_last"))
-    k = F.ceil((F.col("n_past") + 1) * F.col("confidence") - 1e-9).cast("int")
-    ok = (F.col("n_past") >= min_size) & (k <= F.col("n_past"))
-    df = df.withColumn("q", F.when(ok, F.element_at("_last", F.when(ok, k).otherwise(1)))).filter(F.col("q").isNotNull())
-    return df.select("entity", "forecast_date", F.concat("source", F.lit("_cqr")).alias("source"), "horizon", "confidence",
+    day = F.expr("date_add(forecast_date, horizon)") if strict else F.col("forecast_date")
+    known = settled.select(*KEYS, day.alias("_t"), F.greatest(F.col("lower") - F.col("realized"), F.col("realized") - F.col("upper")).alias("_e"))
+    level = F.col("confidence").alias("_level")
+    asks = forecasts.select(*KEYS, F.col("forecast_date").alias("_t"), level, "lower", "upper", "point")
+    df = past_quantile(known, asks, KEYS, "_t", "_e", "_level", window, min_size, asks_first=not strict)
+    return df.select("entity", F.col("_t").alias("forecast_date"), F.concat("source", F.lit("_cqr")).alias("source"), "horizon", "confidence",
                      (F.col("lower") - F.col("q")).alias("lower"), (F.col("upper") + F.col("q")).alias("upper"), "point", "q", "n_past")
 
 

@@ -196,27 +196,6 @@ def volatility(bars: DataFrame, n: int = 252, min_obs: int = 2, log: bool = Fals
     return df.withColumn("vol", F.when(F.count("ret").over(trailing(n)) >= min_obs, F.stddev_samp("ret").over(trailing(n))))
 
 
-def trailing_percentile(df: DataFrame, c: str, n: int, out: str, strict: bool = False, min_obs: int = 1,
-                        days: int | None = None) -> DataFrame:
-    """Share of trailing values at or below the current one; ``strict``: below, in percent.
-
-    The frame is ``n`` rows, or all rows of the last ``days`` days.  Its array is bounded by the
-    frame, and an entity has one row per day.
-    """
-    frame = trailing(n) if days is None else series_by_day().rangeBetween(-days, 0)
-    df = df.withColumn("_vals", F.collect_list(c).over(frame))
-    hit = (lambda v: v < F.col(c)) if strict else (lambda v: v <= F.col(c))
-    share = F.size(F.filter("_vals", hit)) / F.size("_vals")
-    share = share * 100 if strict else share
-    return df.withColumn(out, F.when(F.col(c).isNotNull() & (F.size("_vals") >= min_obs), share)).drop("_vals")
-
-
-def series_by_day():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("entity").orderBy(F.unix_date("date"))
-
-
 def commodity_macro(prices: DataFrame, n: int = 60, min_obs: int = 10, flat_pct: float = 0.05) -> DataFrame:
     """Return against the last known price, its z-score against the past, and the momentum streak.
 

@@ -68,7 +68,9 @@ def serve(requests: DataFrame, rows: DataFrame, answer: Callable[[dict, np.ndarr
         if lot:
             yield pd.concat(lot, ignore_index=True)
 
-    return merged.repartition("entity").sortWithinPartitions("entity", "date", "_ask").mapInPandas(run, out)
+    # a stated number of partitions is not merged by size: few small rows may ask for much work
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return merged.repartition(parts, "entity").sortWithinPartitions("entity", "date", "_ask").mapInPandas(run, out)
 
 
 def walk_forward(requests: DataFrame, rows: DataFrame, forecast: Callable[[dict], list[tuple]], schema: str, lookback: int | None = None) -> DataFrame:
@@ -86,13 +88,12 @@ def walk_forward(requests: DataFrame, rows: DataFrame, forecast: Callable[[dict]
             first = 0 if lookback is None else max(0, n - lookback)
             view = {}
             for c, v in columns.items():
-                part = v[first:n].copy() if v.dtype == object else v[first:n]
-                part.flags.writeable = False
-                # a slice still refers to its base, through which later rows could be reached
-                view[c] = part if part.base is None else np.array(part)
-            rows_ = forecast(view)
-            found += rows_
-            at += [k] * len(rows_)
+                # a plain slice refers to its base, through which later rows could be reached
+                view[c] = v[first:n].copy()
+                view[c].flags.writeable = False
+            said = forecast(view)
+            found += said
+            at += [k] * len(said)
         return {"request": at, **{c: [r[i] for r in found] for i, c in enumerate(names)}}
 
     return serve(requests, rows, answer, schema)

@@ -8,6 +8,7 @@ from tidemark.functions import texts as X
 from tidemark.functions.events import Rule, detect, is_pivot_high, is_pivot_low, pivots, with_divergences
 from tidemark.operators import detection as D
 from tidemark.operators import indicators as I
+from tidemark.operators import order_statistics as OS
 from tidemark.operators import recursive as R
 from tidemark.plans import indicators as P
 from tidemark.plans.ctes import INST, REVENUE, SERIES, STATEMENT
@@ -291,9 +292,7 @@ VAL_SQL = SERIES + ", v0 AS (SELECT *, CASE WHEN volume > 4 THEN close / 500 END
 
 def valuation(spark, d):
     df = I.indexed(V.bars(spark, d)).withColumns({"per": F.when(F.col("volume") > 4, F.col("close") / 500), "pbr": F.col("close") / 5000, "yield": F.when(F.col("close") > 0, 50000 / F.col("close"))})
-    for c in ("per", "pbr", "yield"):
-        df = I.trailing_percentile(df, c, 0, f"{c}_pct", strict=True, min_obs=10, days=1825)
-    return df
+    return OS.trailing_percentiles(df, {f"{c}_pct": c for c in ("per", "pbr", "yield")}, days=1825, strict=True, min_obs=10)
 
 
 events_query("valuation_events", "F40", VAL_SQL, valuation, D.VALUATION_RULES)

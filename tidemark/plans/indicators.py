@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import texts as X
 from tidemark.functions.windows import zscore_before
 from tidemark.operators import indicators as I
+from tidemark.operators import order_statistics as OS
 from tidemark.operators import recursive as R
 from tidemark.plans.ctes import SERIES
 from tidemark.plans.registry import query, rnd, rnds, tidy
@@ -197,14 +198,14 @@ series_query("rolling_zscore", "E29", SERIES + f", ind AS (SELECT *, {_z('volume
 @query("trailing_percentile", "E31", f"""WITH {SERIES}, p AS (SELECT *, {X.roll('list', 'close', 252)} AS l FROM s)
  SELECT entity, date, {rnd("len(list_filter(l, lambda v: v <= close)) * 1.0 / len(l)", 'percentile')} FROM p""")
 def _trailing_percentile(spark, d):
-    return tidy(I.trailing_percentile(I.indexed(V.bars(spark, d)), "close", 252, "percentile"), "entity", "date", "percentile")
+    return tidy(OS.trailing_percentiles(V.bars(spark, d).select("entity", "date", "close"), {"percentile": "close"}, n=252), "entity", "date", "percentile")
 
 
 @query("history_percentile", "E32", f"""WITH {SERIES}, p AS (SELECT *, list(close) OVER (PARTITION BY entity ORDER BY date
    RANGE BETWEEN INTERVAL 730 DAYS PRECEDING AND CURRENT ROW) AS l FROM s)
  SELECT entity, date, {rnd("CASE WHEN len(l) >= 10 THEN len(list_filter(l, lambda v: v < close)) * 100.0 / len(l) END", 'percentile')} FROM p""")
 def _history_percentile(spark, d):
-    df = I.trailing_percentile(I.indexed(V.bars(spark, d)), "close", 0, "percentile", strict=True, min_obs=10, days=730)
+    df = OS.trailing_percentiles(V.bars(spark, d).select("entity", "date", "close"), {"percentile": "close"}, days=730, strict=True, min_obs=10)
     return tidy(df, "entity", "date", "percentile")
 
 
