@@ -138,13 +138,10 @@ def test_trendlines_at_every_day(spark):
     assert {k: sorted(v) for k, v in got.items()} == want and len(want) > 60
 
 
-def last_close(view):
-    return [(float(view["close"][-1]), len(view["close"]))] if len(view["close"]) else []
-
-
 def test_a_slice_ends_at_its_day(spark):
     b = frame(spark, {1: walk(30, 1)})
     rows = walk(30, 1)
+    last_close = lambda view: [(float(view["close"][-1]), len(view["close"]))] if len(view["close"]) else []
     got = {r.asof: (r.x, r.n) for r in serving.walk_forward(b.select("entity", F.col("date").alias("asof")), b, last_close, "x double, n int", lookback=10).collect()}
     assert got == {r[0]: (r[4], min(i + 1, 10)) for i, r in enumerate(rows)}
 

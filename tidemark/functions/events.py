@@ -31,11 +31,15 @@ class Rule:
 
 
 def candidates(series: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Evaluate all rules in one pass over the sorted series; one output row per hit."""
+    """Evaluate all rules in one pass over the sorted series; one output row per hit.
+
+    ``grp`` is the group that spaces a hit, empty where none does.
+    """
+    spaced = {r.group or r.kind for r in rules if r.spacing}
     hits = F.array(*[
         F.struct(
             F.lit(r.kind).alias("event_kind"),
-            F.lit(r.group or r.kind).alias("grp"),
+            F.lit((r.group or r.kind) if (r.group or r.kind) in spaced else "").alias("grp"),
             F.lit(r.spacing).alias("spacing"),
             F.expr(f"coalesce({r.when}, false)").alias("hit"),
             F.expr(f"CASE WHEN {r.when} THEN cast({r.value} as double) END").alias("value"),
@@ -52,36 +56,30 @@ def candidates(series: DataFrame, rules: list[Rule]) -> DataFrame:
 def keep_spaced(cands: DataFrame) -> DataFrame:
     """Greedy minimum spacing per (entity, group): an ``aggregate`` over the sparse hit positions.
 
-    The array holds at most one entry per bar of the entity, never raw rows.
+    Groups whose rules ask for no spacing keep all their hits. The array holds at most one entry per
+    bar and kind of the entity, never raw rows.
     """
+    hits = F.collect_list(F.struct("idx", "event_kind", "date", "value", "spacing"))
     kept = F.expr("""
-        aggregate(
-          array_sort(collect_list(struct(idx, event_kind, date, value, spacing))),
+        if(spaced = 0, hits, aggregate(array_sort(hits),
           named_struct('last', cast(null as int), 'kept',
             cast(array() as array<struct<idx:int,event_kind:string,date:date,value:double,spacing:int>>)),
           (acc, x) -> if(acc.last is null or x.idx - acc.last >= x.spacing,
                          named_struct('last', x.idx, 'kept', array_append(acc.kept, x)), acc),
-          acc -> acc.kept)
+          acc -> acc.kept))
     """)
     return (
-        cands.groupBy("entity", "grp").agg(kept.alias("kept"))
-        .select("entity", F.inline("kept"))
+        cands.groupBy("entity", "grp").agg(hits.alias("hits"), F.max("spacing").alias("spaced"))
+        .select("entity", F.inline(kept))
         .select("entity", "date", "idx", "event_kind", "value")
     )
 
 
 def detect(series: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Events (entity, date, event_kind, value) for a series that carries ``idx``."""
+    """Events (entity, date, event_kind, value) for a series that carries ``idx``, in one pass over it."""
     cols = ["entity", "date", "event_kind", "value"]
-    groups = {r.group or r.kind for r in rules if r.spacing}
-    spaced = [r for r in rules if (r.group or r.kind) in groups]
-    if not spaced:
-        return candidates(series, rules).select(*cols)
     found = candidates(series, rules)
-    if len(spaced) == len(rules):
-        return keep_spaced(found).select(*cols)
-    in_spaced = F.col("grp").isin(sorted(groups))
-    return found.where(~in_spaced).select(*cols).unionByName(keep_spaced(found.where(in_spaced)).select(*cols))
+    return (keep_spaced(found) if any(r.spacing for r in rules) else found).select(*cols)
 
 
 def is_pivot_high(e: str, n: int = 3) -> str:

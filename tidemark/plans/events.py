@@ -30,15 +30,15 @@ def rules_sql(sql: str, rules: list[Rule], src: str = "ind", stages: list[dict[s
     parts = [
         f"SELECT entity, date, idx, '{r.kind}' AS event_kind, '{r.group or r.kind}' AS grp, {r.spacing} AS spacing, value FROM "
         f"(SELECT entity, date, idx, {r.when} AS hit, CAST({r.value} AS DOUBLE) AS value FROM {src}) WHERE hit" for r in rules]
-    sql += ",\n cand AS (" + "\n UNION ALL ".join(parts) + ")"
+    sql += ",\n cand AS MATERIALIZED (" + "\n UNION ALL ".join(parts) + ")"
     if any(r.spacing for r in rules):
         sql += """,
- hits AS (SELECT DISTINCT entity, grp, idx, max(spacing) OVER (PARTITION BY entity, grp) AS sp FROM cand),
- spaced AS (SELECT * FROM hits WHERE sp > 0),
+ hits AS MATERIALIZED (SELECT DISTINCT entity, grp, idx, max(spacing) OVER (PARTITION BY entity, grp) AS sp FROM cand),
+ spaced AS MATERIALIZED (SELECT * FROM hits WHERE sp > 0),
  jump AS MATERIALIZED (SELECT entity, grp, idx, min(idx) OVER (PARTITION BY entity, grp ORDER BY idx RANGE BETWEEN sp FOLLOWING AND UNBOUNDED FOLLOWING) AS later FROM spaced),
  kept AS (SELECT entity, grp, min(idx) AS idx FROM spaced GROUP BY entity, grp
    UNION ALL SELECT j.entity, j.grp, j.later FROM kept k JOIN jump j ON j.entity = k.entity AND j.grp = k.grp AND j.idx = k.idx WHERE j.later IS NOT NULL),
- found AS (SELECT c.* FROM cand c SEMI JOIN (SELECT entity, grp, idx FROM kept UNION ALL SELECT entity, grp, idx FROM hits WHERE sp = 0) k USING (entity, grp, idx))"""
+ found AS MATERIALIZED (SELECT c.* FROM cand c SEMI JOIN (SELECT entity, grp, idx FROM kept UNION ALL SELECT entity, grp, idx FROM hits WHERE sp = 0) k USING (entity, grp, idx))"""
     else:
         sql += ",\n found AS (SELECT * FROM cand)"
     return f"WITH RECURSIVE {sql}\n SELECT entity, date, event_kind, {rnd('value', digits=digits)} FROM (SELECT entity, date, event_kind, value FROM found{extra})"
