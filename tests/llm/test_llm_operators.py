@@ -301,6 +301,15 @@ def test_html(spark):
     assert html.extract(df.limit(0)).count() == 0
 
 
+def test_html_keeps_what_stands_after_embedded_elements():
+    keep = "<article><p>first one</p>{}<p>second one</p></article>"
+    for gap in ("<svg class='x'/>", "<math/>", '<iframe src="a"/>', "<object data=x>", "<select>", "<svg><path d='M0'/><text>no</text></svg>", "<video src=x />", "<iframe>no</iframe>", "<script>no</script>", "<svg><g/></svg><canvas/>"):
+        assert [b[0] for b in html.blocks(keep.format(gap))] == ["first one", "second one"], gap
+    assert [b[0] for b in html.blocks(keep.format("<script>no"))] == ["first one"]
+    for names, hint in (("share-price-news article", 1), ("search-results-form content", 1), ("article-comments", -1), ("sidebar content", -1), ("postComments entry", 1), ("main-nav", -1)):
+        assert html.blocks(f'<div class="{names}"><p>words here</p></div>')[0][3] == hint, names
+
+
 def test_html_tree_fits_its_table():
     x = np.array([r[:-1] for r in html.LABELLED], float)
     assert (html.classify(html.train(), x) == np.array([r[-1] for r in html.LABELLED], bool)).mean() >= 0.97
@@ -358,6 +367,7 @@ def test_language(spark):
     model = language.fit(rows)
     tests = [(i, make(sylls[lang], 12), lang) for i, lang in enumerate([*sylls] * 10)]
     odd = [(100, None, "und"), (101, "", "und"), (102, "12 34 !?", "und"), (103, make(sylls["bb"], 20000), "bb"), tests[0]]
+    odd += [(104, "ç", "cc"), (105, "7 v 8", "bb"), (106, "R", "aa"), (107, "\U00032100", model.langs[0])]  # letters, but no two in one n-gram
     df = spark.createDataFrame(tests + odd, "doc_id long, text string, want string").selectExpr("*", "1 AS lang_pred", "2 AS lang")
     got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(df, model).collect()}
     assert all(got[i][0] == want for i, _, want in tests + odd)

@@ -10,7 +10,7 @@ A page is parsed in one task; its cost is linear in its length for well-formed m
 exchanged.
 
 Defined results: null or empty html gives an empty text; unclosed elements, comments and scripts end with
-the page; character references are decoded once, after markup is removed; white space (including no-break
+the page, but embedded ones (svg, iframe, select and the like) that close themselves or are never closed hold nothing; character references are decoded once, after markup is removed; white space (including no-break
 spaces) inside a block becomes one space, a single ``br`` is white space and two break the block; repeated
 rows are extracted alike; an empty table gives an empty result; other columns are ignored.
 """
@@ -26,11 +26,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Their content is never text.
-HIDDEN = "script style title template noscript iframe svg math object select textarea canvas audio video".split()
+#: Their content is never text; unclosed, they take the rest of the page.
+RAW = "script style title template noscript textarea".split()
+#: Neither is theirs, but where they close themselves or are never closed they hold nothing.
+EMBEDDED = "iframe svg math object select canvas audio video".split()
+_ATTRS = r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+"
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*+>?"
-    rf"|<(?P<hidden>{'|'.join(HIDDEN)})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>(?:.*?</(?P=hidden)\b[^>]*+(?:>|\Z)|.*\Z)"
+    rf"|<(?P<hidden>{'|'.join(RAW)})\b{_ATTRS}>(?:.*?</(?P=hidden)\b[^>]*+(?:>|\Z)|.*\Z)"
+    rf"|<(?P<embedded>{'|'.join(EMBEDDED)})\b{_ATTRS}>(?:(?<=/>)|.*?</(?P=embedded)\b[^>]*+(?:>|\Z)|)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)"
     r"|<(?P<close2>/?)(?P<tag2>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<attrs2>[^>]*+)(?:>|\Z)",
     re.S | re.I,
@@ -53,9 +57,12 @@ def _hint(tag: str, attrs: str) -> str:
     """``main``, ``aside``, ``header`` or nothing for an element that opens."""
     if tag in ("html", "body"):
         return ""
-    names = {w for m in NAMED.finditer(attrs) for w in WORDS_IN.findall(CAMEL.sub(" ", m[2] or m[3] or m[4] or "").lower())} if attrs else set()
+    values = [CAMEL.sub("-", m[2] or m[3] or m[4] or "").lower() for m in NAMED.finditer(attrs)] if attrs else []
+    names = {w for v in values for w in WORDS_IN.findall(v)}
     if tag in REGION_TAGS or names & ASIDE:
-        return "aside"
+        # a name of its own outweighs a word inside a longer name: "share-price-news article" is an article
+        whole = {w for v in values for w in v.split()}
+        return "main" if tag not in REGION_TAGS and whole & MAIN and not whole & ASIDE else "aside"
     if tag in ("article", "main") or names & MAIN:
         return "main"
     return "header" if tag == "header" or names & {"header", "masthead"} else ""

@@ -12,7 +12,8 @@ as often as in the language where it is most frequent, so foreign passages do no
 reads every whole text. Masks hold up to 64 languages.
 
 Defined results: null text or text without a letter is ``und`` with score 0, as is every text if there is
-nothing to learn from; ties go to the language with more training documents, then the smaller name;
+nothing to learn from; a text whose letters stand so far apart that no n-gram holds two is decided by filters of single
+letters; where no n-gram is known the language with most training documents is given, with score 0; ties go to the language with more training documents, then the smaller name;
 repeated rows are scored alike; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -33,7 +34,7 @@ SPACE = np.uint32(32)
 def letter_table() -> np.ndarray:
     """True for code points of letters (all planes in use)."""
     out = np.zeros(0x110000, bool)
-    out[: 0x32000] = [chr(c).isalpha() for c in range(0x32000)]
+    out[: 0x40000] = [chr(c).isalpha() for c in range(0x40000)]
     return out
 
 
@@ -55,6 +56,13 @@ def ngrams(text: str, letters: np.ndarray) -> np.ndarray:
     return h[sum((x != SPACE).astype(np.int8) for x in w) >= 2]
 
 
+def single_letters(text: str, letters: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the letters alone, for texts without an n-gram of two letters."""
+    code = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
+    h = (code[letters[code]].astype(np.uint64) + np.uint64(1 << 40)) * np.uint64(0x9E3779B97F4A7C15)
+    return h ^ h >> np.uint64(29)
+
+
 def slots_of(h: np.ndarray, hashes: int, slots: int) -> list[np.ndarray]:
     mask = np.uint64(slots - 1)
     mixed = h * np.uint64(0xBF58476D1CE4E5B9)
@@ -84,7 +92,9 @@ class Filters:
         return np.maximum(0.0, (hits - self.false * len(h)) / (1 - self.false))
 
     def predict(self, text: str | None, letters: np.ndarray) -> tuple[str, float]:
-        h = ngrams(text, letters) if text else ()
+        h = ngrams(text, letters) if text else np.zeros(0, np.uint64)
+        if text and not len(h):
+            h = single_letters(text, letters)
         if not len(h) or not self.langs:
             return "und", 0.0
         c = self.counts(h)
@@ -92,47 +102,59 @@ class Filters:
         return self.langs[best], float(c[best] / c.sum()) if c.sum() > 0 else 0.0
 
 
-def fit(rows: list[tuple[str, str]], slots: int = 1 << 22, hashes: int = 3, share: float = 0.2) -> Filters:
-    """Filters from (lang, text) rows."""
-    letters = letter_table()
-    docs: Counter = Counter()
-    seen: dict[str, list[np.ndarray]] = {}
-    used: dict[str, list[np.ndarray]] = {}
-    for lang, text in rows:
-        h = ngrams(text or "", letters)
-        docs[lang] += 1
+def _own(rows: list[tuple[str, np.ndarray]], docs: Counter, langs: list[str], share: float) -> dict[str, np.ndarray]:
+    """Per language the hashes it shows in two documents and often enough beside the language that shows them most."""
+    seen: dict[str, list[np.ndarray]] = {lang: [] for lang in langs}
+    used: dict[str, list[np.ndarray]] = {lang: [] for lang in langs}
+    for lang, h in rows:
         u, c = np.unique(h, return_counts=True)
-        seen.setdefault(lang, []).append(u)
-        used.setdefault(lang, []).append(c)
-    langs = sorted(docs, key=lambda x: (-docs[x], x))
-    if len(langs) > 64:
-        raise ValueError("masks hold up to 64 languages")
+        seen[lang].append(u)
+        used[lang].append(c)
     rate = {}
     for lang in langs:
         u, at = np.unique(np.concatenate(seen[lang]), return_inverse=True)
         n = np.bincount(at, weights=np.concatenate(used[lang]))
-        twice = (np.bincount(at) >= min(2, docs[lang]))
+        twice = np.bincount(at) >= min(2, docs[lang])
         rate[lang] = (u, np.where(twice, n / max(1.0, n.sum()), 0.0))
-    all_u, at = np.unique(np.concatenate([u for u, _ in rate.values()]), return_inverse=True) if rate else (np.zeros(0, np.uint64), np.zeros(0, int))
+    if not rate:
+        return {}
+    all_u, at = np.unique(np.concatenate([u for u, _ in rate.values()]), return_inverse=True)
     top = np.zeros(len(all_u))
-    np.maximum.at(top, at, np.concatenate([r for _, r in rate.values()]) if rate else np.zeros(0))
+    np.maximum.at(top, at, np.concatenate([r for _, r in rate.values()]))
+    return {lang: u[(r > 0) & (r >= share * top[np.searchsorted(all_u, u)])] for lang, (u, r) in rate.items()}
+
+
+def fit(rows: list[tuple[str, str]], slots: int = 1 << 22, hashes: int = 3, share: float = 0.2) -> Filters:
+    """Filters from (lang, text) rows."""
+    letters = letter_table()
+    docs = Counter(lang for lang, _ in rows)
+    langs = sorted(docs, key=lambda x: (-docs[x], x))
+    if len(langs) > 64:
+        raise ValueError("masks hold up to 64 languages")
+    families = [_own([(lang, grams(text or "", letters)) for lang, text in rows], docs, langs, share) for grams in (ngrams, single_letters)]
     kind = next(t for t, n in ((np.uint8, 8), (np.uint16, 16), (np.uint32, 32), (np.uint64, 64)) if len(langs) <= n)
     table = np.zeros(slots, kind)
     for i, lang in enumerate(langs):
-        u, r = rate[lang]
-        keep = u[(r > 0) & (r >= share * top[np.searchsorted(all_u, u)])]
-        for s in slots_of(keep, hashes, slots):
-            table[s] |= kind(1 << i)
+        for own in families:
+            for s in slots_of(own[lang], hashes, slots):
+                table[s] |= kind(1 << i)
     return Filters(langs, table, hashes)
 
 
 def training_rows(docs: DataFrame, train_docs: int = 500) -> list[tuple[str, str]]:
-    """At most ``train_docs`` labelled rows per language, those with the smallest digests."""
-    per = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
-    thin = docs.join(per, "lang").withColumn("_h", F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / (1 << 30))
-    thin = thin.where(F.col("_h") * F.col("_n") < 2 * train_docs)  # a few more than wanted, before the sort
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_h", "text"))
-    return [tuple(r) for r in thin.withColumn("_r", rank).where(F.col("_r") <= train_docs).select("lang", "text").collect()]
+    """At most ``train_docs`` different labelled texts per language, those with the smallest digests.
+
+    Copies count once, so a text repeated a million times weighs as one row from the first shuffle on; only digests are
+    ranked, and the texts of those chosen (a bounded number) are fetched by them.
+    """
+    docs = docs.select("lang", "text", F.xxhash64("text").alias("_key"))
+    keys = docs.groupBy("lang", "_key").agg(F.count(F.lit(1)).alias("_c")).select("lang", "_key", (F.pmod("_key", F.lit(1 << 30)) / (1 << 30)).alias("_h"))
+    per = keys.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    thin = keys.join(per, "lang").where(F.col("_h") * F.col("_n") < 2 * train_docs)  # a few more than wanted, before the sort
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_h", "_key"))
+    chosen = thin.withColumn("_r", rank).where(F.col("_r") <= train_docs).select("lang", "_key")
+    texts = docs.join(F.broadcast(chosen), ["lang", "_key"]).groupBy("lang", "_key").agg(F.min("text").alias("text"))  # at most 64 languages
+    return [tuple(r) for r in texts.orderBy("lang", "_key").select("lang", "text").collect()]
 
 
 def identify(docs: DataFrame, model: Filters) -> DataFrame:
