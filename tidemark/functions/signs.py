@@ -11,6 +11,7 @@ marubozu_bullish bullish_engulfing tweezer_bottom morning_star three_white_soldi
 ratio_extreme_low yoy_high yoy_streak_up gross_margin_rising roe_high eps_turn_positive
 macd_golden_cross rsi_oversold breakout_above_ma60 lead_macd_golden_cross fear_low_entry
 entered_extreme_fear exited_extreme_fear leading_turning_up leading_streak_up exited_danger
+strong_trend_start concentration_rising vwap_bullish_cross net_buy_streak momentum_down
 """.split()
 FALL = """
 death_cross ma_bearish_cross ma_death_cross bearish_divergence overbought_streak overbought_exit
@@ -21,5 +22,6 @@ ratio_extreme_high entered_maintenance_low yoy_low yoy_streak_down gross_margin_
 free_cash_flow_negative_streak eps_turn_negative macd_death_cross rsi_overbought breakdown_below_ma60 lead_macd_death_cross
 fear_spike fear_high_entry entered_extreme_greed exited_extreme_greed leading_turning_down leading_streak_down
 entered_warning entered_danger single_day_drop
+concentration_decreasing vwap_bearish_cross net_sell_streak momentum_up per_negative
 """.split()
 SIGNS = {k: 1 for k in RISE} | {k: -1 for k in FALL}

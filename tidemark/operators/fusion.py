@@ -93,7 +93,8 @@ def climate(days: DataFrame, signs: DataFrame, component_of: dict[str, str], ale
     if alerts is not None:
         s = s.unionByName(alert_summary(days, alerts, lookback).select("asof", F.lit("risk_alert").alias("component"), alert_score().alias("score")))
     w = F.create_map(*[F.lit(x) for kv in CLIMATE_WEIGHTS.items() for x in kv])
-    out = s.groupBy("asof").agg(F.sum(F.col("score") * w[F.col("component")]).alias("climate_score"), F.count("*").alias("components"))
+    out = s.groupBy("asof").agg(F.sum(F.col("score") * w[F.col("component")]).alias("climate_score"), F.count("*").alias("components"),
+                               F.max(F.when(F.col("component") == "risk_alert", F.col("score"))).alias("risk_alert"))
     return out.withColumn("climate", label_by_limits(F.col("climate_score"), CLIMATE_LABELS, "strong_bear"))
 
 

@@ -38,8 +38,8 @@ def _series_of(batches):
 def serve(requests: DataFrame, rows: DataFrame, answer: Callable[[dict, np.ndarray], dict], schema: str) -> DataFrame:
     """``entity, asof`` and the columns of ``schema``: what ``answer`` says at each request day.
 
-    ``rows`` hold entity, date and numbers or days, one row a day. ``answer(columns, cuts)`` takes the columns as arrays
-    in order of ``date`` and the ascending numbers of rows known at the request days; it returns arrays of ``schema``'s
+    ``rows`` hold entity, date and numbers, texts or days. ``answer(columns, cuts)`` takes the columns as arrays in order
+    of ``date``, with the request days as ``_asof``, and the ascending numbers of rows known at those; it returns arrays of ``schema``'s
     names and ``request``, the place of the request in ``cuts`` each output row belongs to.
     """
     ask = requests.where(F.col("entity").isNotNull() & F.col("asof").isNotNull()).select("entity", F.col("asof").alias("date")).distinct()
@@ -55,11 +55,10 @@ def serve(requests: DataFrame, rows: DataFrame, answer: Callable[[dict, np.ndarr
             if not asks.any():
                 continue
             columns = {c: pdf[c].to_numpy()[~asks] for c in pdf.columns if c not in ("entity", "_ask")}
-            cuts = np.cumsum(~asks)[asks]
-            found = answer(columns, cuts)
+            cuts, days = np.cumsum(~asks)[asks], pdf["date"].to_numpy()[asks]
+            found = answer({**columns, "_asof": days}, cuts)
             at = np.asarray(found["request"], int)
             if len(at):
-                days = pdf["date"].to_numpy()[asks]
                 lot.append(pd.DataFrame({"entity": pdf["entity"].iloc[0], "asof": days[at], **{c: found[c] for c in names[2:]}})[names])
                 size += len(at)
             if size >= 10000:
@@ -88,6 +87,8 @@ def walk_forward(requests: DataFrame, rows: DataFrame, forecast: Callable[[dict]
             first = 0 if lookback is None else max(0, n - lookback)
             view = {}
             for c, v in columns.items():
+                if c == "_asof":
+                    continue
                 # a plain slice refers to its base, through which later rows could be reached
                 view[c] = v[first:n].copy()
                 view[c].flags.writeable = False

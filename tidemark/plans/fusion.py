@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import texts as X
 from tidemark.functions.events import detect, pivots
+from tidemark.functions.windows import trailing
+from tidemark.operators import aggregates as A
 from tidemark.operators import detection as D
 from tidemark.operators import forecast as FC
 from tidemark.operators import fusion as FU
@@ -15,6 +17,7 @@ from tidemark.operators import indicators as I
 from tidemark.operators import joins as J
 from tidemark.operators import ranking as RK
 from tidemark.operators import recursive as R
+from tidemark.operators import snapshots as SN
 from tidemark.operators import waves as WV
 from tidemark.operators.pit import asof_join
 from tidemark.plans import events as E
@@ -286,3 +289,67 @@ def _own_health(spark, d):
     requests = f.select("entity", F.last_day("fact_date").alias("asof")).distinct()
     h = FU.health(requests, FU.daily_signs(f), {k: k for k in CATALOGUE})
     return tidy(h, "entity", "asof", *FU.DIMENSION_WEIGHTS, *[f"{k}_trend" for k in FU.DIMENSION_WEIGHTS], "overall")
+
+
+# --- snapshot of all sections --------------------------------------------------------------------------------
+#: The tables hold no market rows; the first users stand in for the reserved market entities.
+RESERVED = {1: "index", 2: "foreign_market", 3: "sentiment", 4: "exchange_rate", 5: "business_cycle"}
+_LATEST = f"""lt AS (SELECT entity, 'indicator' AS section, 'close' AS source, 'daily' AS timeframe, date, close AS value FROM s UNION ALL SELECT entity, 'indicator', 'mean_20', 'daily', date, {X.roll('avg', 'close', 20)} FROM s
+  UNION ALL SELECT entity, 'indicator', 'close', 'weekly', CAST(date_trunc('week', date) AS DATE) + 6, arg_max(close, date) FROM s GROUP BY 1, 5 UNION ALL SELECT entity, 'indicator', 'close', 'monthly', last_day(date), arg_max(close, date) FROM s GROUP BY 1, 5
+  UNION ALL SELECT entity, 'structure', 'pivot_high', 'daily', {X.nxt('date', 3)}, CASE WHEN {E.is_pivot_high('high')} THEN high END FROM s QUALIFY {E.is_pivot_high('high')}
+  UNION ALL SELECT entity, 'structure', 'pivot_low', 'daily', {X.nxt('date', 3)}, CASE WHEN {E.is_pivot_low('low')} THEN low END FROM s QUALIFY {E.is_pivot_low('low')})"""
+
+
+def latest_sections(spark, d):
+    """Indicators of three timeframes and structures, dated by the day they became known."""
+    b = V.bars(spark, d)
+    df = I.indexed(b)
+    row = lambda x, section, source, timeframe, date, value: x.select("entity", F.lit(section).alias("section"), F.lit(source).alias("source"), F.lit(timeframe).alias("timeframe"), date.alias("date"), value.alias("value"))
+    day, pv = F.col("date"), pivots(df)
+    week, month = A.period_bars(b, "week"), A.period_bars(b, "month")
+    parts = [
+        row(df, "indicator", "close", "daily", day, F.col("close")), row(df, "indicator", "mean_20", "daily", day, F.avg("close").over(trailing(20))),
+        row(week, "indicator", "close", "weekly", F.date_add("period", 6), F.col("close")), row(month, "indicator", "close", "monthly", F.last_day("period"), F.col("close")),
+        *[row(pv.where(F.col("side") == s), "structure", f"pivot_{s}", "daily", F.col("confirm_date"), F.col("price")) for s in ("high", "low")],
+    ]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@query("asof_snapshot_sections", "K1,K2,K11", f"""WITH {SERIES}, {FACTS}, {REQUESTS.replace('requests AS', 'quarters AS')}, rq AS MATERIALIZED (SELECT entity, asof FROM quarters UNION SELECT entity, CAST(date_trunc('week', fact_date) AS DATE) + 6 FROM facts), {_LATEST},
+ fx AS (SELECT entity, source, timeframe, fact_date, greatest(fact_date, coalesce(report_date, fact_date)) AS vis, CASE timeframe WHEN 'quarterly' THEN 180 ELSE 90 END AS lb FROM facts),
+ fa AS (SELECT r.entity, r.asof, source, timeframe, max(fact_date) AS date, CAST(count(*) AS DOUBLE) AS value FROM rq r JOIN fx ON fx.entity = r.entity AND vis <= r.asof AND fact_date >= r.asof - lb GROUP BY ALL),
+ ks AS (SELECT DISTINCT entity, section, source, timeframe FROM lt),
+ rk AS (SELECT r.entity, r.asof, section, source, timeframe FROM rq r JOIN ks ON ks.entity = r.entity),
+ la AS (SELECT k.entity, k.asof, k.section, k.source, k.timeframe, lt.date, lt.value FROM rk k ASOF JOIN lt ON lt.entity = k.entity AND lt.section = k.section AND lt.source = k.source AND lt.timeframe = k.timeframe AND k.asof >= lt.date),
+ mk AS (SELECT a.asof, CASE m.entity {' '.join(f"WHEN {k} THEN '{v}'" for k, v in RESERVED.items())} END AS name, source, timeframe, max(fact_date) AS date, CAST(count(*) AS DOUBLE) AS value FROM (SELECT DISTINCT asof FROM rq) a JOIN fx m ON m.entity <= {max(RESERVED)} AND m.entity >= 1 AND vis <= a.asof AND fact_date >= a.asof - lb GROUP BY ALL)
+ SELECT entity, asof AS "asof", 'facts' AS section, source, timeframe, date, value FROM fa UNION ALL SELECT entity, asof, section, source, timeframe, date, {rnd('value')} FROM la
+ UNION ALL SELECT r.entity, r.asof, 'market:' || name, source, timeframe, date, value FROM rq r JOIN mk ON mk.asof = r.asof""")
+def _sections(spark, d):
+    """Facts, indicators, structures and market facts of every entity at its quarter ends and fact weeks."""
+    f = V.facts(spark, d)
+    requests = quarter_requests(spark, d).unionByName(week_requests(f)).distinct()
+    return tidy(SN.sections_at(requests, f, latest_sections(spark, d), RESERVED))
+
+
+# --- climate of the library's own market events ---------------------------------------------------------------
+MARKET_EVENTS = {"market_index_events": "index", "cross_market_events": "foreign_market", "sentiment_events": "sentiment", "business_cycle_events": "business", "exchange_rate_events": "exchange_rate", "market_margin_events": "margin", "commodity_events": "commodity"}
+
+
+def _labels_sql(score: str) -> str:
+    return "CASE " + " ".join(f"WHEN {score} >= {limit} THEN '{name}'" for limit, name in FU.CLIMATE_LABELS) + " ELSE 'strong_bear' END"
+
+
+@query("market_climate_catalogue", "K8,D15", f"""WITH {ALERTS}, ev AS MATERIALIZED ({' UNION ALL '.join(f"SELECT '{c}' AS comp, date, {_OWN_SIGN} AS s FROM ({ORACLES[n]})" for n, c in MARKET_EVENTS.items())}),
+ dn AS (SELECT comp, date, sum(s) AS net FROM ev GROUP BY ALL),
+ c0 AS (SELECT d.asof AS "asof", comp, CAST(trunc(greatest(-100, least(100, sum(net * 25.0::DOUBLE * exp(-(d.asof - date) / 14.0::DOUBLE))))) AS INTEGER) AS score FROM dn JOIN days d ON date <= d.asof AND date >= d.asof - 60 GROUP BY 1, 2),
+ j AS (SELECT d.asof AS "asof", al.* FROM days d JOIN al ON al.date <= d.asof AND al.date >= d.asof - 60),
+ a0 AS (SELECT "asof", count(DISTINCT CASE WHEN k = 'entered' AND period_end >= "asof" THEN entity END) AS active, count(DISTINCT CASE WHEN k = 'announced' AND date >= "asof" - 14 THEN entity END) AS ann, count(CASE WHEN k = 'escalation' THEN 1 END) AS esc FROM j GROUP BY 1),
+ u AS (SELECT * FROM c0 UNION ALL SELECT "asof", 'risk_alert', greatest(-100, CASE WHEN active >= 10 THEN -100 WHEN active >= 5 THEN -50 WHEN active >= 1 THEN -15 ELSE 0 END + CASE WHEN esc >= 3 THEN -30 WHEN esc >= 1 THEN -15 ELSE 0 END + CASE WHEN ann >= 5 THEN -15 ELSE 0 END) FROM a0),
+ g AS (SELECT "asof", sum(score * CASE comp {' '.join(f"WHEN '{k}' THEN {w}::DOUBLE" for k, w in FU.CLIMATE_WEIGHTS.items())} END) AS cs, count(*) AS components, max(CASE WHEN comp = 'risk_alert' THEN score END) AS risk_alert FROM u GROUP BY 1)
+ SELECT "asof", {rnd('cs', 'climate_score')}, components, risk_alert, {_labels_sql('cs')} AS climate FROM g""")
+def _own_climate(spark, d):
+    """Seven event components and the alerts of each month start, with the label."""
+    parts = [QUERIES[n](spark, d).select(F.lit("_market_").alias("entity"), F.col("date").alias("fact_date"), F.lit(c).alias("source"), "event_kind") for n, c in MARKET_EVENTS.items()]
+    signs = FU.daily_signs(reduce(lambda a, b: a.unionByName(b), parts))
+    days = V.table(spark, d, "lineitem").select(F.trunc("l_shipdate", "month").alias("asof")).distinct()
+    return tidy(FU.climate(days, signs, {c: c for c in MARKET_EVENTS.values()}, alert_facts(spark, d)), "asof", "climate_score", "components", "risk_alert", "climate")
