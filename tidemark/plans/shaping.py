@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,7 +13,9 @@ from tidemark.plans.ctes import ADJ, BARS, FACTS, INFO, INST, LEVELS, REVENUE, S
 from tidemark.plans.events import LOAN_SQL, STATEMENT_SQL, loans, statements
 from tidemark.plans.registry import query, rnd, rnds, tidy
 from tidemark.sources import shaping as S
+from tidemark.session import checkpoint_dir
 from tidemark.sources import views as V
+from tidemark.sources.segments import Segments
 
 SPLIT = "2000-01-01"
 
@@ -252,3 +256,28 @@ def _cumulative(spark, d):
 @query("statement_ratios", "E38,C15", f"WITH {STATEMENT_SQL} SELECT entity, date, {rnds('gross_margin debt_ratio free_cash_flow roe roa')} FROM ind")
 def _ratios(spark, d):
     return tidy(statements(spark, d), "entity", "date", "gross_margin", "debt_ratio", "free_cash_flow", "roe", "roa")
+
+
+@query("resumed_segments", "A4,A16,M8", f"""WITH {BARS} SELECT CAST(year(date) AS INTEGER) AS year, entity, date, close, volume FROM bars""")
+def _resumed(spark, d):
+    """Bars written year by year by a run that is stopped midway and a second one that does the rest."""
+    b = V.bars(spark, d)
+    span = b.agg(F.min(F.year("date")), F.max(F.year("date"))).first()
+    years = [str(y) for y in range(span[0], span[1] + 1)] if span[0] else []
+    path = f"{checkpoint_dir(spark)}/segments-{uuid.uuid4().hex}"
+    done = []
+
+    def job(year, stop_after=None):
+        if stop_after is not None and len(done) == stop_after:
+            raise InterruptedError(year)
+        done.append(year)
+        return b.where(F.year("date") == int(year)).withColumn("year", F.year("date"))
+
+    table = Segments(spark, path, "year int, entity long, date date, close double, volume long")
+    try:
+        table.run(years, lambda y: job(y, len(years) // 2))
+    except InterruptedError:
+        Segments(spark, path, "year int, entity long, date date, close double, volume long").run(years, job)
+    if done != years:
+        raise RuntimeError("a committed segment was done again")
+    return table.read()
