@@ -11,8 +11,8 @@ Everything is DataFrame and SQL functions; participants are folded before the sh
 
 Defined results: repeated rows are one turn; turns of one number stand in order of speaker and text; a null
 role is the speaker with the empty name; null text is empty; null turns stand in a part of their own (null);
-null ids are one dialogue; a dialogue of narrators only gives no rows; "<|" inside a text is written "< |", so
-texts can't forge marks; an empty table gives an empty result; other columns are ignored.
+null ids are one dialogue; a dialogue of narrators only gives no rows; "<|" inside a text or a name is written "< |"
+and line breaks in a name are spaces, so neither can forge marks or turns; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -71,7 +71,7 @@ def _rendered(rows: DataFrame, speakers: DataFrame, narrators: tuple[str, ...])
     told = F.col("who").isin(list(narrators))
     rows = rows.join(speakers, F.col("conv_id").eqNullSafe(F.col("_c"))).drop("_c")
     mine = F.col("who") == F.col("speaker")
-    head = F.when(mine, "assistant").when(told, F.col("who")).otherwise(F.concat(F.lit("user name="), F.col("who")))
+    head = F.when(mine, "assistant").when(told, F.col("who")).otherwise(F.concat(F.lit("user name="), F.translate(F.replace(F.col("who"), F.lit("<|"), F.lit("< |")), "\n\r", "  ")))
     head = F.concat(F.lit(START), head, F.lit("\n"))
     body = F.concat(F.replace(F.col("text"), F.lit("<|"), F.lit("< |")), F.lit(END))
     turn = F.struct("turn", "who", "text", head.alias("head"), body.alias("body"), mine.alias("mine"))

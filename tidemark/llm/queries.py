@@ -122,7 +122,7 @@ OP6_SQL = r"""
 WITH r AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS who, coalesce(text, '') AS text FROM conversations),
 p AS (SELECT DISTINCT conv_id, who AS speaker FROM r WHERE who <> 'system'),
 s AS (SELECT r.conv_id, speaker, CAST(floor(turn / 64) AS BIGINT) AS part, turn, who, text, who = speaker AS mine,
-  '<|im_start|>' || CASE WHEN who = speaker THEN 'assistant' WHEN who = 'system' THEN who ELSE 'user name=' || who END || chr(10) AS head, replace(text, '<|', '< |') || '<|im_end|>' || chr(10) AS body
+  '<|im_start|>' || CASE WHEN who = speaker THEN 'assistant' WHEN who = 'system' THEN who ELSE 'user name=' || translate(replace(who, '<|', '< |'), chr(10) || chr(13), '  ') END || chr(10) AS head, replace(text, '<|', '< |') || '<|im_end|>' || chr(10) AS body
   FROM r JOIN p ON r.conv_id IS NOT DISTINCT FROM p.conv_id),
 o AS (SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, speaker, part ORDER BY turn, who, text ROWS UNBOUNDED PRECEDING) - length(body) AS pos FROM s)
 SELECT conv_id, speaker, part, count(*) AS n_turns, string_agg(head || body, '' ORDER BY turn, who, text) AS text,
@@ -171,7 +171,8 @@ w AS (SELECT h.c, 0 AS own, i, role, text FROM h JOIN t ON t.c = b AND i <= h UN
 s AS (SELECT c, role, text, row_number() OVER (PARTITION BY c ORDER BY own, i) AS d FROM w),
 m AS (SELECT c, d, text, md5(string_agg(md5(role) || md5(text), '') OVER (PARTITION BY c ORDER BY d ROWS UNBOUNDED PRECEDING)) AS k FROM s UNION ALL SELECT c, 0, '', '' FROM h),
 e AS (SELECT *, lag(k) OVER (PARTITION BY c ORDER BY d) AS pk, d = max(d) OVER (PARTITION BY c) AS last FROM m),
-n AS (SELECT d, k, any_value(pk) AS pk, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(len(regexp_extract_all(text, '[^ 	-]+'))) AS saved,
+n AS (SELECT d, k, any_value(pk) AS pk, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(len(regexp_extract_all(text, '[^ 	-
+]+'))) AS saved,
   sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE last), '')) AS ends_sha256 FROM e GROUP BY d, k),
 ch AS (SELECT pk, d - 1 AS d, count(*) AS n_children FROM n WHERE d > 0 GROUP BY pk, d),
 f AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN ch ON n.k = ch.pk AND n.d = ch.d),
