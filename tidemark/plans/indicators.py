@@ -9,6 +9,7 @@ from tidemark.functions.windows import zscore_before
 from tidemark.operators import indicators as I
 from tidemark.operators import order_statistics as OS
 from tidemark.operators import recursive as R
+from tidemark.operators import scanned as SC
 from tidemark.plans.ctes import SERIES
 from tidemark.plans.registry import query, rnd, rnds, tidy
 from tidemark.sources import views as V
@@ -290,3 +291,14 @@ def _regimes(spark, d):
  SELECT entity, horizon, date, from_regime, regime AS to_regime, {rnd('x', 'value', 2)} FROM u3 WHERE from_regime IS DISTINCT FROM regime""")
 def _regime_changes(spark, d):
     return tidy(R.regime_changes(R.regimes(R.kalman(V.bars(spark, d)))), digits=2)
+
+
+# The same recursions as scans over yearly blocks; SQL as above.
+series_query("exponential_averages_scan", "E8,E9,M6", EMA_SQL, SC.exponential_averages, "ema dema tema", 2)
+series_query("rsi_scan", "E12", RSI_SQL, SC.rsi, "rsi")
+series_query("atr_scan", "E15", ATR_SQL, SC.atr, "tr atr atr_pct", 2)
+
+
+@query("kalman_smoother_scan", "E26", f"WITH {KALMAN_SQL} SELECT entity, date, horizon, {rnd('x', 'smoothed', 2)}, {rnd('sqrt(p)', 'uncertainty', 2)}, {rnd('velocity', digits=2)} FROM k")
+def _kalman_scan(spark, d):
+    return tidy(SC.kalman(V.bars(spark, d)), "entity", "date", "horizon", "smoothed", "uncertainty", "velocity", digits=2)
