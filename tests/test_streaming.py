@@ -4,6 +4,7 @@ import datetime as dt
 
 
 from tidemark.streaming import flows as S
+from tidemark.streaming import timers as TM
 
 
 def write_parts(df, path, conditions):
@@ -56,3 +57,22 @@ def test_restatement_recomputes_touched_entities_only(spark, tmp_path):
     got = {(r.entity, r.date): r.adj_close for r in S.versioned(spark, f"{tmp_path}/out").collect()}
     assert got[(1, day(0))] == 40.0 and got[(1, day(3))] == 20.0 and got[(1, day(4))] == 10.0 and got[(2, day(0))] == 20.0 and len(got) == 10
     assert spark.read.parquet(f"{tmp_path}/out/batch=2").select("entity").distinct().count() == 1
+
+
+def test_forecasts_are_settled_by_timers_across_restarts(spark, tmp_path):
+    day = lambda i: dt.date(2024, 1, 1) + dt.timedelta(days=i)
+    bars = spark.createDataFrame([(1, day(0), 10.0), (1, day(3), 11.0), (2, day(0), 5.0), (2, day(9), 6.0), (2, day(40), 7.0), (2, day(41), 8.0)], "entity long, date date, close double")
+    asks = [(1, day(0), 2, 9.0, 10.5), (1, day(3), 5, 0.0, 10.0), (1, day(3), 30, 0.0, 20.0), (1, day(3), 90, 0.0, 20.0), (1, day(3), 6, None, 20.0), (2, day(9), 31, 6.5, 9.0), (2, day(9), 32, 8.5, 9.0)]
+    f = spark.createDataFrame([(e, d, "s", h, 0.8, lo, hi) for e, d, h, lo, hi in asks], "entity long, forecast_date date, source string, horizon int, confidence double, lower double, upper double")
+    rows = TM.feed(f, bars)
+    epoch = (day(0) - dt.date(1970, 1, 1)).days
+    seen = []
+    for i, part in enumerate((f"day <= {epoch + 3}", f"day between {epoch + 4} and {epoch + 20}", f"day > {epoch + 20}")):
+        rows.filter(part).coalesce(1).write.parquet(f"{tmp_path}/in/part={i}")
+        s = spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+        S.run_to_end(TM.settle_at_timers(s), f"{tmp_path}/cp", f"{tmp_path}/out")  # each run resumes from the state before
+        seen.append(spark.read.parquet(f"{tmp_path}/out").count())
+    got = {(r.entity, r.horizon): (r.realized, r.hit, r.resolved_date) for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    # (1, 30) has no bar within 21 days, (1, 90) is not due, (1, 6) has no bounds; entity 1 has no bar after its timers were set
+    assert got == {(1, 2): (10.0, True, day(2)), (1, 5): (11.0, False, day(8)), (2, 31): (7.0, True, day(40)), (2, 32): (8.0, False, day(41))}
+    assert seen == [1, 2, 4]

@@ -15,6 +15,7 @@ from tidemark.plans.registry import query, rnd, rnds, tidy
 from tidemark.session import checkpoint_dir
 from tidemark.sources import views as V
 from tidemark.streaming import flows as S
+from tidemark.streaming import timers as TM
 from tidemark.streaming.incremental import incremental
 
 LAST = "(SELECT max(date) FROM ind)"
@@ -89,7 +90,10 @@ def _restatement(spark, d):
     return tidy(S.versioned(spark, f"{base}/adjusted"), "entity", "date", "adj_close", "cum_af", digits=6)
 
 
-@query("streaming_settlement", "M7,J11", f"WITH {BASE_SQL}, " + REAL.replace("SELECT * FROM base UNION ALL SELECT * FROM chip", "SELECT * FROM base") + f" SELECT entity, forecast_date, horizon, confidence, resolved_date, realized, hit, {rnd('pinball', digits=3)} FROM settled")
+SETTLEMENT = f"WITH {BASE_SQL}, " + REAL.replace("SELECT * FROM base UNION ALL SELECT * FROM chip", "SELECT * FROM base") + f" SELECT entity, forecast_date, horizon, confidence, resolved_date, realized, hit, {rnd('pinball', digits=3)} FROM settled"
+
+
+@query("streaming_settlement", "M7,J11", SETTLEMENT)
 def _settlement(spark, d):
     base = _base(spark)
     b = V.bars(spark, d).select("entity", "date", "close")
@@ -97,3 +101,15 @@ def _settlement(spark, d):
     in_turn(spark, b, ["year(date) < 1999", "year(date) >= 1999"], base, S.settle_on_arrival(pending, f"{base}/bars", f"{base}/settled"))
     out = spark.read.option("basePath", f"{base}/settled").parquet(f"{base}/settled/batch=*")
     return tidy(out, "entity", "forecast_date", "horizon", "confidence", "resolved_date", "realized", "hit", "pinball", digits=3)
+
+
+@query("streaming_settlement_timers", "M6,M7,J11", SETTLEMENT)
+def _settlement_timers(spark, d):
+    """As above by keyed state and timers; the second part resumes from the state of the first."""
+    base = _base(spark)
+    rows = TM.feed(FC.baseline(prices(spark, d)), V.bars(spark, d))
+    for i, part in enumerate(("day < 10592", "day >= 10592")):  # up to 1998, from 1999
+        rows.filter(part).write.parquet(f"{base}/in/part={i}")
+        s = spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true").parquet(f"{base}/in")
+        S.run_to_end(TM.settle_at_timers(s), f"{base}/cp", f"{base}/settled")
+    return tidy(spark.read.parquet(f"{base}/settled"), "entity", "forecast_date", "horizon", "confidence", "resolved_date", "realized", "hit", "pinball", digits=3)
