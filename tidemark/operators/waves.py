@@ -240,3 +240,38 @@ def sweep_metrics(swept: DataFrame, axes: list[str]) -> DataFrame:
     r = swept.filter("excluded_reason is not null").groupBy(*keys, "excluded_reason").agg(F.count("*").alias("c"))
     top = r.groupBy(*keys).agg(F.max_by("excluded_reason", F.struct("c", "excluded_reason")).alias("top_reason"))
     return n.join(q, keys, "left").join(top, keys, "left")
+
+
+def dominance_counts(rows: DataFrame, by: list[str], axes: dict[str, tuple[str, str, list[float]]]) -> DataFrame:
+    """Rows per ``by`` that meet every threshold of a combination, for all combinations of the axes.
+
+    An axis is name -> (column, "at_least" or "at_most", thresholds).  A row meets a prefix of an axis'
+    thresholds in order of strictness, so it falls into one cell of a histogram; the count of a
+    combination is the sum of the cells at least as strict on every axis.  Sums run along one axis at a
+    time, so after one aggregation of the rows the cost follows cells, not rows times combinations.
+    Nulls meet nothing; combinations that no row meets have count 0; repeated thresholds count once.
+    """
+    steps = {k: sorted(set(v), reverse=how == "at_most") for k, (_, how, v) in axes.items()}
+    met = {k: sum((F.coalesce((F.col(c) >= t) if how == "at_least" else (F.col(c) <= t), F.lit(False)).cast("int") for t in steps[k]), F.lit(0)) - 1
+           for k, (c, how, _) in axes.items()}
+    cells = rows.select(*by, *[m.alias(f"_{k}") for k, m in met.items()]).groupBy(*by, *[f"_{k}" for k in axes]).agg(F.count("*").alias("n"))
+    groups = cells.select(*by).distinct()
+    for k in axes:
+        cells = cells.filter(F.col(f"_{k}") >= 0).withColumn(f"_{k}", F.explode(F.sequence(F.lit(0), F.col(f"_{k}"))))
+        cells = cells.groupBy(*by, *[f"_{a}" for a in axes]).agg(F.sum("n").alias("n"))
+    for k in axes:  # every combination, met or not
+        groups = groups.select("*", F.posexplode(F.array(*[F.lit(float(t)) for t in steps[k]])).alias(f"_{k}", k))
+    on = [*by, *[f"_{k}" for k in axes]]
+    return groups.join(cells, on, "left").select(*by, *axes, F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+
+
+def sweep_candidates(live: DataFrame, buffers: list[float], axes: dict[str, list[float]]) -> DataFrame:
+    """Setups per date and combination of thresholds (recent_days, rr_min, rr_max, min_upside) and stop buffers.
+
+    The buffer moves the stop and so the reward/risk itself, so rows are laid out once per buffer; all else is counted by dominance.
+    """
+    df = setup_rows(live.withColumn("buffer", F.explode(F.array(*[F.lit(float(b)) for b in buffers]))))
+    can = (F.col("direction") <= 0) & F.col("target").isNotNull() & (F.col("stop") < F.col("close"))
+    df = df.select("asof", "buffer", F.when(can, F.datediff("asof", "end_date")).alias("age"), F.when(can, F.col("rr")).alias("rr"), ((F.col("target") - F.col("close")) / F.col("close")).alias("upside"))
+    of = {"recent_days": ("age", "at_most"), "rr_min": ("rr", "at_least"), "rr_max": ("rr", "at_most"), "min_upside": ("upside", "at_least")}
+    return dominance_counts(df, ["asof", "buffer"], {k: (*of[k], v) for k, v in axes.items()}).withColumnRenamed("n", "n_candidates")

@@ -187,3 +187,18 @@ def _sizes(spark, d):
 
     n = live(spark, d).groupBy("entity", "asof").agg(F.count("*").cast("double").alias("size"))
     return tidy(group_quantiles(n, ["asof"], "size", {"p50": 0.5, "p95": 0.95, "p99": 0.99, "largest": 1.0}))
+
+
+GRID_AXES = {"recent_days": [3, 7, 14], "rr_min": [1.0, 1.5, 2.0, 3.0], "rr_max": [5.0, 10.0, 20.0], "min_upside": [0.0, 0.03, 0.1]}
+
+
+@query("threshold_grid_counts", "G14,D12", f"""WITH {LIVE}, q0 AS (SELECT lv.*, buffer, abs(first_end - first_start) AS sz, least(first_start, first_end) AS fl, least(last_price, first_end, first_start) * (1 - buffer) AS stop
+   FROM lv, (VALUES {', '.join(f'({v}::DOUBLE)' for v in AXES['buffer'])}) b(buffer) WHERE legs = 3),
+ q1 AS (SELECT *, list_max(list_filter([{', '.join(f'fl + sz * {r}::DOUBLE' for r in WV.FIB_RATIOS)}], lambda v: v > close AND v <= close * 2.0::DOUBLE)) AS target FROM q0),
+ q2 AS (SELECT asof AS "asof", buffer, CASE WHEN direction <= 0 AND stop < close THEN "asof" - end_date END AS age, CASE WHEN stop < close THEN (target - close) / (close - stop) END AS rr, (target - close) / close AS upside FROM q1),
+ ax AS (SELECT * FROM {', '.join(f"(VALUES {', '.join(f'({v}::DOUBLE)' for v in t)}) x_{k}({k})" for k, t in GRID_AXES.items())})
+ SELECT q2.asof AS "asof", {rnd('buffer', digits=3)}, recent_days, rr_min, rr_max, min_upside, count(*) FILTER (age <= recent_days AND rr >= rr_min AND rr <= rr_max AND upside >= min_upside) AS n_candidates
+ FROM q2, ax GROUP BY ALL""")
+def _grid(spark, d):
+    n = WV.sweep_candidates(live(spark, d), AXES["buffer"], GRID_AXES)
+    return n.withColumn("buffer", F.floor(F.col("buffer") * 1000 + 0.50001) / 1000)
