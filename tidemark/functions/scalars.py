@@ -90,3 +90,39 @@ def label_by_limits(c: Column, limits: list[tuple[float, str]], default: str) ->
     for lim, name in reversed(limits):
         out = F.when(c >= lim, name).otherwise(out)
     return out
+
+
+# Ratings by signed strength.
+RATINGS = {3: "strong_bullish", 2: "bullish", 1: "slight_bullish", 0: "neutral", -1: "slight_bearish", -2: "bearish", -3: "strong_bearish"}
+
+
+def _rated(c: Column, of: dict, default) -> Column:
+    return F.coalesce(F.create_map(*[F.lit(x) for kv in of.items() for x in kv])[c], F.lit(default))
+
+
+def power_rating(power: Column) -> Column:
+    """Name of a signed strength from -3 to 3; other and missing strengths are neutral."""
+    return _rated(power, RATINGS, "neutral")
+
+
+def rating_strength(rating: Column) -> Column:
+    return _rated(rating, {v: abs(k) for k, v in RATINGS.items()}, 0)
+
+
+def rating_sign(rating: Column) -> Column:
+    return _rated(rating, {v: (k > 0) - (k < 0) for k, v in RATINGS.items()}, 0)
+
+
+def rating_direction(rating: Column) -> Column:
+    """bullish, bearish or neutral."""
+    return F.when(rating_sign(rating) > 0, "bullish").when(rating_sign(rating) < 0, "bearish").otherwise("neutral")
+
+
+def pattern_family(pattern: Column) -> Column:
+    """The first part of a nested pattern name (``flat_common`` is a ``flat``)."""
+    return F.substring_index(pattern, "_", 1)
+
+
+def wave_count(label: Column) -> Column:
+    """The number in front of ``-wave`` in a structure label, 0 without one or when it is too long for an int."""
+    return F.coalesce(F.regexp_extract(label, r"(\d+)-wave", 1).try_cast("int"), F.lit(0))
