@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["indicators", "events", "shaping", "pit", "ranking", "forecast", "waves", "fusion", "levels", "summaries", "streams"]
+MODULES = ["indicators", "events", "shaping", "pit", "ranking", "forecast", "waves", "fusion", "levels", "summaries", "surface", "streams"]
 
 
 def load_all() -> None:
