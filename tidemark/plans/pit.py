@@ -135,23 +135,23 @@ def _asof_adjusted(spark, d):
 
 
 # --- joins ------------------------------------------------------------------------------------------------
-@query("market_weight", "C1", f"""WITH {BARS}, {INFO}, r AS (SELECT entity, date, close / 500 AS ratio FROM bars WHERE volume > 5), c AS (SELECT entity, date, close FROM bars WHERE volume > 8), sh AS (SELECT entity, 1000 + floor(balance) AS shares FROM entity_info WHERE balance > 0),
+@query("market_weight", "C1", f"""WITH {BARS}, {INFO}, r AS (SELECT entity, date, close / 500 AS ratio FROM bars), c AS (SELECT entity, date, CASE WHEN volume > 8 THEN close END AS close FROM bars), sh AS (SELECT entity, CASE WHEN balance > 0 THEN 1000 + floor(balance) END AS shares FROM entity_info),
  j AS (SELECT r.*, c.close * sh.shares AS mv FROM r LEFT JOIN c ON c.entity = r.entity AND c.date = r.date LEFT JOIN sh ON sh.entity = r.entity), t AS (SELECT date, sum(mv) AS total FROM j GROUP BY date)
  SELECT j.entity, j.date, {rnd('ratio')}, {rnd('mv', 'market_value', 2)}, {rnd('CASE WHEN total > 0 THEN mv / total END', 'weight', 8)} FROM j LEFT JOIN t ON t.date = j.date""")
 def _weight(spark, d):
     b = V.bars(spark, d)
-    r = b.filter(F.col("volume") > 5).select("entity", "date", (F.col("close") / 500).alias("ratio"))
-    c = b.filter(F.col("volume") > 8).select("entity", "date", "close")
-    sh = V.entity_info(spark, d).filter("balance > 0").select("entity", (1000 + F.floor("balance")).alias("shares"))
+    r = b.select("entity", "date", (F.col("close") / 500).alias("ratio"))
+    c = b.select("entity", "date", F.when(F.col("volume") > 8, F.col("close")).alias("close"))
+    sh = V.entity_info(spark, d).select("entity", F.when(F.col("balance") > 0, 1000 + F.floor("balance")).alias("shares"))
     w = J.market_weight(r, c, sh)
     return w.select("entity", "date", *[(F.floor(F.col(c) * s + 0.50001) / s).alias(c) for c, s in (("ratio", 1e4), ("market_value", 1e2), ("weight", 1e8))])
 
 
-@query("day_trade_ratio", "C2", f"""WITH {BARS}, t AS (SELECT entity, date, volume AS total FROM bars WHERE volume > 12) SELECT b.entity, b.date, {rnd('CASE WHEN t.total > 0 THEN (b.volume // 2) * 100.0 / t.total END', 'ratio')} FROM bars b LEFT JOIN t ON t.entity = b.entity AND t.date = b.date""")
+@query("day_trade_ratio", "C2", f"""WITH {BARS}, t AS (SELECT entity, date, CASE WHEN volume > 12 THEN volume END AS total FROM bars) SELECT b.entity, b.date, {rnd('CASE WHEN t.total > 0 THEN (b.volume // 2) * 100.0 / t.total END', 'ratio')} FROM bars b LEFT JOIN t ON t.entity = b.entity AND t.date = b.date""")
 def _day_trade(spark, d):
     b = V.bars(spark, d)
     part = b.select("entity", "date", F.expr("volume div 2").alias("part"))
-    total = b.filter(F.col("volume") > 12).select("entity", "date", F.col("volume").alias("total"))
+    total = b.select("entity", "date", F.when(F.col("volume") > 12, F.col("volume")).alias("total"))
     return tidy(J.share_of_total(part, total, ["entity", "date"]), "entity", "date", "ratio")
 
 
@@ -162,13 +162,13 @@ def _outer(spark, d):
     return J.outer_merge(b.filter("volume > 12").select("entity", "date", F.col("volume").alias("margin")), b.filter("volume < 40").select("entity", "date", F.col("close").alias("lending")), ["entity", "date"])
 
 
-@query("outer_merge_pivoted_totals", "C4", f"""WITH {INST}, r AS (SELECT date, avg(buy) / 1000000 AS ratio FROM inst_long WHERE month(date) <> 6 GROUP BY date),
- t AS (SELECT date, CAST(sum(CASE WHEN investor_type = '1-URGENT' THEN buy END) AS BIGINT) AS total_purchase, CAST(sum(CASE WHEN investor_type = '5-LOW' THEN sell END) AS BIGINT) AS total_short FROM inst_long WHERE month(date) <> 3 GROUP BY date)
+@query("outer_merge_pivoted_totals", "C4", f"""WITH {INST}, {REVENUE}, r AS (SELECT date, avg(revenue) / 1000000 AS ratio FROM period_revenue GROUP BY date),
+ t AS (SELECT date, CAST(sum(CASE WHEN investor_type = '1-URGENT' THEN buy END) AS BIGINT) AS total_purchase, CAST(sum(CASE WHEN investor_type = '5-LOW' THEN sell END) AS BIGINT) AS total_short FROM inst_long GROUP BY date)
  SELECT coalesce(r.date, t.date) AS date, {rnd('ratio')}, total_purchase, total_short FROM r FULL JOIN t ON r.date = t.date""")
 def _outer_pivot(spark, d):
     i = V.inst_long(spark, d)
-    r = i.filter(F.month("date") != 6).groupBy("date").agg((F.avg("buy") / 1000000).alias("ratio"))
-    t = i.filter(F.month("date") != 3).groupBy("date").agg(F.sum(F.when(F.col("investor_type") == "1-URGENT", F.col("buy"))).alias("total_purchase"), F.sum(F.when(F.col("investor_type") == "5-LOW", F.col("sell"))).alias("total_short"))
+    r = V.period_revenue(spark, d).groupBy("date").agg((F.avg("revenue") / 1000000).alias("ratio"))
+    t = i.groupBy("date").agg(F.sum(F.when(F.col("investor_type") == "1-URGENT", F.col("buy"))).alias("total_purchase"), F.sum(F.when(F.col("investor_type") == "5-LOW", F.col("sell"))).alias("total_short"))
     return tidy(J.outer_merge(r, t, ["date"]), "date", "ratio", "total_purchase", "total_short")
 
 
@@ -179,11 +179,11 @@ def _latest(spark, d):
     return P.latest_per_key(daily, ["entity", "source", "timeframe"], "fact_date", ["event_id"])
 
 
-@query("asof_with_tolerance", "C7", f"""WITH {BARS}, {REQUESTS}, sh AS (SELECT entity, date, CASE WHEN close >= open THEN volume * 100 END AS shares FROM bars WHERE volume >= 40),
+@query("asof_with_tolerance", "C7", f"""WITH {BARS}, {REQUESTS}, sh AS (SELECT entity, date, CASE WHEN close >= open AND volume >= 40 THEN volume * 100 END AS shares FROM bars),
  a AS (SELECT r.entity, r.asof, s.date AS matched, s.shares FROM requests r ASOF LEFT JOIN (SELECT * FROM sh WHERE shares IS NOT NULL) s ON s.entity = r.entity AND r.asof >= s.date)
  SELECT a.entity, a.asof, CASE WHEN a.asof - a.matched <= 60 THEN a.matched END AS matched, CASE WHEN a.asof - a.matched <= 60 THEN a.shares END AS shares FROM a""")
 def _tolerance(spark, d):
-    sh = V.bars(spark, d).filter("volume >= 40").select("entity", "date", F.when(F.col("close") >= F.col("open"), F.col("volume") * 100).alias("shares"))
+    sh = V.bars(spark, d).select("entity", "date", F.when((F.col("close") >= F.col("open")) & (F.col("volume") >= 40), F.col("volume") * 100).alias("shares"))
     return P.asof_join(quarter_requests(spark, d), sh, ["shares"], tolerance_days=60, skip_null="shares")
 
 
@@ -208,11 +208,11 @@ def staging(spark, d):
                      F.when(F.col("l_linenumber") == 3, F.floor("l_extendedprice")).otherwise(0).cast("double").alias("subscription_price"))
 
 
-MIXED = "mixed AS (SELECT entity, date, 'dividend' AS event_type, CASE WHEN close >= open THEN 1.0 END AS cash_dividend, CASE WHEN close >= open THEN 0.0 END AS stock_dividend FROM bars WHERE volume >= 30)"
+MIXED = "mixed AS (SELECT entity, date, 'dividend' AS event_type, CASE WHEN close >= open THEN 1.0 END AS cash_dividend, CASE WHEN close >= open THEN 0.0 END AS stock_dividend FROM bars)"
 
 
 def mixed_events(spark, d):
-    return V.bars(spark, d).filter("volume >= 30").select("entity", "date", F.lit("dividend").alias("event_type"), F.when(F.col("close") >= F.col("open"), 1.0).alias("cash_dividend"), F.when(F.col("close") >= F.col("open"), 0.0).alias("stock_dividend"))
+    return V.bars(spark, d).select("entity", "date", F.lit("dividend").alias("event_type"), F.when(F.col("close") >= F.col("open"), 1.0).alias("cash_dividend"), F.when(F.col("close") >= F.col("open"), 0.0).alias("stock_dividend"))
 
 
 @query("mixed_dividend_patch", "C9", f"""WITH {BARS}, {STAGING}, {MIXED}, days AS (SELECT entity, cash_date AS date, cash_dividend AS c, stock_dividend AS s FROM staging UNION ALL SELECT entity, stock_date, cash_dividend, stock_dividend FROM staging WHERE stock_date IS NOT NULL),
@@ -239,11 +239,12 @@ def _dim(spark, d):
     return V.period_revenue(spark, d).select("entity", "date", "revenue").join(V.entity_info(spark, d).select("entity", "name", "industry"), "entity", "left")
 
 
-@query("series_alignment", "C14", f"""WITH {BARS}, a AS (SELECT entity, date, close AS lead FROM bars WHERE volume > 12), b AS (SELECT entity, date, high AS follow FROM bars WHERE volume > 8)
+@query("series_alignment", "C14", f"""WITH {BARS}, {REVENUE}, a AS (SELECT entity, date, close AS lead FROM bars), b AS (SELECT entity, date, CAST(revenue AS DOUBLE) AS follow FROM period_revenue)
  SELECT coalesce(a.entity, b.entity) AS entity, coalesce(a.date, b.date) AS date, coalesce("lead", 0.0) AS "lead", coalesce(follow, 0.0) AS follow FROM a FULL JOIN b ON a.entity = b.entity AND a.date = b.date""".replace("AS lead", 'AS "lead"'))
 def _align(spark, d):
-    b = V.bars(spark, d)
-    return J.align_on_date(b.filter("volume > 12").select("entity", "date", F.col("close").alias("lead")), b.filter("volume > 8").select("entity", "date", F.col("high").alias("follow")), fill=0.0)
+    lead = V.bars(spark, d).select("entity", "date", F.col("close").alias("lead"))
+    follow = V.period_revenue(spark, d).select("entity", "date", F.col("revenue").cast("double").alias("follow"))
+    return J.align_on_date(lead, follow, fill=0.0)
 
 
 @query("statement_alignment", "C15", f"""WITH {STATEMENT} SELECT entity, date, """ + ", ".join(f"sum(CASE WHEN statement_type = '{t}' THEN value END) AS {t}" for t in ("income", "balance", "cashflow")) + " FROM statement_long GROUP BY entity, date")
