@@ -61,15 +61,24 @@ def leg_metrics(df: DataFrame, neutral_atr: float = 1.0) -> DataFrame:
     return df.withColumns({"magnitude": mag, "duration": bars, "atr_relative": rel, "slope": F.when(bars > 0, rel / bars).otherwise(0.0), "is_neutral": neutral})
 
 
-def leg_windows(metrics: DataFrame, n: int) -> DataFrame:
-    """Windows of ``n`` consecutive directional legs with alternating direction, one row each."""
+def _lead_legs(metrics: DataFrame, n: int) -> DataFrame:
+    """Directional legs with the ``n - 1`` legs after them; null past the end of the series."""
     w = Window.partitionBy("entity").orderBy("wave_no")
     df = metrics.filter(~F.col("is_neutral")).select("entity", "wave_no", F.struct("start_date", "end_date", "start_price", "end_price", "direction", "magnitude").alias("w1"))
-    df = df.withColumns({f"w{k + 1}": F.lead("w1", k).over(w) for k in range(1, n)})
-    df = df.filter(F.col(f"w{n}").isNotNull())
+    return df.withColumns({f"w{k + 1}": F.lead("w1", k).over(w) for k in range(1, n)}).withColumn("direction", F.col("w1.direction"))
+
+
+def _alternates(n: int) -> Column:
+    """The first ``n`` legs are there and turn at each step."""
+    turns = F.col(f"w{n}").isNotNull()
     for k in range(1, n):
-        df = df.filter(F.col(f"w{k}.direction") != F.col(f"w{k + 1}.direction"))
-    return df.withColumn("direction", F.col("w1.direction"))
+        turns = turns & (F.col(f"w{k}.direction") != F.col(f"w{k + 1}.direction"))
+    return turns
+
+
+def leg_windows(metrics: DataFrame, n: int) -> DataFrame:
+    """Windows of ``n`` consecutive directional legs with alternating direction, one row each."""
+    return _lead_legs(metrics, n).filter(_alternates(n))
 
 
 def _beyond(a: str, b: str) -> Column:
@@ -124,15 +133,18 @@ def scenarios(metrics: DataFrame) -> DataFrame:
     Each row carries its legs, signed power (towards the trend it implies), degree by span, the
     invalidating price (start of the first leg) and the weakening price (end of the second).
     """
-    five, three = five_leg_rules(leg_windows(metrics, 5)), three_leg_rules(leg_windows(metrics, 3))
-    all5 = F.col("rules_passed") == 7
-    p5 = F.when(all5, "impulse").when(F.col("triangle_b_range") & F.col("triangle_legs"), "triangle")
+    df = three_leg_rules(five_leg_rules(_lead_legs(metrics, 5)))
+    p5 = F.when(F.col("rules_passed") == 7, "impulse").when(F.col("triangle_b_range") & F.col("triangle_legs"), "triangle")
     p3 = F.when(F.col("is_running") & F.col("flat_c"), "running_correction").when(F.col("flat_b") & F.col("flat_c"), F.col("flat_kind")).when(F.col("zigzag_b"), "zigzag")
     n3 = F.col("zigzag_b").cast("int") + F.col("flat_b").cast("int") + F.col("flat_c").cast("int")
-    pick = lambda d, pattern, n, last: d.withColumn("pattern", pattern).filter(F.col("pattern").isNotNull()).select(
-        "entity", "wave_no", "pattern", "direction", n.alias("rules_passed"), F.lit(last).alias("legs"), F.col("w1.start_date").alias("start_date"), F.col(f"w{last}.end_date").alias("end_date"),
-        F.col("w1.start_price").alias("first_start"), F.col("w1.end_price").alias("first_end"), F.col("w2.end_price").alias("second_end"), F.col(f"w{last}.end_price").alias("last_price"))
-    df = pick(five, p5, F.col("rules_passed"), 5).unionByName(pick(three, p3, n3, 3))
+
+    def pick(pattern: Column, n: Column, last: int) -> Column:
+        row = F.struct(pattern.alias("pattern"), "direction", n.alias("rules_passed"), F.lit(last).alias("legs"), F.col("w1.start_date").alias("start_date"), F.col(f"w{last}.end_date").alias("end_date"),
+                       F.col("w1.start_price").alias("first_start"), F.col("w1.end_price").alias("first_end"), F.col("w2.end_price").alias("second_end"), F.col(f"w{last}.end_price").alias("last_price"))
+        return F.when(_alternates(last) & pattern.isNotNull(), row)
+
+    both = F.array_compact(F.array(pick(p5, F.col("rules_passed"), 5), pick(p3, n3, 3)))  # legs are read once for both lengths
+    df = df.select("entity", "wave_no", F.inline(both))
     power = F.create_map(*[F.lit(x) for kv in POWER.items() for x in kv])[F.col("pattern")] * F.col("direction")
     df = df.withColumn("power", power.cast("int")).withColumn("span_years", F.datediff("end_date", "start_date") / 365.25)
     limit = F.create_map(*[F.lit(x) for kv in MAX_RETRACEMENT.items() for x in kv])[F.abs("power")]

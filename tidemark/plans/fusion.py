@@ -199,7 +199,7 @@ def _near(spark, d):
 
 def fib_lines(spark, d):
     """Clustered fib lines of the primary scenario per (entity, asof), with the close of the day."""
-    z = WV.fib_zones(WV.primary_scenario(PW.live(spark, d).filter(~WV.is_invalidated())))
+    z = cut(WV.fib_zones(WV.primary_scenario(PW.live(spark, d).filter(~WV.is_invalidated()))).select("entity", "asof", "close", "zone_price"))
     c = FU.cluster_levels(z.select("entity", "asof", F.col("zone_price").alias("price"), F.lit("fib").alias("source")), keys=("entity", "asof"))
     return c.join(z.select("entity", "asof", "close").distinct(), ["entity", "asof"]).withColumnRenamed("level", "line")
 
@@ -249,7 +249,7 @@ def _resonance(spark, d):
     from tidemark.plans.forecast import prices
     from tidemark.plans.ranking import universe
 
-    lines = fib_lines(spark, d).select("entity", "asof", "line", "close")
+    lines = cut(fib_lines(spark, d).select("entity", "asof", "line", "close"))
     bands = FC.baseline(prices(spark, d), confidences=(0.8,))
     bands = bands.groupBy("entity", "forecast_date").agg(F.first("point").alias("p"), *[F.max(F.when(F.col("horizon") == h, F.struct("lower", "upper", "point"))).alias(f"h{h}") for h in FC.HORIZONS])
     at = asof_join(lines.select("entity", "asof").distinct(), bands.withColumnRenamed("forecast_date", "date"), [f"h{h}" for h in FC.HORIZONS], tolerance_days=45)

@@ -111,8 +111,8 @@ def _triggers(spark, d):
 
 
 def live(spark, d, days=60):
-    b = V.bars(spark, d)
-    return WV.scenarios_at(quarter_requests(spark, d), WV.scenarios(WV.leg_metrics(WV.legs(b))), b, days)
+    b, req = V.bars(spark, d), quarter_requests(spark, d)
+    return WV.scenarios_at(req, WV.scenarios(WV.leg_metrics(WV.legs(b))), b, days)
 
 
 LIVE = f"""{SCEN}, {REQUESTS}, cl AS (SELECT r.entity, r.asof, m.close FROM requests r ASOF LEFT JOIN bars m ON m.entity = r.entity AND r.asof >= m.date),
