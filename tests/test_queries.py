@@ -16,7 +16,8 @@ FAST = [
     "bollinger_bands", "macd", "rsi", "rsi_events", "bollinger_events", "candlestick_patterns", "vwap_band_touches", "risk_alert_events", "keyed_upsert", "block_trade_rollup", "weekly_bars",
     "asof_adjusted_closes", "close_at_or_before", "visible_revenue_periods", "momentum_12_1_ranking", "magic_formula_ranking", "cross_section_rank", "group_quantiles", "baseline_forecast",
     "conformal_calibration", "interval_fusion", "swing_legs", "correction_rules", "entity_health", "price_clusters", "streaming_ema_state", "streaming_restatement", "entity_health_catalogue", "walk_forward_backtest", "eligible_sources", "macd_events", "coppock_events_strict",
-    "stops_and_targets", "fib_line_clusters", "kalman_smoother",
+    "stops_and_targets", "fib_line_clusters", "kalman_smoother", "block_trade_summary", "alert_status", "commodity_summary", "collateral_summary", "quarterly_screen", "phase_histogram",
+    "power_and_wave_labels", "swing_legs_table_function", "bollinger_since", "declared_drift", "market_weight", "series_alignment",
 ]
 
 

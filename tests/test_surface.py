@@ -37,6 +37,8 @@ def test_swing_legs_from_sql_equal_the_operator(spark, bars):
     with pytest.raises(Exception, match="bars lack high"):
         spark.sql("SELECT * FROM swing_legs(TABLE({b}))", b=bars.drop("high")).collect()
     assert spark.sql("SELECT * FROM swing_legs(TABLE({b}))", b=bars.limit(0)).count() == 0
+    gaps = bars.union(bars.select("entity", F.date_add("date", 2000), *[F.lit(None).cast("double")] * 4, "volume"))
+    assert key(spark.sql("SELECT * FROM swing_legs(TABLE({b}))", b=gaps)) == key(got)
 
 
 def test_aggregates_from_sql(spark):

@@ -28,7 +28,7 @@ class SwingLegs:
     """Legs of the bar midpoints, as ``operators.waves.legs``, from a stream of one entity's bars.
 
     A leg ends when the price turns by ``reversal`` ATR, measured at its extreme; the open last leg is included.
-    Series of one bar or of equal midpoints have no legs. Bars need entity, date, high, low and close.
+    Series of one bar or of equal midpoints have no legs; bars without a price are skipped. Bars need entity, date, high, low and close.
     """
 
     @staticmethod
@@ -58,6 +58,8 @@ class SwingLegs:
         return self.entity, self.wave - 1, d0, d1, p0, p1, self.way, i0, i1, a0
 
     def eval(self, bars, reversal=0.5, atr_period=14):
+        if bars["high"] is None or bars["low"] is None or bars["close"] is None:
+            return
         high, low = float(bars["high"]), float(bars["low"])
         span = high - low if self.was is None else max(high - low, abs(high - self.was), abs(low - self.was))
         self.was = float(bars["close"])
