@@ -95,6 +95,11 @@ def cqr_quantile(miss: pd.Series, confidence: pd.Series) -> float:
     return float(np.partition(v, k - 1)[k - 1]) if 1 <= k <= len(v) else None
 
 
+def known(miss: pd.Series) -> int:
+    """How many misses a group holds; a plain count can't stand beside aggregates of this kind."""
+    return int(miss.notna().sum())
+
+
 def interval_fuse(lower: pd.Series, upper: pd.Series) -> list[float]:
     """Lower and upper end of the intersection, or of a widened centroid where intervals don't meet.
 
@@ -114,4 +119,5 @@ def interval_fuse(lower: pd.Series, upper: pd.Series) -> list[float]:
 def register(spark: SparkSession) -> None:
     spark.udtf.register("swing_legs", F.udtf(SwingLegs))
     spark.udf.register("cqr_quantile", F.pandas_udf(cqr_quantile, "double"))
+    spark.udf.register("known", F.pandas_udf(known, "long"))
     spark.udf.register("interval_fuse", F.pandas_udf(interval_fuse, "array<double>"))

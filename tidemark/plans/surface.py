@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import surface
 from tidemark.operators import catalogue as C
+from tidemark.operators import forecast as FC
 from tidemark.plans import forecast as PF
 from tidemark.plans.registry import ORACLES, query, rnd, tidy
 from tidemark.sources import declared as DC
@@ -23,8 +24,13 @@ def _legs(spark, d):
  SELECT entity, source, horizon, confidence, {rnd('CASE WHEN n >= 30 THEN l[CAST(ceil((n + 1) * confidence - 1e-9) AS INTEGER)] END', 'q', 2)} FROM g""")
 def _cqr(spark, d):
     surface.register(spark)
-    st = PF.settled(spark, d)[1].withColumn("miss", F.greatest(F.col("lower") - F.col("realized"), F.col("realized") - F.col("upper")))
-    return tidy(spark.sql("SELECT entity, source, horizon, confidence, cqr_quantile(miss, confidence) AS q FROM {st} GROUP BY entity, source, horizon, confidence", st=st), digits=2)
+    grid = [(s, h, c) for s in PF.SOURCES for h in FC.HORIZONS for c in FC.CONFIDENCES]
+    missed = PF.issued(spark, d, realized=True).select("entity", *[m.alias(f"m{i}") for i, m in enumerate(FC.misses(PF.both()))])
+    # an entity's misses meet in one row per bar, a column for each cell
+    calls = ", ".join(f"cqr_quantile(m{i}, {c}D) AS q{i}, known(m{i}) AS n{i}" for i, (_, _, c) in enumerate(grid))
+    g = spark.sql(f"SELECT entity, {calls} FROM {{missed}} GROUP BY entity", missed=missed)
+    rows = F.array(*[F.struct(F.lit(s).alias("source"), F.lit(h).alias("horizon"), F.lit(c).alias("confidence"), F.col(f"q{i}").alias("q"), F.col(f"n{i}").alias("n")) for i, (s, h, c) in enumerate(grid)])
+    return tidy(g.select("entity", F.inline(rows)).filter("n > 0").drop("n"), digits=2)
 
 
 SINCE = "2000-01-01"
