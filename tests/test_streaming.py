@@ -76,3 +76,11 @@ def test_forecasts_are_settled_by_timers_across_restarts(spark, tmp_path):
     # (1, 30) has no bar within 21 days, (1, 90) is not due, (1, 6) has no bounds; entity 1 has no bar after its timers were set
     assert got == {(1, 2): (10.0, True, day(2)), (1, 5): (11.0, False, day(8)), (2, 31): (7.0, True, day(40)), (2, 32): (8.0, False, day(41))}
     assert seen == [1, 2, 4]
+
+
+def test_forecasts_of_a_day_travel_in_one_row(spark):
+    day = dt.date(2024, 1, 1)
+    bars = spark.createDataFrame([(1, day, 10.0)], "entity long, date date, close double")
+    f = spark.createDataFrame([(1, day, "s", h, c, 9.0, 11.0) for h in (1, 2, 3) for c in (0.5, 0.8)], "entity long, forecast_date date, source string, horizon int, confidence double, lower double, upper double")
+    assert TM.feed(f, bars).count() == 2
+    assert TM.feed(f, bars).filter("grid is not null").first().lower == [9.0] * 6

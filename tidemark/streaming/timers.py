@@ -1,6 +1,6 @@
 """Forecasts settled by keyed state and event-time timers.
 
-State per entity is its newest bar and the forecasts not yet due, so a batch costs what it brings:
+State per entity is its newest bar and the forecasts not yet due, 24 bytes each, so a batch costs what it brings:
 no earlier batch is read again and nothing is collected.  The state is bounded by the forecasts
 issued within the longest horizon.
 """
@@ -10,25 +10,46 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.operators.forecast import hit, interval_pinball
 
 DAY_MS = 86_400_000
-NAMES = ["forecast_date", "source", "horizon", "confidence", "lower", "upper"]
+CELL = ["source", "horizon", "confidence"]
 OUTPUT = "entity {key}, forecast_date int, source string, horizon int, confidence double, lower double, upper double, due int, close double"
+# a forecast not yet due: its day of issue, the place of its cell in the state's list, its bounds
+PENDING = np.dtype([("day", "<i4"), ("cell", "<i4"), ("lower", "<f8"), ("upper", "<f8")])
 
 
 def feed(forecasts: DataFrame, bars: DataFrame) -> DataFrame:
-    """One table of both inputs: bars by their day, forecasts by the day of issue (``day`` in days since 1970)."""
-    f = forecasts.select("entity", F.unix_date("forecast_date").alias("day"), F.lit(None).cast("double").alias("close"), F.unix_date("forecast_date").alias("forecast_date"),
-                         "source", F.col("horizon").cast("int").alias("horizon"), *[F.col(c).cast("double").alias(c) for c in NAMES[3:]])
+    """One table of both inputs: bars by their day, forecasts by the day of issue (``day`` in days since 1970).
+
+    Forecasts of one entity and day share a row: ``grid`` names their cells, ``lower`` and ``upper`` hold the bounds in that order.
+    """
+    cell = F.struct("source", F.col("horizon").cast("int").alias("horizon"), F.col("confidence").cast("double").alias("confidence"),
+                    F.col("lower").cast("double").alias("lower"), F.col("upper").cast("double").alias("upper"))
+    f = forecasts.groupBy("entity", F.unix_date("forecast_date").alias("day")).agg(F.array_sort(F.collect_list(cell)).alias("_cells"))
+    f = f.select("entity", "day", F.lit(None).cast("double").alias("close"), *_columns(F.col("_cells")))
     return f.unionByName(bars.select("entity", F.unix_date("date").alias("day"), F.col("close").cast("double").alias("close")).filter("close is not null"), allowMissingColumns=True)
 
 
+def feed_issued(df: DataFrame, cells: list[Column], grid: list[tuple[str, int, float]]) -> DataFrame:
+    """``feed`` for bars that carry their forecasts as ``cells``, named by ``grid``: nothing is shuffled, a bar is one row."""
+    given = F.array(*cells)
+    bounds = [given.getField(k).cast("array<double>").alias(k) for k in ("lower", "upper")]
+    return df.select("entity", F.unix_date("date").alias("day"), F.col("close").cast("double").alias("close"),
+                     F.when(F.coalesce(*cells).isNotNull(), F.lit(json.dumps(grid))).alias("grid"), *bounds)
+
+
+def _columns(cells: Column) -> list[Column]:
+    names = F.to_json(F.transform(cells, lambda x: F.array(x["source"], x["horizon"].cast("string"), x["confidence"].cast("string"))))
+    return [names.alias("grid"), cells.getField("lower").alias("lower"), cells.getField("upper").alias("upper")]
+
+
 def settle_at_timers(rows: DataFrame, tolerance_days: int = 21, delay: str = "0 seconds") -> DataFrame:
     """Settle a stream shaped like ``feed`` that arrives in order of day but for ``delay``.
 
@@ -41,32 +62,45 @@ def settle_at_timers(rows: DataFrame, tolerance_days: int = 21, delay: str = "0
     timed = rows.withColumn("ts", F.timestamp_seconds(F.col("day").cast("long") * 86_400 + 86_340)).withWatermark("ts", delay)
 
     def step(entity, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last_day, last_close, text = state.get if state.exists else (None, None, "[]")
-        pending, bars = json.loads(text), [] if last_day is None else [(last_day, last_close)]
+        last_day, last_close, text, packed = state.get if state.exists else (None, None, "[]", b"")
+        cells = [tuple(c) for c in json.loads(text)]
+        place = {c: i for i, c in enumerate(cells)}
+        pending = [np.frombuffer(packed, PENDING)]
+        days, closes = ([], []) if last_day is None else ([np.array([last_day])], [np.array([last_close])])
         if not state.hasTimedOut:
             for pdf in batches:
-                asked = pdf["forecast_date"].notna()
-                bars += list(zip(pdf.loc[~asked, "day"].tolist(), pdf.loc[~asked, "close"].tolist()))
-                asks = pdf.loc[asked & pdf["lower"].notna() & pdf["upper"].notna(), NAMES]
-                pending += [[int(r[0]), r[1], int(r[2]), *map(float, r[3:])] for r in asks.itertuples(index=False)]
-        newest = max(bars, default=(None, None))
+                day, close = pdf["day"].to_numpy(), pdf["close"].to_numpy(float)
+                is_bar = ~np.isnan(close)
+                days.append(day[is_bar])
+                closes.append(close[is_bar])
+                for grid, asked in pdf.groupby("grid", sort=False):
+                    named = np.array([place.setdefault((s, int(h), float(c)), len(place)) for s, h, c in json.loads(grid)])
+                    new = np.empty(len(asked) * len(named), PENDING)
+                    new["day"], new["cell"] = np.repeat(asked["day"].to_numpy(), len(named)), np.tile(named, len(asked))
+                    new["lower"], new["upper"] = np.concatenate(asked["lower"].tolist()), np.concatenate(asked["upper"].tolist())
+                    pending.append(new[~(np.isnan(new["lower"]) | np.isnan(new["upper"]))])
+        cells, pending = list(place), np.concatenate(pending)
+        day, close = (np.concatenate(x) if x else np.array([]) for x in (days, closes))
+        order = np.lexsort((close, day))
+        day, close = day[order], close[order]
+        due = pending["day"] + np.array([h for _, h, _ in cells], dtype=int)[pending["cell"]]
         passed = state.getCurrentWatermarkMs() // DAY_MS - 1 if state.getCurrentWatermarkMs() % DAY_MS < 86_340_000 else state.getCurrentWatermarkMs() // DAY_MS
-        closed = max(passed, newest[0] - 1 if newest[0] is not None else passed)
-        due = [p for p in pending if p[0] + p[2] <= closed]
-        pending = [p for p in pending if p[0] + p[2] > closed]
-        state.update((newest[0], newest[1], json.dumps(pending)))
-        if pending:
-            ring = min(p[0] + p[2] for p in pending) * DAY_MS + 82_800_000
+        closed = max(passed, int(day[-1]) - 1 if len(day) else passed)
+        now, later = due <= closed, due > closed
+        state.update((int(day[-1]) if len(day) else None, float(close[-1]) if len(day) else None, json.dumps(cells), pending[later].tobytes()))
+        if later.any():
+            ring = int(due[later].min()) * DAY_MS + 82_800_000
             state.setTimeoutTimestamp(max(ring, state.getCurrentWatermarkMs() + 1))
-        if due and bars:
-            asks = pd.DataFrame(due, columns=NAMES)
-            asks["due"] = asks["forecast_date"] + asks["horizon"]
-            known = pd.DataFrame(sorted(bars), columns=["day", "close"]).astype({"day": "int64"})
-            real = pd.merge_asof(asks.astype({"due": "int64"}).sort_values("due"), known, left_on="due", right_on="day", tolerance=tolerance_days).dropna(subset=["close"])
-            real.insert(0, "entity", entity[0])
-            yield real[["entity", *NAMES, "due", "close"]]
-
-    settled = timed.groupBy("entity").applyInPandasWithState(step, OUTPUT.format(key=key), "last_day int, last_close double, pending string", "append", GroupStateTimeout.EventTimeTimeout)
+        if now.any() and len(day):
+            asks, due = pending[now], due[now]
+            at = np.searchsorted(day, due, "right") - 1
+            found = (at >= 0) & (due - day[np.maximum(at, 0)] <= tolerance_days)
+            asks, due, at = asks[found], due[found], at[found]
+            named = pd.DataFrame(cells, columns=CELL).iloc[asks["cell"]].reset_index(drop=True)
+            if len(asks):
+                yield pd.DataFrame({"entity": entity[0], "forecast_date": asks["day"], **{c: named[c] for c in CELL}, "lower": asks["lower"], "upper": asks["upper"], "due": due, "close": close[at]})
+
+    settled = timed.groupBy("entity").applyInPandasWithState(step, OUTPUT.format(key=key), "last_day int, last_close double, cells string, pending binary", "append", GroupStateTimeout.EventTimeTimeout)
     y = F.floor(F.col("close") * 10000 + 0.5) / 10000
     return settled.select("entity", F.date_from_unix_date("forecast_date").alias("forecast_date"), "source", "horizon", "confidence", "lower", "upper",
                           F.date_from_unix_date("due").alias("resolved_date"), y.alias("realized")).withColumns({
