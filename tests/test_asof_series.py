@@ -7,12 +7,14 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from tidemark.functions.ranked import Ranked
 from tidemark.operators import backtest as BT
 from tidemark.operators import forecast as FC
 from tidemark.operators import levels as LV
 from tidemark.operators import order_statistics as OS
 from tidemark.operators import serving
+from tidemark.operators.recursive import arranged
 
 DAY = datetime.date(2020, 1, 1)
 
@@ -248,3 +250,34 @@ def test_ranked_windows(monkeypatch):
         w.drop(99.0)
     with pytest.raises(IndexError):
         w.kth(0)
+
+
+def test_lots_say_what_single_slices_say(spark):
+    """Every forecaster over lots against its form for one slice, at every bar of series of different length; a lot is never handed a later row."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for e, n in ((1, 3), (2, 140), (3, 330), (4, 61), (5, 1)):
+        px = 100 * np.exp(np.cumsum(rng.normal(0, 0.02, n)))
+        rows += [(e, datetime.date(2020, 1, 1) + datetime.timedelta(days=i), float(px[i]), 1.0 + (i > 40), float(rng.integers(-9, 9)), float(rng.integers(0, 40)), None if i < 5 else float(rng.normal()), float(rng.normal())) for i in range(n)]
+    df = spark.createDataFrame(rows, "entity int, date date, px double, c double, net_flow double, margin_balance double, fundamental_score double, macro_score double").repartition(3)
+    reads = df.columns[2:]
+    due = arranged(df.withColumns({"is_due": F.col("entity") + F.dayofmonth("date") != 9, "more": F.col("entity") * 7}))
+    key = lambda r: (r.entity, r.forecast_date, r.source, r.horizon, r.confidence)
+    found = BT.issue_lots(due, reads, lookback=300).collect()
+    got = {key(r): (r.lower, r.upper, r.point) for r in found}
+    asks = df.filter(F.col("entity") + F.dayofmonth("date") != 9).select("entity", F.col("date").alias("asof"))
+    want = {key(r): (r.lower, r.upper, r.point) for r in BT.issue(asks, df, lookback=300).collect()}
+    assert {k[2] for k in want} == set(BT.FORECASTERS) and got.keys() == want.keys() and len(found) == len(got) and all(r.more == r.entity * 7 for r in found)
+    # prices are cut to four decimals, so one step apart is rounding
+    assert all(abs(a - b) <= 1.01e-4 + 1e-9 * abs(b) for k in got for a, b in zip(got[k], want[k]))
+    # small lots cut series apart, never a series
+    small = serving.walk_forward_lots(due, ["px"], lambda v: {"n": np.array([[len(x), x[-1]] for x in v["px"]])}, ("n",), 10**6, series=2, cells=150).collect()
+    place = {(e, d): (i + 1, p) for e in range(1, 6) for i, (_, d, p, *_) in enumerate(r for r in rows if r[0] == e)}
+    assert {(r.entity, r.date): tuple(r.n) for r in small} == {k: v for k, v in place.items() if k[0] + k[1].day != 9}
+
+
+def test_backtest_shuffles_no_forecast(spark, sf):
+    """The query's forecasts stay in the row of their bar until they are summed."""
+    plan = entry.queries()["walk_forward_backtest"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hash" in line and ("forecast_date" in line or "horizon" in line)]
+    assert len(moved) == 1 and "source" in moved[0], plan

@@ -15,10 +15,13 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.recursive import _edges
+
 
 def _series_of(batches):
     """One frame per entity from sorted batches."""
@@ -98,3 +101,64 @@ def walk_forward(requests: DataFrame, rows: DataFrame, forecast: Callable[[dict]
         return {"request": at, **{c: [r[i] for r in found] for i, c in enumerate(names)}}
 
     return serve(requests, rows, answer, schema)
+
+
+def walk_forward_lots(rows: DataFrame, reads: list[str], forecast: Callable[[dict], dict], names: tuple[str, ...], lookback: int, series: int = 256, cells: int = 200_000) -> DataFrame:
+    """Due rows of ``rows`` with arrays ``names``: what ``forecast`` says there when it is handed the rows up to that one and nothing else.
+
+    ``rows`` are ``recursive.arranged`` and hold ``is_due`` and the numbers ``reads``. The n-th rows of up to ``series`` series are
+    answered together: ``forecast`` gets read-only arrays of (slices, rows), one slice per series, each at most ``lookback`` long
+    and ended by its series' n-th row, and returns arrays of (slices, any width). A lot has at most ``cells`` places, filled or not.
+    """
+    out = T.StructType([*[f for f in rows.schema.fields if f.name not in reads], *[T.StructField(k, T.ArrayType(T.DoubleType())) for k in names]])
+    kept = [f.name for f in out.fields if f.name not in names]
+
+    def answer(batch):
+        edges = np.array([0, *_edges(batch, ("entity",)), batch.num_rows])
+        columns = {c: batch.column(c).to_pandas().to_numpy().astype(float) for c in reads}
+        due = batch.column("is_due").to_pandas().to_numpy().astype(bool)
+        size = max(1, min(series, cells // int(np.diff(edges).max())))
+        for first in range(0, len(edges) - 1, size):
+            start, stop = edges[:-1][first:first + size], edges[1:][first:first + size]
+            length = stop - start
+            # the series of a lot side by side, the place of row n of series i at [i, n]
+            place = np.minimum(start[:, None] + np.arange(length.max()), batch.num_rows - 1)
+            found = {k: None for k in names}
+            for n in range(1, int(length.max()) + 1):
+                at = np.flatnonzero(length >= n)
+                at = at[due[place[at, n - 1]]]
+                if not len(at):
+                    continue
+                seen = place[at, max(0, n - lookback):n]
+                view = {c: v[seen] for c, v in columns.items()}
+                for v in view.values():
+                    v.flags.writeable = False
+                for k, v in forecast(view).items():
+                    if found[k] is None:
+                        found[k] = np.full((int(stop[-1] - start[0]), v.shape[1]), np.nan)
+                    found[k][place[at, n - 1] - start[0]] = v
+            lot = batch.slice(int(start[0]), int(stop[-1] - start[0]))
+            told = np.flatnonzero(due[start[0]:stop[-1]])
+            for i in range(0, len(told), 4096):
+                rows_ = told[i:i + 4096]
+                arrays = []
+                for k in names:
+                    v = found[k][rows_]
+                    arrays.append(pa.ListArray.from_arrays(pa.array(np.arange(len(v) + 1, dtype=np.int32) * v.shape[1]), pa.array(v.ravel())))
+                yield pa.RecordBatch.from_arrays([*[lot.column(c).take(pa.array(rows_)) for c in kept], *arrays], names=[*kept, *names])
+
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            held, size = [*held, batch] if batch.num_rows else held, size + batch.num_rows
+            if size >= cells:
+                whole = pa.concat_batches(held)
+                edges = _edges(whole, ("entity",))
+                if edges:  # the last series may go on in the next batch
+                    yield from answer(whole.slice(0, edges[-1]))
+                    whole = whole.slice(edges[-1])
+                held, size = [whole], whole.num_rows
+        if held:
+            yield from answer(pa.concat_batches(held))
+
+    return rows.mapInArrow(run, out)
