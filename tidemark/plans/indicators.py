@@ -216,7 +216,7 @@ series_query("ratio_momentum", "E33", SERIES + f""", m AS (SELECT *, close / hig
 
 TREND_SQL = SERIES + f""", t0 AS (SELECT *, {X.roll('avg', 'close', 20)} AS ma20, {X.roll('avg', 'close', 60)} AS ma_long,
    CASE WHEN idx >= 10 AND {X.past('stddev_pop', 'volume', 60)} > 0 THEN (volume - {X.past('avg', 'volume', 60)}) / {X.past('stddev_pop', 'volume', 60)} ELSE 0 END AS volume_z FROM s),
- ind AS (SELECT *, CASE WHEN close > ma_long THEN 'up' WHEN close < ma_long THEN 'down' ELSE 'flat' END AS trend, ma20 - {X.prev('ma20')} AS slope FROM t0)"""
+ ind AS (SELECT *, CASE WHEN abs(close - ma_long) <= abs(ma_long) * 1e-12 THEN 'flat' WHEN close > ma_long THEN 'up' WHEN close < ma_long THEN 'down' ELSE 'flat' END AS trend, ma20 - {X.prev('ma20')} AS slope FROM t0)"""
 
 
 @query("index_trend_state", "E34", f"WITH {TREND_SQL} SELECT entity, date, trend, {rnds('volume_z ma20 ma_long slope')} FROM ind")
