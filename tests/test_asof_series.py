@@ -281,3 +281,17 @@ def test_backtest_shuffles_no_forecast(spark, sf):
     plan = entry.queries()["walk_forward_backtest"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     moved = [line for line in plan.splitlines() if "Exchange hash" in line and ("forecast_date" in line or "horizon" in line)]
     assert len(moved) == 1 and "source" in moved[0], plan
+
+
+def test_channels_are_fitted_without_a_frame_per_bar(spark):
+    """Lines by array: a price that is missing or not positive is no point, and no window aggregate is planned."""
+    days = [(1, DAY + datetime.timedelta(days=i), None if i == 7 else 0.0 if i == 9 else 100.0 + i * i % 17) for i in range(40)]
+    p = FC.every_bar(FC.unadjusted(spark.createDataFrame(days, "entity int, date date, close double")))
+    df = FC.log_channel(p, (5,), (0.8,), window=20)
+    assert "regr" not in df._jdf.queryExecution().executedPlan().toString()
+    got = {r.forecast_date: r.point for r in df.collect()}
+    assert len(got) == 21
+    for i in range(19, 40):
+        t, y = zip(*[(k, np.log(days[k][2])) for k in range(i - 19, i + 1) if days[k][2]])
+        slope, end = np.polyfit(t, y, 1)
+        assert abs(got[days[i][1]] - np.exp(end + slope * (i + 5))) < 1e-3
