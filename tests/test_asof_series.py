@@ -295,3 +295,23 @@ def test_channels_are_fitted_without_a_frame_per_bar(spark):
         t, y = zip(*[(k, np.log(days[k][2])) for k in range(i - 19, i + 1) if days[k][2]])
         slope, end = np.polyfit(t, y, 1)
         assert abs(got[days[i][1]] - np.exp(end + slope * (i + 5))) < 1e-3
+
+
+def test_legs_are_read_as_streams(spark):
+    """Series of every length in one partition, cut between batches, against the rule for one series; no call per entity is planned."""
+    from tidemark.operators import waves as WV
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
+    try:
+        b = frame(spark, {e: walk(n, e, 0.03) for e, n in ((1, 1), (2, 40), (3, 17), (4, 120), (5, 2))})
+        df = WV.legs(b)
+        assert "FlatMapGroups" not in df._jdf.queryExecution().executedPlan().toString()
+        got = {(r.entity, r.wave_no): (r.start_date, r.end_date, r.direction) for r in df.collect()}
+        alone = {(r.entity, r.wave_no): (r.start_date, r.end_date, r.direction) for e in range(1, 6) for r in WV.legs(b.filter(F.col("entity") == e)).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert got == alone and len(got) > 30 and {e for e, _ in got} == {2, 3, 4, 5}
+    for (e, k), (start, end, way) in got.items():
+        # legs meet, and directions alternate
+        assert (e, k + 1) not in got or (got[e, k + 1][0], got[e, k + 1][2]) == (end, -way)

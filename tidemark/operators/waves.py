@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.ranking import group_quantiles, ranked_rows
 from tidemark.operators.indicators import true_range
 from tidemark.operators.pit import asof_join, range_join
-from tidemark.operators.recursive import atr_values
+from tidemark.operators.recursive import _edges, arranged, atr_values
 
 # Projection ratios, retracement limits by power, horizons by degree.
 FIB_RATIOS = (0.236, 0.382, 0.5, 0.618, 0.786, 1.0, 1.272, 1.618, 2.0, 2.618)
@@ -23,33 +24,66 @@ DEGREE_HORIZON = {"sub_minuette": 21, "minute": 21, "minor": 63, "primary": 126,
 LEG = "wave_no int, start_date date, end_date date, start_price double, end_price double, direction int, start_idx int, end_idx int, atr_start double"
 
 
-def legs(bars: DataFrame, reversal: float = 0.5, atr_period: int = 14) -> DataFrame:
-    """Swing legs of the bar midpoints: a leg ends when price reverses by ``reversal`` ATR (the ATR
-    at the extreme).  The open last leg is included.  Sequential per entity, one grouped pass."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date", ignore_index=True)
-        mid = ((pdf["high"] + pdf["low"]) / 2).to_numpy()
-        atr = atr_values(pdf["tr"].to_numpy(), atr_period)
-        found, start, ext, way = [], 0, 0, 0
-        for i in range(1, len(mid)):
-            move = mid[i] - mid[ext]
-            sign = int(np.sign(move))
-            if sign == 0:
-                continue
-            if way == 0 or sign == way:
-                way, ext = sign, i
-            elif abs(move) >= atr[ext] * reversal:
-                found.append((start, ext, way))
-                start, ext, way = ext, i, sign
-        if ext > start:
+def _legs_of(mid: list[float], atr: list[float], reversal: float) -> list[tuple[int, int, int]]:
+    """Legs as (start, end, direction) of one series."""
+    found, start, ext, way = [], 0, 0, 0
+    top = mid[0]
+    for i, v in enumerate(mid):
+        if top != top:  # nothing known so far
+            start, ext, top = i, i, v
+        if v == top or v != v:
+            continue
+        sign = 1 if v > top else -1
+        if way == 0 or sign == way:
+            way, ext, top = sign, i, v
+        elif abs(v - top) >= atr[ext] * reversal:
             found.append((start, ext, way))
-        s, e = [f[0] for f in found], [f[1] for f in found]
-        return pd.DataFrame({"entity": pdf["entity"].iloc[0], "wave_no": range(len(found)), "start_date": pdf["date"].iloc[s].values, "end_date": pdf["date"].iloc[e].values,
-                             "start_price": mid[s], "end_price": mid[e], "direction": [f[2] for f in found], "start_idx": s, "end_idx": e, "atr_start": atr[s]})
+            start, ext, top, way = ext, i, v, sign
+    if ext > start:
+        found.append((start, ext, way))
+    return found
+
 
+def legs(bars: DataFrame, reversal: float = 0.5, atr_period: int = 14) -> DataFrame:
+    """Swing legs of the bar midpoints: a leg ends when price reverses by ``reversal`` ATR (the ATR
+    at the extreme).  The open last leg is included.  Sequential per entity; sorted partitions are read as
+    streams, so an entity costs no call of its own."""
     key = dict(bars.dtypes)["entity"]
-    return true_range(bars).select("entity", "date", "high", "low", "tr").groupBy("entity").applyInPandas(run, f"entity {key}, {LEG}")
+    out = T.StructType.fromDDL(f"entity {key}, {LEG}")
+
+    def of(batch):
+        edges = [0, *_edges(batch, ("entity",)), batch.num_rows]
+        high, low, tr = (batch.column(c).to_pandas().to_numpy().astype(float) for c in ("high", "low", "tr"))
+        mid, wave, at = (high + low) / 2, [], []
+        atr = np.empty(len(mid))
+        for i, j in zip(edges[:-1], edges[1:]):
+            atr[i:j] = atr_values(tr[i:j], atr_period)
+            found = _legs_of(mid[i:j].tolist(), atr[i:j].tolist(), reversal)
+            wave += range(len(found))
+            at += [(s + i, e + i, way, i) for s, e, way in found]
+        s, e, way, first = np.array(at, dtype=int).reshape(-1, 4).T
+        places = [pa.array(x) for x in (s, e)]
+        values = {"entity": batch.column("entity").take(places[0]), "wave_no": wave, "start_date": batch.column("date").take(places[0]), "end_date": batch.column("date").take(places[1]),
+                  "start_price": mid[s], "end_price": mid[e], "direction": way, "start_idx": s - first, "end_idx": e - first, "atr_start": atr[s]}
+        arrays = [v if isinstance(v, pa.Array) else pa.array(v, pa.float64() if f.dataType == T.DoubleType() else pa.int32()) for f in out.fields for v in [values[f.name]]]
+        return pa.RecordBatch.from_arrays(arrays, names=out.fieldNames())
+
+    def run(batches):
+        rest = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rest.append(batch)
+            whole = pa.concat_batches(rest)
+            cut = _edges(whole, ("entity",))
+            if cut:  # the last series may go on in the next batch
+                yield of(whole.slice(0, cut[-1]))
+            rest = [whole.slice(cut[-1] if cut else 0)]
+        if rest:
+            yield of(rest[0])
+
+    # the window keeps the order of its arranged rows
+    return true_range(arranged(bars.select("entity", "date", "high", "low", "close"))).select("entity", "date", "high", "low", "tr").mapInArrow(run, out)
 
 
 def leg_metrics(df: DataFrame, neutral_atr: float = 1.0) -> DataFrame:
