@@ -6,16 +6,19 @@ requests are answered once, null entities or days are no requests.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.fusion import trend_view
 from tidemark.operators.pit import asof_join, range_join
-from tidemark.operators.recursive import KALMAN_HORIZONS
+from tidemark.operators.recursive import KALMAN_HORIZONS, kalman_values, regime_of
+from tidemark.operators.serving import serve
 
 # Limits at which a summary raises its flag, and look-backs in days.
 CONCENTRATED, MATCHING_SPIKE, PRICE_SPIKE = 0.70, 0.80, 2.0
 BLOCK_DAYS, ALERT_DAYS, CHANGE_DAYS, STALE_DAYS = 30, 60, 180, 7
+TREND = "horizon string, threshold double, date date, close double, smoothed double, uncertainty double, velocity double, back double"
 
 
 def asked(requests: DataFrame) -> DataFrame:
@@ -84,7 +87,30 @@ def trend_at(requests: DataFrame, classified: DataFrame, stale_after: int = STAL
     key = F.struct("entity", "horizon").alias("entity")
     cols = ["close", "smoothed", "uncertainty", "velocity", "regime"]
     df = asof_join(ask.select(key, "asof"), classified.select(key, "date", *cols), cols)
-    df = trend_view(df.select("entity.*", "asof", F.col("matched").alias("date"), *cols))
+    return _aged(df.select("entity.*", "asof", F.col("matched").alias("date"), *cols), stale_after)
+
+
+def trend_of(requests: DataFrame, bars: DataFrame, noise: float = 0.01, lookback: int = 20, stale_after: int = STALE_DAYS) -> DataFrame:
+    """``trend_at`` of the Kalman filter of ``bars``: states leave the series at request days only.
+
+    Bars are shuffled once with their requests and filtered for all horizons in that pass, so no row per bar and horizon is made.
+    """
+
+    def answer(c: dict, cuts: np.ndarray) -> dict:
+        z, day = c["close"].astype(float), c["date"]
+        last, out = cuts - 1, []
+        for horizon, (q, threshold, _) in KALMAN_HORIZONS.items():
+            x, sd, v = kalman_values(z, q, noise) if len(z) else (z, z, z)
+            out += [(k, horizon, threshold, *((day[i], z[i], x[i], sd[i], v[i], v[max(i - lookback, 0)]) if i >= 0 else [None] * 6)) for k, i in enumerate(last.tolist())]
+        return dict(zip(["request", *(f.split()[0] for f in TREND.split(", "))], zip(*out)))
+
+    df = serve(asked(requests), bars.select("entity", "date", "close"), answer, TREND)
+    df = df.withColumns({"vel_pct": F.when(F.abs("smoothed") > 0, F.col("velocity") / F.col("smoothed")).otherwise(0.0), "accel": F.col("velocity") - F.col("back")})
+    return _aged(df.withColumn("regime", F.when(F.col("date").isNotNull(), regime_of())), stale_after)
+
+
+def _aged(df: DataFrame, stale_after: int) -> DataFrame:
+    df = trend_view(df)
     age, half = F.datediff("asof", "date"), F.greatest("uncertainty", F.col("smoothed") * 0.01)
     return df.withColumns({"band_low": F.col("smoothed") - half, "band_high": F.col("smoothed") + half, "age_days": age, "is_stale": age > stale_after})
 

@@ -73,7 +73,7 @@ def _commodity(spark, d):
 @query("trend_view", "K12,D16", f"""WITH {P.REGIME_SQL}, {REQUESTS}, h AS (SELECT r.*, hz.horizon FROM requests r, hz), a AS (SELECT h.entity, h.asof, h.horizon, c.date, c.close, c.x, c.p, c.regime FROM h ASOF LEFT JOIN c ON c.entity = h.entity AND c.horizon = h.horizon AND h.asof >= c.date)
  SELECT entity, asof, horizon, date, regime, {rnd('x', 'smoothed', 2)}, {rnd('(close - x) / greatest(sqrt(p), x * 0.01)', 'deviation', 2)}, {rnd('x - greatest(sqrt(p), x * 0.01)', 'band_low', 2)}, {rnd('x + greatest(sqrt(p), x * 0.01)', 'band_high', 2)}, CAST(asof - date AS INTEGER) AS age_days, asof - date > 7 AS is_stale FROM a""")
 def _trend(spark, d):
-    t = SM.trend_at(quarter_requests(spark, d), R.regimes(R.kalman(V.bars(spark, d))))
+    t = SM.trend_of(quarter_requests(spark, d), V.bars(spark, d))
     return tidy(t, "entity", "asof", "horizon", "date", "regime", "smoothed", "deviation", "band_low", "band_high", "age_days", "is_stale", digits=2)
 
 
