@@ -45,7 +45,7 @@ def test_each_window_is_evaluated_once(series):
         assert want and {(x.entity, x.date, str(x.value)) for x in found.filter(F.col("event_kind") == r.kind).collect()} == want
 
 
-@pytest.mark.parametrize(("name", "frames"), [("foreign_holding_events", 7)])  # at most; 15 before
+@pytest.mark.parametrize(("name", "frames"), [("foreign_holding_events", 7), ("commodity_events", 3)])  # at most; 15 and 4 before
 def test_sliding_frames_are_few_and_short(spark, sf, name, frames):
     sliding = [int(n) for n in re.findall(r"RowFrame, -(\d+), (?:-1\)|currentrow)", plan(entry.queries()[name](spark, sf))) if n != "1"]
     assert len(sliding) <= frames and max(sliding) <= 60
