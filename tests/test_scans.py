@@ -61,3 +61,21 @@ def test_a_block_longer_than_stated_is_an_error(bars):
 
 def test_no_rows_give_no_rows(bars):
     assert SC.rsi(bars.limit(0)).count() == 0 and SC.exponential_averages(bars.filter("entity < 0")).count() == 0
+
+
+def test_a_bar_is_dealt_to_its_block_once_with_all_horizons(bars, spark):
+    """A row per bar and horizon was shuffled and checkpointed; now horizons are laid out after the last shuffle."""
+    got = SC.kalman(bars)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange" in line]
+    assert moved and not any("horizon" in line for line in moved), plan
+    rows = {(r.entity, r.date): r for r in got.filter("horizon = 'short'").collect()}
+    assert len(rows) == bars.count() and got.count() == 4 * len(rows)
+
+
+def test_a_missing_close_counts_as_none_but_keeps_its_row(spark):
+    """Its step goes towards zero, as ever, and has no velocity."""
+    days = [(1, dt.date(2024, 1, i), None if i == 3 else 10.0 + i) for i in range(1, 6)]
+    got = SC.kalman(spark.createDataFrame(days, "entity long, date date, close double")).filter("horizon = 'short'").sort("date").collect()
+    assert [r.velocity is None for r in got] == [False, False, True, False, False] and [r.idx for r in got] == [0, 1, 2, 3, 4]
+    assert 0 < got[2].smoothed < got[1].smoothed

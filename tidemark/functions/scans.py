@@ -21,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAPS, BLOCK = "_maps", "_block"
+MAPS, BLOCK, ROWS = "_maps", "_block", "_rows"
 
 
 def in_blocks(df: DataFrame, order: str = "date", block: Column | None = None) -> DataFrame:
@@ -60,6 +60,33 @@ def scan(df: DataFrame, step: Column, identity: Column, compose: Callable, apply
     return rows.withColumn(out, apply(F.col("_enters"), F.col(MAPS))).drop(MAPS, "_earlier", "_enters", "_checked")
 
 
+def dealt(df: DataFrame, keys: tuple[str, ...] = ("entity",), order: str = "date") -> DataFrame:
+    """Rows shuffled to their block; rows without a key or block are left out.
+
+    What reads the result several times reads one shuffle, if it reads the same columns.
+    """
+    df = in_blocks(df, order)
+    for k in (*keys, BLOCK):
+        df = df.filter(F.col(k).isNotNull())
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys, BLOCK)
+
+
+def packed(df: DataFrame, cols: list[str], keys: tuple[str, ...] = ("entity",), order: str = "date", longest: int = 366) -> DataFrame:
+    """One row per block of ``dealt`` rows: ``ROWS``, an array of (order, cols) in order, of at most ``longest`` rows."""
+    df = df.groupBy(*keys, BLOCK).agg(F.array_sort(F.collect_list(F.struct(order, *cols))).alias(ROWS))
+    return df.filter(F.when(F.size(ROWS) > longest, F.raise_error(F.lit(f"a block holds more than {longest} rows")).cast("boolean")).otherwise(True))
+
+
+def entering(totals: DataFrame, total: Column, start: Column, apply: Callable, out: str, keys: tuple[str, ...] = ("entity",)) -> DataFrame:
+    """Append ``out``, the state that enters each block: ``start`` of the first block through ``apply(state, total)`` of all before this one.
+
+    ``totals`` has one small row per block, so a series may be gathered here.
+    """
+    along = Window.partitionBy(*keys).orderBy(BLOCK)
+    df = totals.withColumns({"_before": F.collect_list(total).over(along.rowsBetween(Window.unboundedPreceding, -1)), "_start": F.first(start).over(along.rowsBetween(Window.unboundedPreceding, 0))})
+    return df.withColumn(out, F.aggregate("_before", F.col("_start"), apply)).drop("_before", "_start")
+
+
 def located(df: DataFrame, before: dict[str, str], keys: tuple[str, ...] = ("entity",), order: str = "date") -> DataFrame:
     """Append ``idx`` (from 0), ``n`` (rows of the series) and values of the row before (name -> column) across blocks."""
     df = in_blocks(df, order)

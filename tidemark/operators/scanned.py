@@ -7,10 +7,10 @@ series (minute bars with days as blocks) and a key with most of the rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.scans import BLOCK, affine, doubles, in_blocks, located, scan
+from tidemark.functions.scans import BLOCK, ROWS, affine, dealt, doubles, entering, in_blocks, located, packed, scan
 from tidemark.operators.recursive import KALMAN_HORIZONS
 from tidemark.session import cut
 
@@ -64,26 +64,58 @@ def atr(bars: DataFrame, p: int = 14, block: Column | None = None, longest: int
 def kalman(bars: DataFrame, noise: float = 0.01, block: Column | None = None, longest: int = 366) -> DataFrame:
     """Local-level Kalman filter per (entity, horizon), noise from the mean close so far.
 
-    The variance after a bar is a fraction of linear terms of the one before, and such fractions
-    compose as 2 x 2 matrices; with the gains known, the level is an affine recursion.
+    The variance after a bar is a fraction of linear terms of the one before, and such fractions compose as 2 x 2 matrices; with
+    the gains known, the level is an affine recursion. A bar is shuffled to its block once and carries its horizons in one row:
+    sums, variances and levels are folded per block in turn, each from what enters it, and horizons are laid out at the end.
     """
-    df = located(in_blocks(bars.select("entity", "date", "close"), "date", block), {})
-    df = affine(df, F.lit(1.0), {"_sum": F.col("close")}, {"_sum": F.lit(0.0)}, longest=longest)
-    hz = F.explode(F.array(*[F.struct(F.lit(k).alias("horizon"), F.lit(v[0]).alias("q"), F.lit(v[1]).alias("threshold"), F.lit(v[2]).alias("min_run"))
-                             for k, v in KALMAN_HORIZONS.items()]))
-    df = cut(df.select("entity", "date", "idx", "close", BLOCK, F.pow(noise * F.col("_sum") / (F.col("idx") + 1), 2).alias("r"), hz.alias("h"))
-             .select("entity", "date", "idx", "close", BLOCK, "r", "h.*"))
-    keys = ("entity", "horizon")
-
-    def matrices(f, g):
-        low = g["m21"] * f["m12"] + g["m22"] * f["m22"]  # positive; scaling by it changes no fraction and keeps numbers small
-        return doubles(m11=(g["m11"] * f["m11"] + g["m12"] * f["m21"]) / low, m12=(g["m11"] * f["m12"] + g["m12"] * f["m22"]) / low,
-                       m21=(g["m21"] * f["m11"] + g["m22"] * f["m21"]) / low, m22=F.lit(1.0))
-
-    r, q = F.col("r"), F.col("q")
-    df = cut(scan(df, doubles(m11=r / (q + r), m12=r * q / (q + r), m21=1 / (q + r), m22=1.0), doubles(m11=1.0, m12=0.0, m21=0.0, m22=1.0), matrices,
-                  lambda v, f: (f["m11"] * v + f["m12"]) / (f["m21"] * v + f["m22"]), r, "_var", keys, longest=longest))
-    gain = F.col("_var") / r
-    df = affine(df, 1 - gain, {"smoothed": gain * F.col("close")}, {"smoothed": F.col("close")}, keys, longest=longest)
-    # the step of the level, written by the level after it
-    return df.withColumns({"uncertainty": F.sqrt("_var"), "velocity": (F.col("close") - F.col("smoothed")) * gain / (1 - gain)}).drop("_var", "r", BLOCK)
+    by, levels = ["entity", BLOCK], list(KALMAN_HORIZONS.items())
+    bars = dealt(in_blocks(bars.select("entity", "date", "close"), "date", block))
+    along = Window.partitionBy("entity").orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    known = F.coalesce(F.col("close"), F.lit(0.0))
+    # dates are counted, not rows, so that the shuffle of ``blocks`` serves here too
+    sums = bars.groupBy(*by).agg(F.count("date").alias("_n"), F.sum(known).alias("_s"))
+    enters = sums.select(*by, *[F.coalesce(F.sum(c).over(along), F.lit(0)).alias(c) for c in ("_n", "_s")])
+    # in their block, rows number themselves and add up their closes
+    w = Window.partitionBy(*by).orderBy("date")
+    blocks = packed(bars.withColumns({"idx": F.row_number().over(w), "sum": F.sum(known).over(w.rowsBetween(Window.unboundedPreceding, 0))}), ["close", "idx", "sum"], longest=longest)
+
+    def entered(enters: DataFrame) -> DataFrame:
+        def located(x):
+            n = F.col("_n") + x["idx"]
+            return F.struct(x["date"].alias("date"), x["close"].alias("close"), F.coalesce(x["close"], F.lit(0.0)).alias("z"), (n - 1).alias("idx"), F.pow(noise * (F.col("_s") + x["sum"]) / n, 2).alias("r"))
+
+        return blocks.join(enters, by).withColumn(ROWS, F.transform(ROWS, located))
+
+    def matrices(f, x):
+        """The map of a row after that of the rows before: (m11, m12; m21, 1), scaled so, which changes no fraction and keeps numbers small."""
+        r, q = x["r"], f["q"]
+        low = f["m12"] + (q + r)
+        return doubles(q=q, m11=r * (f["m11"] + q * f["m21"]) / low, m12=r * (f["m12"] + q) / low, m21=(f["m11"] + (q + r) * f["m21"]) / low)
+
+    def gain(f, x):
+        return (f["v"] + f["q"]) / (f["v"] + f["q"] + x["r"])
+
+    def variance(f, x):
+        return x["r"] * gain(f, x)
+
+    df = entered(enters)
+    zero = F.array(*[doubles(q=q, m11=1.0, m12=0.0, m21=0.0) for _, (q, _, _) in levels])
+    totals = df.select(*by, "_n", "_s", F.aggregate(ROWS, zero, lambda a, x: F.transform(a, lambda f: matrices(f, x))).alias("_m"), F.array_repeat(F.col(ROWS)[0]["r"], len(levels)).alias("_r"))
+    enters = entering(totals, F.col("_m"), F.col("_r"), lambda s, m: F.zip_with(s, m, lambda v, f: (f["m11"] * v + f["m12"]) / (f["m21"] * v + 1.0)), "_v").drop("_m", "_r")
+
+    df = entered(enters)
+    start = F.array(*[doubles(q=q, v=F.col("_v")[i], a=1.0, b=0.0) for i, (_, (q, _, _)) in enumerate(levels)])
+    affine_ = lambda f, x: doubles(q=f["q"], v=variance(f, x), a=(1 - gain(f, x)) * f["a"], b=(1 - gain(f, x)) * f["b"] + gain(f, x) * x["z"])
+    totals = df.select(*by, "_n", "_s", "_v", F.aggregate(ROWS, start, lambda a, x: F.transform(a, lambda f: affine_(f, x))).alias("_m"), F.array_repeat(F.col(ROWS)[0]["z"], len(levels)).alias("_z"))
+    enters = entering(totals, F.col("_m"), F.col("_z"), lambda s, m: F.zip_with(s, m, lambda y, f: f["a"] * y + f["b"]), "_y").drop("_m", "_z")
+
+    # states of all rows of a block, each read from the one before it
+    df = entered(enters)
+    start = F.array(*[doubles(q=q, v=F.col("_v")[i], y=F.col("_y")[i], dy=0.0) for i, (_, (q, _, _)) in enumerate(levels)])
+    step = lambda f, x: doubles(q=f["q"], v=variance(f, x), y=f["y"] + gain(f, x) * (x["z"] - f["y"]), dy=gain(f, x) * (x["z"] - f["y"]))
+    states = F.aggregate(ROWS, F.array(start), lambda a, x: F.concat(a, F.array(F.transform(F.element_at(a, -1), lambda f: step(f, x)))))
+    df = df.select("entity", ROWS, states.alias("_states"))
+    df = df.select("entity", F.inline(F.zip_with(ROWS, F.slice("_states", 2, F.size(ROWS)), lambda x, s: F.struct(x["date"].alias("date"), x["idx"].alias("idx"), x["close"].alias("close"), s.alias("_s")))))
+    cells = [F.struct(F.lit(k).alias("horizon"), F.lit(q).alias("q"), F.lit(t).alias("threshold"), F.lit(n).alias("min_run"), F.col("_s")[i]["y"].alias("smoothed"),
+                      F.sqrt(F.col("_s")[i]["v"]).alias("uncertainty"), F.when(F.col("close").isNotNull(), F.col("_s")[i]["dy"]).alias("velocity")) for i, (k, (q, t, n)) in enumerate(levels)]
+    return df.select("entity", "date", "idx", "close", F.inline(F.array(*cells)))
