@@ -3,6 +3,7 @@
 import datetime as dt
 
 
+from tidemark.operators import forecast as FC
 from tidemark.streaming import flows as S
 from tidemark.streaming import timers as TM
 
@@ -84,3 +85,23 @@ def test_forecasts_of_a_day_travel_in_one_row(spark):
     f = spark.createDataFrame([(1, day, "s", h, c, 9.0, 11.0) for h in (1, 2, 3) for c in (0.5, 0.8)], "entity long, forecast_date date, source string, horizon int, confidence double, lower double, upper double")
     assert TM.feed(f, bars).count() == 2
     assert TM.feed(f, bars).filter("grid is not null").first().lower == [9.0] * 6
+
+
+def test_forecasts_settled_on_arrival_stay_in_the_rows_of_their_bars(spark, tmp_path, monkeypatch):
+    """As one batch settles them, each once; of a batch only its bars are shuffled, and only the columns asked for are written."""
+    day = lambda i: dt.date(2024, 1, 1) + dt.timedelta(days=i)
+    rows = [(e, day(i), None if (e, i) == (2, 50) else 50.0 + (i * 7 + e * 3) % 11) for e in (1, 2) for i in range(100) if (e, i % 9) != (2, 4)]
+    bars = spark.createDataFrame([*rows, (1, None, 44.0)], "entity long, date date, close double")
+    plans, settle = [], FC.settle_realized
+    monkeypatch.setattr(FC, "settle_realized", lambda df: (plans.append(df._jdf.queryExecution().executedPlan().toString()), settle(df))[1])
+    issue = lambda b: FC.baseline_rows(FC.baseline_inputs(FC.unadjusted(b), in_order=True), realized=True)
+    cols = ["entity", "forecast_date", "horizon", "confidence", "realized", "hit"]
+    sink = S.settle_on_arrival(issue, f"{tmp_path}/log", f"{tmp_path}/out", cols)
+    parts = [bars.filter("date is null or date < '2024-02-20'"), bars.filter("date >= '2024-02-20'")]
+    for i in (0, 1, 1):  # a replayed batch changes nothing
+        sink(parts[i], i)
+    got = spark.read.option("basePath", f"{tmp_path}/out").parquet(f"{tmp_path}/out/batch=*").drop("batch")
+    want = FC.settle(FC.baseline(FC.every_bar(FC.unadjusted(bars))), bars, str(day(99)))
+    read = lambda df: sorted(tuple(r[c] for c in cols) for r in df.collect())
+    assert got.columns == cols and read(got) == read(want) != []
+    assert plans and all(sum("Exchange" in line for line in p.splitlines()) == 1 for p in plans), plans

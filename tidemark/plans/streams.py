@@ -10,7 +10,7 @@ from tidemark.operators import forecast as FC
 from tidemark.operators import indicators as I
 from tidemark.operators.recursive import arranged
 from tidemark.plans import indicators as P
-from tidemark.plans.forecast import BASE_SQL, REAL, last_day, prices
+from tidemark.plans.forecast import BASE_SQL, REAL, last_day
 from tidemark.plans.pit import FACTORS
 from tidemark.plans.registry import query, rnd, rnds, tidy
 from tidemark.session import checkpoint_dir
@@ -94,14 +94,19 @@ def _restatement(spark, d):
 SETTLEMENT = f"WITH {BASE_SQL}, " + REAL.replace("SELECT * FROM base UNION ALL SELECT * FROM chip", "SELECT * FROM base") + f" SELECT entity, forecast_date, horizon, confidence, resolved_date, realized, hit, {rnd('pinball', digits=3)} FROM settled"
 
 
+#: What the queries read, so all that is written.
+SETTLED = ["entity", "forecast_date", "horizon", "confidence", "resolved_date", "realized", "hit", "pinball"]
+
+
 @query("streaming_settlement", "M7,J11", SETTLEMENT)
 def _settlement(spark, d):
     base = _base(spark)
     b = V.bars(spark, d).select("entity", "date", "close")
-    pending = FC.baseline(prices(spark, d))
-    in_turn(spark, b, ["year(date) < 1999", "year(date) >= 1999"], base, S.settle_on_arrival(pending, f"{base}/bars", f"{base}/settled"))
+    issue = lambda bars: FC.baseline_rows(FC.baseline_inputs(FC.unadjusted(bars), in_order=True), realized=True)
+    # bars without a day come first, as in every series
+    in_turn(spark, b, ["date is null or year(date) < 1999", "year(date) >= 1999"], base, S.settle_on_arrival(issue, f"{base}/bars", f"{base}/settled", SETTLED))
     out = spark.read.option("basePath", f"{base}/settled").parquet(f"{base}/settled/batch=*")
-    return tidy(out, "entity", "forecast_date", "horizon", "confidence", "resolved_date", "realized", "hit", "pinball", digits=3)
+    return tidy(out, *SETTLED, digits=3)
 
 
 @query("streaming_settlement_timers", "M6,M7,J11", SETTLEMENT)

@@ -7,6 +7,7 @@ with a third of all ticks is spread like every other.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -16,6 +17,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.operators import forecast as FC
 from tidemark.operators import pit
+from tidemark.operators.recursive import arranged
 
 
 def tick_bars(ticks: DataFrame, delay: str = "1 hour", width: str = "1 day") -> DataFrame:
@@ -85,20 +87,27 @@ def restate(bars: DataFrame, events_log: str, output: str) -> Callable[[DataFram
     return sink
 
 
-def settle_on_arrival(pending: DataFrame, bars_log: str, output: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` sink on a bar stream in date order: settle forecasts as they fall due."""
+def settle_on_arrival(issue: Callable[[DataFrame], DataFrame], bars_log: str, output: str, columns: list[str] | None = None) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` sink on a bar stream in date order: settle forecasts as they fall due.
+
+    ``issue`` maps arranged bars with ``is_due`` and the price that settles each horizon (``realized_<h>``) to forecast rows with
+    ``realized``, and looks back only. So the bars that have arrived are shuffled once a batch, and forecasts never. ``columns`` are written, all by default.
+    """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch.write.mode("overwrite").parquet(f"{bars_log}/batch={batch_id}")
         seen = spark.read.option("basePath", bars_log).parquet(f"{bars_log}/batch=*").filter(F.col("batch") <= batch_id)
-        newest = seen.groupBy("batch").agg(F.max("date").alias("d")).collect()  # one row per batch
-        today = max(r["d"] for r in newest)
+        newest = seen.groupBy("batch").agg(F.max("date").alias("d")).filter("d is not null").collect()  # one row per batch
+        today = max((r["d"] for r in newest), default=dt.date.min)
         before = max((r["d"] for r in newest if r["batch"] < batch_id), default=None)
-        due = pending
+        bars = FC.realized_inputs(arranged(seen.drop("batch")), str(today))
         if before is not None:
-            due = due.filter(F.expr("date_add(forecast_date, horizon)") > F.lit(before))
-        FC.settle(due, seen.drop("batch"), str(today)).write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
+            bars = bars.withColumns({f"realized_{h}": F.when(F.date_add("date", h) > F.lit(before), F.col(f"realized_{h}")) for h in FC.HORIZONS})
+        # forecasts are computed where one of them falls due
+        bars = bars.withColumn("is_due", F.coalesce(*[F.col(f"realized_{h}") for h in FC.HORIZONS]).isNotNull())
+        out = FC.settle_realized(issue(bars))
+        out.select(*columns or out.columns).write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
 
     return sink
 
