@@ -105,3 +105,23 @@ def test_forecasts_settled_on_arrival_stay_in_the_rows_of_their_bars(spark, tmp_
     read = lambda df: sorted(tuple(r[c] for c in cols) for r in df.collect())
     assert got.columns == cols and read(got) == read(want) != []
     assert plans and all(sum("Exchange" in line for line in p.splitlines()) == 1 for p in plans), plans
+
+
+def test_timers_issue_from_the_closes_in_their_state(spark, tmp_path):
+    """Forecasts issued inside the state are those of one batch, also across restarts; the feed holds bars only."""
+    day = lambda i: dt.date(2024, 1, 1) + dt.timedelta(days=i)
+    rows = [(e, day(i), None if (e, i) == (2, 50) else 50.0 + (i * 7 + e * 3) % 11) for e in (1, 2) for i in range(100) if (e, i % 9) != (2, 4)]
+    bars = spark.createDataFrame([*rows, (1, None, 44.0)], "entity long, date date, close double")
+    feed = TM.bar_feed(bars)
+    assert feed.columns == ["entity", "day", "close"]
+    epoch = (day(0) - dt.date(1970, 1, 1)).days
+    for i, part in enumerate((f"day is null or day < {epoch + 30}", f"day between {epoch + 30} and {epoch + 59}", f"day >= {epoch + 60}")):
+        feed.filter(part).write.parquet(f"{tmp_path}/in/part={i}")
+        s = spark.readStream.schema(feed.schema).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+        # a short look-back, so that the state forgets
+        S.run_to_end(TM.settle_at_timers(s, issue=FC.baseline_issuer((3, 5), (0.5, 0.8), 4, 10)), f"{tmp_path}/cp", f"{tmp_path}/out")
+    want = FC.settle(FC.baseline(FC.every_bar(FC.unadjusted(bars)), (3, 5), (0.5, 0.8), 4, 10), bars.filter("close is not null"), str(day(99)))
+    cols = ["entity", "forecast_date", "source", "horizon", "confidence", "lower", "upper", "resolved_date", "realized", "hit", "pinball"]
+    read = lambda df: {tuple(r[c] for c in cols) for r in df.collect()}
+    got, want = read(spark.read.parquet(f"{tmp_path}/out")), read(want)
+    assert got == want and len(got) > 600

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import forecast as FC
 from tidemark.operators import indicators as I
-from tidemark.operators.recursive import arranged
 from tidemark.plans import indicators as P
 from tidemark.plans.forecast import BASE_SQL, REAL, last_day
 from tidemark.plans.pit import FACTORS
@@ -113,13 +112,10 @@ def _settlement(spark, d):
 def _settlement_timers(spark, d):
     """As above by keyed state and timers; the second part resumes from the state of the first."""
     base = _base(spark)
-    bars = arranged(V.bars(spark, d).select("entity", "date", "close"))
-    p = FC.baseline_inputs(FC.every_bar(FC.unadjusted(bars)), in_order=True)
-    rows = TM.feed_issued(p, FC.baseline_cells(), [("baseline", h, c) for h in FC.HORIZONS for c in FC.CONFIDENCES])
-    # issued once, delivered in two parts: up to 1998, from 1999
-    rows.withColumn("part", (F.col("day") >= 10592).cast("int")).write.partitionBy("part").parquet(f"{base}/issued")
-    for i in range(2):
-        spark.read.schema(rows.schema).parquet(f"{base}/issued/part={i}").write.parquet(f"{base}/in/part={i}")
+    rows = TM.bar_feed(V.bars(spark, d))
+    # up to 1998, from 1999
+    for i, part in enumerate(("day is null or day < 10592", "day >= 10592")):
+        rows.filter(part).write.parquet(f"{base}/in/part={i}")
         s = spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true").parquet(f"{base}/in")
-        S.run_to_end(TM.settle_at_timers(s), f"{base}/cp", f"{base}/settled")
-    return tidy(spark.read.parquet(f"{base}/settled"), "entity", "forecast_date", "horizon", "confidence", "resolved_date", "realized", "hit", "pinball", digits=3)
+        S.run_to_end(TM.settle_at_timers(s, issue=FC.baseline_issuer()).select(*SETTLED), f"{base}/cp", f"{base}/settled")
+    return tidy(spark.read.parquet(f"{base}/settled"), *SETTLED, digits=3)
