@@ -1,5 +1,6 @@
 """Forecasts kept in the row of their bar: same results as the general operators, and no shuffle of forecasts."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,3 +59,39 @@ def test_missing_prices_are_no_returns(spark):
                                   F.when(F.col("id") != 30, 100.0 + F.col("id")).alias("close"))
     got = FC.baseline(FC.every_bar(FC.unadjusted(days)), (5,), (0.5,))
     assert got.filter("lower is null or isnan(lower)").count() == 0 and got.filter("forecast_date = date'2020-02-25'").count() == 1
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_ranks_by_bits_are_those_of_a_sorted_window(seed):
+    g = np.random.default_rng(seed)
+    sizes = [1, 7, 64, 200]
+    series = np.repeat(np.arange(len(sizes)), sizes)
+    values = g.integers(-20, 20, len(series)) / 4.0  # many ties
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    first, last, k = [], [], []
+    for s in range(len(sizes)):
+        for last_ in range(starts[s] + 1, starts[s + 1] + 1):
+            first.append(max(starts[s], last_ - 50)), last.append(last_), k.append(g.integers(0, last_ - first[-1]))
+    got = FC._smallest(values, series, *(np.array(x) for x in (first, last, k)))
+    assert got.tolist() == [sorted(values[a:b])[i] for a, b, i in zip(first, last, k)]
+
+
+def test_calibration_sends_no_structs_to_python(spark, sf):
+    """Cells went to Python and back as structs with their names; now numbers go, and a forecast is a row there."""
+    df = FC.conformal_issued(PF.issued(spark, sf, realized=True), PF.both())
+    plan = df._jdf.queryExecution().analyzed()
+    fields = plan.children().head().schema().toDDL() if plan.nodeName().startswith("MapInArrow") else "STRUCT"
+    assert "STRUCT" not in fields and "_lower17 DOUBLE" in fields, fields
+
+
+def test_windows_of_misses_slide_within_their_series(spark, sf, long, due):
+    """A window shorter than a series forgets, whatever batch its rows come in."""
+    cols = ("lower", "upper", "q", "n_past")
+    was = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "700")
+    try:
+        got = FC.conformal_issued(PF.issued(spark, sf, realized=True), PF.both(), window=40, min_size=10)
+        want = FC.conformal(long, due, window=40, min_size=10)
+        assert rows(got, *cols) == rows(want, *cols) != []
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", was)
